@@ -19,13 +19,15 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, mix, n_words
+from .common import Words, cut, mix, n_words, text_bytes
 
 
 def fill_targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
@@ -83,14 +85,17 @@ def mix_sources(
     shard_docs: int = 5_000,
     max_shards: int = 4096,
     seed: str = "mix",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """What the mix takes: id, source, size, source_size, target, taken, and pieces (start, words, repeats) of a document.
 
-    Pieces are in words from the document's start; a document that isn't taken has none.
+    Pieces are in words from the document's start; a document that isn't taken has none. keep: columns to carry along as
+    keep_<name>.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"), n_words(text).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("h"))
-    docs = cut(docs, "sizes")
+    carried = [F.col(c).alias(f"keep_{c}") for c in keep]
+    wide = df.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"), n_words(f"`{text}`").alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("h"), *carried)
+    docs = cut(wide.drop(*(f"keep_{c}" for c in keep)), "sizes")
     per = [(r["source"], r["words"], r["docs"]) for r in docs.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")).collect()]
     per.sort(key=lambda x: (x[0] is None, (x[0] or "").encode("utf-32-be")))
     sizes = [x[1] for x in per]
@@ -102,8 +107,12 @@ def mix_sources(
         [(name, n, t, k) for (name, n, _), t, k in zip(per, targets, shards, strict=True)],
         "p_source string, source_size long, target double, shards int",
     )
-    docs = docs.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
-    docs = docs.withColumn("shard", F.pmod("h", F.col("shards")).cast("int")).drop("shards")
+
+    def sharded(t: DataFrame) -> DataFrame:
+        t = t.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
+        return t.withColumn("shard", F.pmod("h", F.col("shards")).cast("int")).drop("shards")
+
+    docs = sharded(docs)
     held: dict[str | None, list[tuple[int, int]]] = {}
     for r in docs.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect():
         held.setdefault(r["source"], []).append((r["shard"], r["words"]))
@@ -113,6 +122,8 @@ def mix_sources(
         for (shard, words), seats in zip(own, sainte_lague([w for _, w in own], quota), strict=True):
             rows.append((name, shard, min(seats, most_repeats * -(-words // block_words))))
     quota = spark.createDataFrame(rows, "q_source string, q_shard int, quota long")
+    if keep:
+        docs = sharded(wide)
     docs = docs.join(F.broadcast(quota), F.col("source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard"))).drop("q_source", "q_shard")
 
     def take(shard: pd.DataFrame) -> pd.DataFrame:
@@ -149,9 +160,34 @@ def mix_sources(
             pieces.append(own)
         return shard.drop(columns=["h", "shard", "quota"]).assign(taken=upto(end) - upto(start), pieces=pieces)
 
-    id_type = dict(df.dtypes)[id_col]
-    schema = f"id {id_type}, source string, size long, source_size long, target double, taken long, pieces array<struct<start long, words long, repeats long>>"
-    return docs.select("id", "source", "size", "source_size", "target", "h", "shard", "quota").groupBy("source", "shard").applyInPandas(take, schema)
+    kinds = dict(df.dtypes)
+    held_columns = "".join(f", `keep_{c}` {kinds[c]}" for c in keep)
+    schema = f"id {kinds[id_col]}, source string, size long{held_columns}, source_size long, target double, taken long, pieces array<struct<start long, words long, repeats long>>"
+    return docs.select("id", "source", "size", *(f"keep_{c}" for c in keep), "source_size", "target", "h", "shard", "quota").groupBy("source", "shard").applyInPandas(take, schema)
+
+
+def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The mix as rows of df's columns: of a document what is taken once, twice, ... as a row each, pieces joined by a line feed."""
+    mixed = mix_sources(df, text=text, keep=tuple(df.columns), **options)
+    names, at, schema = df.columns, df.columns.index(text), df.schema
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, rows, out = batch.column(at).to_pylist(), [], []
+            for i, pieces in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if not pieces or not texts[i]:
+                    continue
+                w = Words(*text_bytes(pa.array([texts[i]], pa.string())))
+                raw = texts[i].encode()
+                for r in range(1, max(p["repeats"] for p in pieces) + 1):
+                    own = [raw[w.starts[p["start"]] : w.ends[p["start"] + p["words"] - 1]] for p in pieces if p["repeats"] >= r]
+                    rows.append(i)
+                    out.append(b"\n".join(own).decode())
+            columns = [batch.column(j).take(pa.array(rows, pa.int64())) for j in range(batch.num_columns - 1)]
+            columns[at] = pa.array(out, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return mixed.select(*(F.col(f"keep_{c}").alias(c) for c in names), F.col("pieces").alias("__pieces")).mapInArrow(read, schema)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

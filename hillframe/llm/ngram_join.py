@@ -300,6 +300,16 @@ def jaccard_components(
     )
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows whose id is the smallest of their class, each text of an id once; rows without an id stay."""
+    found = cut(jaccard_components(df, id_col, text, **options), "classes-of-documents")
+    gone = maybe_broadcast(cut(found.where("doc_id <> class_id").select(F.col("doc_id").alias("__id")).distinct(), "near-duplicates"))
+    twice = maybe_broadcast(cut(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "repeated-ids"))
+    kept = df.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    once = kept.join(twice, F.col(id_col) == F.col("__id"), "left_anti")
+    return once.unionByName(kept.join(twice, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col, text]))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), k=4, numerator=85)
     return found.select("doc_id", "n_shingles", F.col("class_id").alias("component_id"))

@@ -185,7 +185,7 @@ def train_rules(docs: DataFrame, labels: DataFrame, sample: int = 20_000, **opti
     """Learn from at most `sample` labelled documents (quality 0: bad), the smallest seeded hashes of their ids."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = labelled_sample(known, "doc_id", sample, "quality").withColumnRenamed("doc_id", "label_id")
-    some = docs.join(F.broadcast(known), F.col("doc_id") == F.col("label_id"), "left_semi")  # at most `sample` rows
+    some = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"), "left_semi")  # at most `sample` rows
     stats = text_statistics(some).where("n_words >= 10").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
     rows = stats.select("doc_id", "quality", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(3)).alias("fold"), *(F.expr(e).alias(f) for f, e in FEATURES.items())).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")

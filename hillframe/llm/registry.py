@@ -1,7 +1,7 @@
 """The queries of the ten training-data operators and their SQL."""
 
-from . import html_text, langid, mixing, ngram_join, packing, quality, topk, toxicity, warc
+from . import chains, html_text, langid, mixing, ngram_join, packing, quality, topk, toxicity, warc
 
-MODULES = (warc, quality, langid, toxicity, html_text, topk, ngram_join, packing, mixing)
+MODULES = (warc, quality, langid, toxicity, html_text, topk, ngram_join, packing, mixing, chains)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}

@@ -187,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4_000, **options) ->
         return None
     known = labelled_sample(known.where("toxic > 0"), "doc_id", sample, "toxicity").unionByName(labelled_sample(known.where("toxic <= 0"), "doc_id", sample, "toxicity"))
     known = known.withColumnRenamed("doc_id", "label_id")
-    rows = docs.where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
     rows = rows.select("doc_id", "text", "toxic", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("fold")).toPandas().sort_values(["doc_id", "text"], kind="stable")
     if rows.empty:
         return None
@@ -253,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 16_000, **options) -
     """Fit on at most `sample` labelled documents outside the held-out fold."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = labelled_sample(known, "doc_id", sample, "toxicity").withColumnRenamed("doc_id", "label_id")
-    rows = docs.where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
     rows = rows.select("doc_id", "text", "toxic", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("fold")).toPandas().sort_values(["doc_id", "text"], kind="stable")
     if rows.empty:
         return None
