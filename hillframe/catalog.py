@@ -1,5 +1,8 @@
 """Every registered query of the terrain and road operators, and its DuckDB twin."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = "flagship"
+from .plans import aggregates, grids, lines, sources, tables
+
+MODULES = (sources, tables, grids, lines, aggregates)
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
+FLAGSHIP = "d4_biome_share"

@@ -1,0 +1 @@
+"""operators of the terrain and road library."""

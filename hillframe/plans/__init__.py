@@ -1,0 +1 @@
+"""plans of the terrain and road library."""

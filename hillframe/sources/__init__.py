@@ -1,0 +1 @@
+"""sources of the terrain and road library."""

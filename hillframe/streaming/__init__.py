@@ -1,0 +1 @@
+"""streaming of the terrain and road library."""
