@@ -7,7 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROW, COL = Window.partitionBy("r").orderBy("c"), Window.partitionBy("c").orderBy("r")
+
+def by_row():
+    return Window.partitionBy("r").orderBy("c")
+
+
+def by_column():
+    return Window.partitionBy("c").orderBy("r")
+
 
 
 def near(window, reach: int):
@@ -22,7 +29,7 @@ def gradient(cells: DataFrame, z: str, size: float) -> DataFrame:
         first, last = F.row_number().over(w) == 1, F.lead(F.lit(1)).over(w).isNull()
         return F.when(first, (b - F.col(z)) / size).when(last, (F.col(z) - a) / size).otherwise((b - a) / (2 * size))
 
-    return cells.withColumn("dz_dx", d(ROW)).withColumn("dz_dy", -d(COL))
+    return cells.withColumn("dz_dx", d(by_row())).withColumn("dz_dy", -d(by_column()))
 
 
 def slope_aspect(cells: DataFrame, z: str, size: float, flat: float = 0.5) -> DataFrame:
@@ -34,8 +41,8 @@ def slope_aspect(cells: DataFrame, z: str, size: float, flat: float = 0.5) -> Da
 
 def box_sums(cells: DataFrame, value: str, reach: int) -> DataFrame:
     """Adds sum and count of the valid cells of a square, by two one-dimensional passes."""
-    t = cells.withColumns({"_s": F.sum(value).over(near(ROW, reach)), "_n": F.count(value).over(near(ROW, reach))})
-    return t.withColumns({"box_sum": F.sum("_s").over(near(COL, reach)), "box_count": F.sum("_n").over(near(COL, reach))}).drop("_s", "_n")
+    t = cells.withColumns({"_s": F.sum(value).over(near(by_row(), reach)), "_n": F.count(value).over(near(by_row(), reach))})
+    return t.withColumns({"box_sum": F.sum("_s").over(near(by_column(), reach)), "box_count": F.sum("_n").over(near(by_column(), reach))}).drop("_s", "_n")
 
 
 def roughness(cells: DataFrame, z: str, least: int = 6, cap: float | None = None) -> DataFrame:
@@ -59,13 +66,13 @@ def fill_from_neighbours(cells: DataFrame, z: str) -> DataFrame:
 
 def square(cells: DataFrame, value: str, reach: int, f, out: str) -> DataFrame:
     """Adds the minimum or maximum (f) over a square of 2 * reach + 1 cells."""
-    return cells.withColumn("_v", f(value).over(near(ROW, reach))).withColumn(out, f("_v").over(near(COL, reach))).drop("_v")
+    return cells.withColumn("_v", f(value).over(near(by_row(), reach))).withColumn(out, f("_v").over(near(by_column(), reach))).drop("_v")
 
 
 def cross(cells: DataFrame, value: str, f, out: str) -> DataFrame:
     """Adds the minimum or maximum (f: greatest or least) over the cell and its four neighbours inside the grid."""
     own = F.col(value)
-    around = [F.coalesce(g(value).over(w), own) for w in (ROW, COL) for g in (F.lag, F.lead)]
+    around = [F.coalesce(g(value).over(w), own) for w in (by_row(), by_column()) for g in (F.lag, F.lead)]
     return cells.withColumn(out, f(own, *around))
 
 
@@ -88,7 +95,7 @@ def blur(cells: DataFrame, value: str, sigma: float, out: str, truncate: float =
             total = total + weights[k] * 0 + weights[k - i] * (F.coalesce(F.lag(column, i).over(w), first) + F.coalesce(F.lead(column, i).over(w), last))
         return total
 
-    return cells.withColumn("_b", one(value, ROW)).withColumn(out, one("_b", COL)).drop("_b")
+    return cells.withColumn("_b", one(value, by_row())).withColumn(out, one("_b", by_column())).drop("_b")
 
 
 #: Eight neighbours in the order in which the first of equal drops wins: name, row step, column step.
@@ -97,8 +104,8 @@ NEIGHBOURS = (("nw", -1, -1), ("n", -1, 0), ("ne", -1, 1), ("w", 0, -1), ("e", 0
 
 def d8(cells: DataFrame, z: str, size: float = 1.0) -> DataFrame:
     """Adds to (0..7 in the order of NEIGHBOURS, -1 for a sink) and drop, the steepest fall per metre."""
-    t = cells.withColumns({"_w": F.lag(z).over(ROW), "_e": F.lead(z).over(ROW)}).withColumn("_row", F.struct(F.col("_w").alias("w"), F.col(z).alias("m"), F.col("_e").alias("e")))
-    t = t.withColumns({"_up": F.lag("_row").over(COL), "_down": F.lead("_row").over(COL)})
+    t = cells.withColumns({"_w": F.lag(z).over(by_row()), "_e": F.lead(z).over(by_row())}).withColumn("_row", F.struct(F.col("_w").alias("w"), F.col(z).alias("m"), F.col("_e").alias("e")))
+    t = t.withColumns({"_up": F.lag("_row").over(by_column()), "_down": F.lead("_row").over(by_column())})
     value = {"nw": "_up.w", "n": "_up.m", "ne": "_up.e", "w": "_w", "e": "_e", "sw": "_down.w", "s": "_down.m", "se": "_down.e"}
     falls = [F.struct((F.coalesce((F.col(z) - F.col(value[n])) / (size * math.hypot(i, j)), F.lit(float("-inf")))).alias("d"), F.lit(-k).alias("k")) for k, (n, i, j) in enumerate(NEIGHBOURS)]
     best = F.greatest(*falls)

@@ -241,8 +241,8 @@ SELECT DISTINCT m.r, m.c FROM m JOIN b ON m.r - b.br IN (0, 1) AND m.c - b.bc IN
 def f30(cells):
     t = cells.select("r", "c", F.when(c("code") <= 1, 1).otherwise(0).alias("m"))
     w = lambda a, b, k: k.rangeBetween(a, b)
-    t = t.withColumn("_p", F.sum("m").over(w(0, 1, Fo.ROW))).withColumn("block", F.sum("_p").over(w(0, 1, Fo.COL)))
-    t = t.withColumn("_q", F.max("block").over(w(-1, 0, Fo.ROW))).withColumn("best", F.max("_q").over(w(-1, 0, Fo.COL)))
+    t = t.withColumn("_p", F.sum("m").over(w(0, 1, Fo.by_row()))).withColumn("block", F.sum("_p").over(w(0, 1, Fo.by_column())))
+    t = t.withColumn("_q", F.max("block").over(w(-1, 0, Fo.by_row()))).withColumn("best", F.max("_q").over(w(-1, 0, Fo.by_column())))
     # blocks whose corner lies outside the first row or column have two cells at most
     return t.where("m = 1 and best >= 3").select("r", "c")
 

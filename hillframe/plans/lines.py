@@ -1,5 +1,7 @@
 """Queries along roads: stations, windows, runs, joins of lines, bridge flags."""
 
+import sys
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,8 +14,7 @@ R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
 c = F.col
 r6 = S.r6
-W = L.along()
-ALL = Window.unboundedPreceding, 0
+ALL = -sys.maxsize, 0
 
 _ST = """st AS (SELECT road_id, seq, x, y, z, w, sum(d) OVER (PARTITION BY road_id ORDER BY seq) AS s
   FROM (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER q, 2) + pow(y - lag(y) OVER q, 2)), 0) AS d FROM road_node WINDOW q AS (PARTITION BY road_id ORDER BY seq)))"""
@@ -29,7 +30,7 @@ def e1(n):
 @R.add("e2_rolling_max", "road_node", """
 SELECT road_id, seq, max(z) OVER (PARTITION BY road_id ORDER BY seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS back, max(z) OVER (PARTITION BY road_id ORDER BY seq ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS ahead FROM road_node""")
 def e2(n):
-    back, ahead = L.baseline(c("z"), 5, W)
+    back, ahead = L.baseline(c("z"), 5, L.along())
     return n.select("road_id", "seq", back.alias("back"), ahead.alias("ahead"))
 
 
@@ -37,7 +38,7 @@ _UNSTABLE = """u AS (SELECT road_id, seq, greatest(max(z) OVER (PARTITION BY roa
 
 
 def _unstable(n):
-    back, ahead = L.baseline(c("z"), 5, W)
+    back, ahead = L.baseline(c("z"), 5, L.along())
     return n.select("road_id", "seq", (F.greatest(back, ahead) - c("z") >= 6).alias("unstable"))
 
 
@@ -94,19 +95,19 @@ def e12(n):
 @R.add("e13_three_taps", "road_node", """
 SELECT road_id, seq, round(coalesce(0.25 * lag(z) OVER q + 0.5 * z + 0.25 * lead(z) OVER q, z), 6) + 0.0 AS z FROM road_node WINDOW q AS (PARTITION BY road_id ORDER BY seq)""")
 def e13(n):
-    return n.select("road_id", "seq", r6(F.coalesce(0.25 * F.lag("z").over(W) + 0.5 * c("z") + 0.25 * F.lead("z").over(W), c("z"))).alias("z"))
+    return n.select("road_id", "seq", r6(F.coalesce(0.25 * F.lag("z").over(L.along()) + 0.5 * c("z") + 0.25 * F.lead("z").over(L.along()), c("z"))).alias("z"))
 
 
 @R.add("e15_second_difference", "road_node", """
 SELECT * FROM (SELECT road_id, seq, round(abs(lag(z) OVER q - 2 * z + lead(z) OVER q), 6) + 0.0 AS d2 FROM road_node WINDOW q AS (PARTITION BY road_id ORDER BY seq)) WHERE d2 IS NOT NULL""")
 def e15(n):
-    return n.select("road_id", "seq", r6(F.abs(F.lag("z").over(W) - 2 * c("z") + F.lead("z").over(W))).alias("d2")).where("d2 is not null")
+    return n.select("road_id", "seq", r6(F.abs(F.lag("z").over(L.along()) - 2 * c("z") + F.lead("z").over(L.along()))).alias("d2")).where("d2 is not null")
 
 
 @R.add("e17_running_median", "road_node", """
 SELECT road_id, seq, round(CASE WHEN count(v) OVER q >= 3 THEN median(v) OVER q END, 6) + 0.0 AS m FROM (SELECT road_id, seq, CASE WHEN seq % 5 <> 1 THEN z END AS v FROM road_node) WINDOW q AS (PARTITION BY road_id ORDER BY seq ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
 def e17(n):
-    q = W.rowsBetween(-3, 3)
+    q = L.along().rowsBetween(-3, 3)
     v = F.when(c("seq") % 5 != 1, c("z"))
     t = n.select("road_id", "seq", v.alias("v"))
     return t.select("road_id", "seq", r6(F.when(F.count("v").over(q) >= 3, F.percentile("v", F.lit(0.5)).over(q))).alias("m"))
@@ -115,13 +116,13 @@ def e17(n):
 @R.add("e18_prefix", "road_node", """
 SELECT road_id, seq, bool_and(z < 1007) OVER (PARTITION BY road_id ORDER BY seq) AS inside FROM road_node""")
 def e18(n):
-    return n.select("road_id", "seq", (F.min((c("z") < 1007).cast("int")).over(W.rowsBetween(*ALL)) == 1).alias("inside"))
+    return n.select("road_id", "seq", (F.min((c("z") < 1007).cast("int")).over(L.along().rowsBetween(*ALL)) == 1).alias("inside"))
 
 
 @R.add("e26_hold_across", "road_node", """
 SELECT road_id, seq, last_value(CASE WHEN seq % 3 = 0 THEN z END IGNORE NULLS) OVER (PARTITION BY road_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS z FROM road_node""")
 def e26(n):
-    return n.select("road_id", "seq", F.last(F.when(c("seq") % 3 == 0, c("z")), True).over(W.rowsBetween(*ALL)).alias("z"))
+    return n.select("road_id", "seq", F.last(F.when(c("seq") % 3 == 0, c("z")), True).over(L.along().rowsBetween(*ALL)).alias("z"))
 
 
 @R.add("e28_blend_ends", "road_node", f"""
@@ -259,7 +260,7 @@ def d26(n, road):
 WITH {_ST}, j AS (SELECT road_id, abs(z - lag(z) OVER q) AS d, s - lag(s) OVER q AS g FROM st WINDOW q AS (PARTITION BY road_id ORDER BY seq)), k AS (SELECT road_id, list_sort(list(d)) AS a FROM j WHERE g <= 7.5 GROUP BY 1)
 SELECT road_id, CAST(len(a) AS BIGINT) AS n, CAST(len(list_filter(a, lambda v: v > 1)) AS BIGINT) AS over1, round(a[CAST(floor(0.95 * (len(a) - 1)) AS BIGINT) + 1], 6) AS p95, round(a[len(a)], 6) AS worst FROM k""")
 def d6(n):
-    t = L.stations(n).select("road_id", F.abs(c("z") - F.lag("z").over(W)).alias("d"), (c("s") - F.lag("s").over(W)).alias("g")).where("g <= 7.5")
+    t = L.stations(n).select("road_id", F.abs(c("z") - F.lag("z").over(L.along())).alias("d"), (c("s") - F.lag("s").over(L.along())).alias("g")).where("g <= 7.5")
     a = t.groupBy("road_id").agg(F.sort_array(F.collect_list("d")).alias("a"))
     at = F.floor(0.95 * (F.size("a") - 1)).cast("int") + 1
     return a.select("road_id", F.size("a").cast("long").alias("n"), F.size(F.filter("a", lambda v: v > 1)).cast("long").alias("over1"), F.round(F.element_at("a", at), 6).alias("p95"), F.round(F.element_at("a", F.lit(-1)), 6).alias("worst"))
@@ -269,7 +270,7 @@ def d6(n):
 WITH {_ST}, j AS (SELECT road_id, seq, w, z - lag(z) OVER q AS dz, s - lag(s) OVER q AS g FROM st WINDOW q AS (PARTITION BY road_id ORDER BY seq))
 SELECT road_id, seq, 'pinch' AS kind FROM j WHERE w <= 4 UNION ALL SELECT road_id, seq, 'jump' FROM j WHERE abs(dz) / g > 0.8""")
 def d32(n):
-    j = L.stations(n).select("road_id", "seq", "w", ((F.abs(c("z") - F.lag("z").over(W))) / (c("s") - F.lag("s").over(W))).alias("grade"))
+    j = L.stations(n).select("road_id", "seq", "w", ((F.abs(c("z") - F.lag("z").over(L.along()))) / (c("s") - F.lag("s").over(L.along()))).alias("grade"))
     return j.where("w <= 4").select("road_id", "seq", F.lit("pinch").alias("kind")).unionByName(j.where("grade > 0.8").select("road_id", "seq", F.lit("jump").alias("kind")))
 
 
