@@ -32,49 +32,82 @@ from .common import cut
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _GAP = re.compile(r"\s\s")
+_STOPS = frozenset('.,')
+#: A line feed, a full stop or comma between a letter and the end of its line, or anything else up to there.
+_PART = re.compile(r"\n|(?<=[^\W\d_])[.,](?=\n|\Z)|(?:(?!(?<=[^\W\d_])[.,](?:\n|\Z))[^\n])+", re.S)
 
 
 class WordCachedTokenizer:
     """Token ids as little-endian bytes from a `tokenizers` file, remembering the ids of what stands between blanks.
 
     Where a blank stands between two characters that aren't white space, byte-level pre-tokenization always begins a new
-    piece at the blank, so such a text is the concatenation of its blank-led words. Other texts are encoded whole.
+    piece at the blank, so such a text is the concatenation of its blank-led words. It also always separates a lone line feed,
+    and letters from a full stop or comma after them, so new words are put together from such parts before any is encoded.
+    Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 1_800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.tokenizer, self.known, self.parts, self.most = Tokenizer.from_file(path), {}, {}, most
+
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Fill `known` for new words, each led by a blank."""
+        known, parts = self.known, self.parts
+        split: dict[str, list[str]] = {}
+        for w in words:
+            if w.isalpha():
+                split[w] = [" " + w]
+            elif w[-1:] in _STOPS and w[:-1].isalpha():
+                split[w] = [" " + w[:-1], w[-1]]
+            else:
+                split[w] = _PART.findall(" " + w)
+        new = list({p for own in split.values() for p in own if p not in parts})
+        parts.update(zip(new, self._bytes(new), strict=True))
+        for w, own in split.items():
+            known[w] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if _GAP.search(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return self._bytes([text])[0]
         head, *rest = text.split(" ")
         known = self.known
-        missing = {w for w in rest if w not in known}
-        if missing:
-            if len(known) > self.most:
+        try:
+            tail = b"".join(map(known.__getitem__, rest))
+        except KeyError:
+            if len(known) + len(self.parts) > self.most:
                 known.clear()
-                missing = set(rest)
-            words = list(missing)
-            for w, e in zip(words, self.tokenizer.encode_batch([" " + w for w in words], add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        first = np.asarray(self.tokenizer.encode(head, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return first + b"".join(map(known.__getitem__, rest))
+                self.parts.clear()
+            self._learn({w for w in rest if w not in known})
+            tail = b"".join(map(known.__getitem__, rest))
+        return (self._bytes([head])[0] if head else b"") + tail
+
+
+_CODERS: dict[str, WordCachedTokenizer] = {}
+
+
+def coder(path: str) -> WordCachedTokenizer:
+    """One tokenizer per worker process, kept from task to task."""
+    if path not in _CODERS:
+        _CODERS[path] = WordCachedTokenizer(path)
+    return _CODERS[path]
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids as unsigned 32-bit little-endian."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordCachedTokenizer(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
+        words, end = coder(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
             for i, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = coder.encode(value.as_py() or "") + end
+                ids = words.encode(value.as_py() or "") + end
                 n = len(ids) // 4
                 edges = [0, *range(n % max_tokens or max_tokens, n + 1, max_tokens)]
                 for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
