@@ -4,8 +4,9 @@ The words of a source are cut into shards (by a hash of the document) and each s
 of equal numbers of words. Sainte-Lague's rule (each next block to the highest quotient of votes over 2 * seats + 1)
 gives every source a whole number of blocks for its target, and again every shard of a source a whole number
 for its size. Inside a shard every block is taken quota div blocks times, and a seeded choice of quota mod
-blocks of them once more. A document's share is what the taken blocks hold of it, so a source comes within about a block of
-its target, and a block is never taken more than `most_repeats` times.
+blocks of them once more. A document's share is what the taken blocks hold of it. The last block of a
+shard is shorter than the others, so a source comes within most_repeats + 1 blocks a shard of its target; a block is never taken more
+than `most_repeats` times.
 
 Sources get targets in code point order, null last, with weights 1, 2, 3, repeating; a target stops at most_repeats times
 the source's size and what is over goes to the others by weight. Only one row per source and per shard (at most

@@ -3,8 +3,7 @@
 A document is its token ids and an end id; only one longer than a sequence is cut, into whole sequences and one shorter first
 piece. The histogram of piece lengths (one row per length, never one per piece) goes to the driver. Patterns of one, two or
 three lengths that fill a sequence exactly are enumerated, their repeat counts are fitted to the histogram by non-negative
-least squares (accelerated projected gradients), and rounded by carrying the fractions along, never above what is left of
-a length. What no pattern takes is packed by best fit decreasing on counts: the longest pieces go to the fullest sequences
+least squares (accelerated projected gradients), and rounded down, never above what is left of a length. What no pattern takes is packed by best fit decreasing on counts: the longest pieces go to the fullest sequences
 that still hold them. The result is a plan: for ranges of ranks within a length, the sequence and the place in it.
 
 Ranks are dealt in Spark: pieces are counted by (length, hash bucket), the counts are summed before each bucket, and a row
@@ -164,8 +163,11 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray, steps: int = 300) -> n
     return x
 
 
-def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
-    """The places of all pieces: (length, first rank, count, first sequence, sequence step, offset) in order of rank."""
+def plan(histogram: dict[int, int], size: int, share: float = 0.9) -> list[tuple[int, int, int, int, int, int]]:
+    """The places of all pieces: (length, first rank, count, first sequence, sequence step, offset) in order of rank.
+
+    share: of the fitted repeats that become sequences; what stays gives best fit the short pieces that it closes gaps with.
+    """
     left = np.zeros(size + 1, dtype=np.int64)
     for n, c in histogram.items():
         left[n] = c
@@ -178,14 +180,11 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int,
 
     patterns = exact_patterns(np.flatnonzero(left), size)
     x = fit_repeats(patterns, left)
-    carry = 0.0
     for k in np.argsort(-x, kind="stable"):
-        if x[k] <= 0:
+        if share * x[k] < 1:
             break
         parts = [int(p) for p in patterns[k] if p]
-        carry += x[k]
-        repeat = min([int(carry + 0.5), *(int(left[p]) // parts.count(p) for p in parts)])
-        carry = min(carry - repeat, 1.0)
+        repeat = min([int(share * x[k]), *(int(left[p]) // parts.count(p) for p in parts)])
         if repeat > 0:
             offset = 0
             for p in sorted(parts, reverse=True):
