@@ -94,7 +94,7 @@ def read_texts(docs: DataFrame, k: int, window: int, hot: int) -> DataFrame:
                 zero = np.zeros(b - a, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(zero, pa.int32()), batch.column(0).slice(a, b - a), pa.array(n), signed(sig), pa.array(zero), pa.array(zero)], names=names)
                 held.append(h)
-                if sum(map(len, held)) > 4_000_000:
+                if sum(map(len, held)) > 2_000_000:
                     yield frequent()
                     held = []
         if held:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a narrow table up to which it is broadcast (two longs a row: 64 MB); beyond it joins shuffle.
 BROADCAST_ROWS = 4_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

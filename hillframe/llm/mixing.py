@@ -161,10 +161,11 @@ def mix_sources(
             pieces.append(own)
         return shard.drop(columns=["h", "shard", "quota"]).assign(taken=upto(end) - upto(start), pieces=pieces)
 
+    # as many tasks as shards (at most about max_shards): a shard is Python's unit of work, however few bytes it has
     kinds = dict(df.dtypes)
     held_columns = "".join(f", `keep_{c}` {kinds[c]}" for c in keep)
     schema = f"id {kinds[id_col]}, source string, size long{held_columns}, source_size long, target double, taken long, pieces array<struct<start long, words long, repeats long>>"
-    return docs.select("id", "source", "size", *(f"keep_{c}" for c in keep), "source_size", "target", "h", "shard", "quota").groupBy("source", "shard").applyInPandas(take, schema)
+    return docs.select("id", "source", "size", *(f"keep_{c}" for c in keep), "source_size", "target", "h", "shard", "quota").repartition(max(1, len(rows)), "source", "shard").groupBy("source", "shard").applyInPandas(take, schema)
 
 
 def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -188,7 +189,9 @@ def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
             columns[at] = pa.array(out, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return mixed.select(*(F.col(f"keep_{c}").alias(c) for c in names), F.col("pieces").alias("__pieces")).mapInArrow(read, schema)
+    taken = mixed.where("taken > 0").select(*(F.col(f"keep_{c}").alias(c) for c in names), F.col("pieces").alias("__pieces"))
+    # cut here: two Python steps in one task would hold two workers a core
+    return cut(taken, "mixed").mapInArrow(read, schema)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,7 @@ def read_sets(docs: DataFrame, k: int, common: int = 3) -> DataFrame:
                         seen.add(s)
                         fresh[i] = True
                 held.append(h[fresh[d]])
-                if sum(map(len, held)) > 4_000_000:
+                if sum(map(len, held)) > 2_000_000:
                     yield frequent()
                     held, seen = [], set()
         if held:
