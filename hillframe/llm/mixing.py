@@ -43,7 +43,7 @@ def fill_targets(sizes: list[int], weights: list[float], most: float) -> list[fl
                 out[i] = left * weights[i] / w
             break
         for i in sorted(over):
-            out[i] = most * sizes[i]
+            out[i] = float(most * sizes[i])
             free.remove(i)
         left = total - sum(out[i] for i in range(len(sizes)) if i not in free)
     return out
