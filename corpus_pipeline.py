@@ -37,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2), 1024)
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2, most_words=250_000), 1024)
 
 
 STAGES = [

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, cut, maybe_broadcast, mix, shingles, signed, slices, text_bytes
+from .common import Words, cut, map_batches, maybe_broadcast, mix, shingles, signed, slices, text_bytes
 
 SEEDS = "key long, salt int, doc long, pos int"
 ANCHORS = "key long, salt int, doc long, pos int, lead long, lead_pos int"
@@ -100,7 +100,7 @@ def read_texts(docs: DataFrame, k: int, window: int, hot: int) -> DataFrame:
         if held:
             yield frequent()
 
-    return docs.mapInArrow(read, "kind int, doc_id long, n long, sig long, key long, c long")
+    return docs.transform(map_batches, read, "kind int, doc_id long, n long, sig long, key long, c long")
 
 
 def seed_rows(docs: DataFrame, k: int, window: int, frequent: np.ndarray, parts: np.ndarray) -> DataFrame:
@@ -121,7 +121,7 @@ def seed_rows(docs: DataFrame, k: int, window: int, frequent: np.ndarray, parts:
                 if len(h):
                     yield pa.RecordBatch.from_arrays([signed(h), pa.array(salt, pa.int32()), pa.array(doc), pa.array(p, pa.int32())], names=["key", "salt", "doc", "pos"])
 
-    return docs.mapInArrow(read, SEEDS)
+    return docs.transform(map_batches, read, SEEDS)
 
 
 def led_places(seeds: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def led_places(seeds: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds, strict=True)], names=["key", "salt", "doc", "pos", "lead", "lead_pos"])
 
-    return seeds.repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "pos").mapInArrow(lead, ANCHORS)
+    return seeds.repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "pos").transform(map_batches, lead, ANCHORS)
 
 
 class Fenwick:
@@ -254,7 +254,7 @@ def chain_pairs(anchors: DataFrame, k: int, reach: int, least: int) -> DataFrame
         if held:
             yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    return anchors.select("x", "y", "px", "py").repartition("x", "y").sortWithinPartitions("x", "y", "px", "py").mapInArrow(read, CHAINS)
+    return anchors.select("x", "y", "px", "py").repartition("x", "y").sortWithinPartitions("x", "y", "px", "py").transform(map_batches, read, CHAINS)
 
 
 def _extend(a: np.ndarray, b: np.ndarray, drop: int = 4) -> tuple[int, int]:
@@ -330,7 +330,7 @@ def aligned_chains(chains: DataFrame, docs: DataFrame, margin: int, identity: fl
                 rows = [h[f + p : f + q].tobytes() for f, p, q in zip(w.first[:-1].tolist(), low.tolist(), high.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(low, pa.int32()), pa.array(rows, pa.binary())], names=["chain", "side", "low", "words"])
 
-    words = met.mapInArrow(fetch, "chain long, side int, low int, words binary")
+    words = met.transform(map_batches, fetch, "chain long, side int, low int, words binary")
     one = words.groupBy("chain").agg(*(F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{c}{s}") for s in (0, 1) for c in ("low", "words")))
     joined = chains.join(one, "chain")
 
@@ -351,7 +351,7 @@ def aligned_chains(chains: DataFrame, docs: DataFrame, margin: int, identity: fl
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "from_word", "to_word", "other_id", "other_from", "other_to", "identity"])
 
     schema = "doc_id long, from_word int, to_word int, other_id long, other_from int, other_to int, identity double"
-    return joined.select("x", "y", "anchors", "low0", "low1", "words0", "words1").mapInArrow(read, schema)
+    return joined.select("x", "y", "anchors", "low0", "low1", "words0", "words1").transform(map_batches, read, schema)
 
 
 def repeated_passages(
@@ -442,7 +442,7 @@ def remove_passages(df: DataFrame, found: DataFrame, id_col: str = "doc_id", tex
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return joined.select(*df.columns, "__spans").mapInArrow(read, schema)
+    return joined.select(*df.columns, "__spans").transform(map_batches, read, schema)
 
 
 def op10_chains(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a narrow table up to which it is broadcast (two longs a row: 64 MB); beyond it joins shuffle.
 BROADCAST_ROWS = 4_000_000
 SLICE_BYTES = 1_000_000
+#: Bytes of an Arrow batch, in the JVM and in the Python worker: rows of long texts come in shorter batches; a longer row stands alone.
+BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,6 +53,12 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches of at most BATCH_BYTES, however long the texts are. The session keeps that bound."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(work, schema)
+
+
 def labelled_sample(df: DataFrame, key: str, limit: int, seed: str) -> DataFrame:
     """At most `limit` rows in the order of a seeded hash of the key: the same rows in every run."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(limit)

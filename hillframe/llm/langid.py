@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import map_batches, slices, text_bytes
 
 RESULT = "doc_id long, lang_pred string, score double, bits_per_byte double"
 _LETTER = np.zeros(256, dtype=bool)
@@ -169,7 +169,7 @@ def train_trees(labelled: DataFrame, docs_per_language: int = 1500, max_order: i
                     if len(found):
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(np.full(len(found), k + 1, dtype=np.int32)), pa.array(found), pa.array(count)], names=["lang", "n", "key", "c"])
 
-    counted = some.mapInArrow(grams, "lang string, n int, key long, c long").groupBy("lang", "n", "key").agg(F.sum("c").alias("c"))
+    counted = some.transform(map_batches, grams, "lang string, n int, key long, c long").groupBy("lang", "n", "key").agg(F.sum("c").alias("c"))
     got = counted.toPandas()
     rows_ = list(zip(got["lang"], got["n"].tolist(), got["key"].tolist(), got["c"].tolist(), strict=True))
     return build_trees(rows_, max_order) if rows_ else None
@@ -208,7 +208,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, id_col: str = "doc_id",
             names, score, rate = score_column(batch.column(1), held.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(rate)], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(read, RESULT)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).transform(map_batches, read, RESULT)
 
 
 def keep_in_a_language(docs: DataFrame, trees: ContextTrees | None, text: str = "text", most_bits: float = 8.0) -> DataFrame:
@@ -220,7 +220,7 @@ def keep_in_a_language(docs: DataFrame, trees: ContextTrees | None, text: str =
             names, _, rate = score_column(batch.column(at), held.value)
             yield batch.filter(pa.array((np.array(names, dtype=object) != "und") & (rate < most_bits)))
 
-    return docs.mapInArrow(read, docs.schema)
+    return docs.transform(map_batches, read, docs.schema)
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:

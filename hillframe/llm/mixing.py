@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, cut, mix, n_words, text_bytes
+from .common import Words, cut, map_batches, mix, n_words, text_bytes
 
 
 def fill_targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
@@ -191,7 +191,7 @@ def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
 
     taken = mixed.where("taken > 0").select(*(F.col(f"keep_{c}").alias(c) for c in names), F.col("pieces").alias("__pieces"))
     # cut here: two Python steps in one task would hold two workers a core
-    return cut(taken, "mixed").mapInArrow(read, schema)
+    return cut(taken, "mixed").transform(map_batches, read, schema)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

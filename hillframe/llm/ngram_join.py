@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, cut, distinct, maybe_broadcast, mix, order_by, shingles, signed, slices, text_bytes
+from .common import Words, cut, distinct, map_batches, maybe_broadcast, mix, order_by, shingles, signed, slices, text_bytes
 from .components import components
 
 SETS = "kind int, doc_id long, n int, sig long, key long, c long"
@@ -84,7 +84,7 @@ def read_sets(docs: DataFrame, k: int, common: int = 3) -> DataFrame:
         if held:
             yield frequent()
 
-    return docs.mapInArrow(read, SETS)
+    return docs.transform(map_batches, read, SETS)
 
 
 def choose_boundary(sizes: list[tuple[int, int]], numerator: int, denominator: int, scan: float = 4.0) -> int:
@@ -156,7 +156,7 @@ def prefix_keys(docs: DataFrame, k: int, numerator: int, denominator: int, bound
                     salt = np.where(parts > 0, (own % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64) + 1, 0)
                     yield pa.RecordBatch.from_arrays([signed(key), pa.array(salt, pa.int32()), signed(own), pa.array(n[doc], pa.int32()), pa.array(at, pa.int32()), pa.array(rare[doc], pa.int32())], names=["key", "salt", "sig", "n", "pos", "rare"])
 
-    return docs.select("text").mapInArrow(read, POSTINGS)
+    return docs.select("text").transform(map_batches, read, POSTINGS)
 
 
 def led_lists(postings: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def led_lists(postings: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds, strict=True)], names=[*names[:5], "lead", "lead_n", "lead_pos", "lead_rare"])
 
-    return postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "rare", "sig").mapInArrow(lead, LISTS)
+    return postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "rare", "sig").transform(map_batches, lead, LISTS)
 
 
 def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, numerator: int, denominator: int) -> DataFrame:
@@ -207,7 +207,7 @@ def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, numerato
             for a, b, _, _, _, sig in _sets(batch.column(0), k):
                 yield pa.RecordBatch.from_arrays([signed(sig), batch.column(0).slice(a, b - a)], names=["sig", "text"])
 
-    texts = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(sign, "sig long, text string")
+    texts = docs.join(wanted, "doc_id", "left_semi").select("text").transform(map_batches, sign, "sig long, text string")
     texts = cut(texts.join(sets.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "compared-texts")
     c = F.col
     met = pairs.join(texts.select(c("sig").alias("s"), c("text").alias("a")), "s").join(texts.select(c("sig").alias("t"), c("text").alias("b")), "t")
@@ -224,7 +224,7 @@ def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, numerato
                 out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(shared), pa.array(total)], names=["s", "t", "shared", "total"])
                 yield out.filter(pa.array(denominator * shared >= numerator * total))
 
-    return met.select("s", "t", "a", "b").mapInArrow(read, "s long, t long, shared long, total long")
+    return met.select("s", "t", "a", "b").transform(map_batches, read, "s long, t long, shared long, total long")
 
 
 def jaccard_components(

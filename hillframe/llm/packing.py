@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_batches
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _GAP = re.compile(r"\s\s")
@@ -91,18 +91,22 @@ class WordCachedTokenizer:
 _CODERS: dict[str, WordCachedTokenizer] = {}
 
 
-def coder(path: str) -> WordCachedTokenizer:
+def coder(path: str, most: int = 1_000_000) -> WordCachedTokenizer:
     """One tokenizer per worker process, kept from task to task."""
     if path not in _CODERS:
         _CODERS[path] = WordCachedTokenizer(path)
+    _CODERS[path].most = most
     return _CODERS[path]
 
 
-def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids as unsigned 32-bit little-endian."""
+def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: int, id_col: str = "doc_id", text: str = "text", most_words: int = 1_000_000) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids as unsigned 32-bit little-endian.
+
+    most_words: words and parts that a worker remembers the ids of (about 150 bytes each); it bounds memory and changes speed alone.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = coder(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
+        words, end = coder(tokenizer_path, most_words), np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
             for i, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -115,7 +119,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: in
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(pieces, PIECE)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).transform(map_batches, pieces, PIECE)
 
 
 def exact_patterns(lengths: np.ndarray, size: int) -> np.ndarray:

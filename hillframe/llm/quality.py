@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, labelled_sample, mix, slices, text_bytes
+from .common import Words, labelled_sample, map_batches, mix, slices, text_bytes
 
 LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_upper", "n_digits", "n_marks", "n_lines", "n_distinct", "n_stops"]
 #: What the rules may test, as expressions of the statistics; all are rates, so they mean the same at any length.
@@ -95,7 +95,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), *(pa.array(out[:, j]) for j in range(len(LONGS)))], names=["doc_id", *LONGS])
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in LONGS)
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(read, schema)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).transform(map_batches, read, schema)
 
 
 @dataclasses.dataclass(frozen=True)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_batches
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -129,7 +129,7 @@ def top_k(
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*rows, strict=True)], names=["query_id", "vec_id", "score"])
 
-    found = dealt.select("side", "id", "v").mapInArrow(score, RESULT).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = dealt.select("side", "id", "v").transform(map_batches, score, RESULT).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))), 1, k)
     return (
         found.groupBy("query_id")

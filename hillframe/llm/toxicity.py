@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import labelled_sample
+from .common import labelled_sample, map_batches
 from .langid import held_out
 
 RESULT = "doc_id long, score double, evidence double, strongest double, windows long"
@@ -274,7 +274,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: st
             out = pd.DataFrame(rows, columns=["score", "evidence", "strongest", "windows"])
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[c].to_numpy(k)) for c, k in zip(out, ("f8", "f8", "f8", "i8"), strict=True))], names=["doc_id", *out])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(read, RESULT)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).transform(map_batches, read, RESULT)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, new_path
+from .common import cut, map_batches, new_path
 
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 _NS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -242,7 +242,7 @@ def write_warc(
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["shard", "seq", "file", "n_records", "first_key", "last_key", "bytes", "sha1"])
 
     manifest = f"{folder}/manifest"
-    dealt.mapInArrow(write, MANIFEST).write.parquet(manifest)
+    dealt.transform(map_batches, write, MANIFEST).write.parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 
@@ -294,7 +294,7 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> Da
                 if rows:
                     yield flush(rows)
 
-    return manifest.repartition(max(1, files)).mapInArrow(read, RECORD)
+    return manifest.repartition(max(1, files)).transform(map_batches, read, RECORD)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
