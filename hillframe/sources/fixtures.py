@@ -59,6 +59,13 @@ SELECT CAST(p_partkey AS BIGINT) AS way_id,
        CASE p_partkey % 5 WHEN 0 THEN '2' WHEN 1 THEN '3|2' ELSE NULL END AS lanes,
        CASE WHEN p_partkey % 3 = 0 THEN '1' ELSE NULL END AS lanes_forward, CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE NULL END AS lanes_backward,
        CASE p_partkey % 4 WHEN 0 THEN 'primary' WHEN 1 THEN 'residential' WHEN 2 THEN 'track' ELSE NULL END AS highway FROM part""",
+    "building": """
+SELECT CAST(p_partkey AS BIGINT) AS way_id, CASE p_partkey % 6 WHEN 0 THEN '7,5 m' WHEN 1 THEN '12;9' WHEN 2 THEN 'tall' WHEN 3 THEN '1' ELSE NULL END AS height,
+       CASE p_partkey % 4 WHEN 0 THEN '3' WHEN 1 THEN '2|1' WHEN 2 THEN 'x' ELSE NULL END AS levels,
+       CASE p_partkey % 5 WHEN 0 THEN 'house' WHEN 1 THEN 'Church' WHEN 2 THEN 'garage' WHEN 3 THEN 'yes' ELSE NULL END AS building FROM part""",
+    "ground_tag": """
+SELECT CAST(p_partkey AS BIGINT) AS way_id, CASE p_partkey % 7 WHEN 0 THEN 'bare_rock' WHEN 1 THEN 'Wood' WHEN 2 THEN 'heath' WHEN 3 THEN 'water' ELSE NULL END AS natural_tag,
+       CASE p_partkey % 5 WHEN 0 THEN 'quarry' WHEN 1 THEN 'meadow' WHEN 2 THEN 'Residential' WHEN 3 THEN 'forest' ELSE NULL END AS landuse_tag FROM part""",
     "raw_id": """
 SELECT CAST(c_custkey AS BIGINT) AS k, CAST(CASE c_custkey % 3 WHEN 0 THEN c_custkey WHEN 1 THEN 10000000 + c_custkey ELSE 20000000 + c_custkey END AS BIGINT) AS raw,
        CASE c_custkey % 2 WHEN 0 THEN 'tirol' ELSE 'suedtirol' END AS authority FROM customer""",
