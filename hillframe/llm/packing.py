@@ -271,7 +271,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
+    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2, most_words=1_800_000)
     packed = pack(pieces, 1024)
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
