@@ -4,8 +4,8 @@
    with a common run of window + k - 1 words share a seed. Texts that are equal as word sequences are one text here.
 2. Anchors: a seed that several texts hold links each of its places with its first place (the leader of the list), not all with all. Seeds
    that a thousand texts hold are salted by text, and the leaders of the parts are linked with the first of them.
-3. Chains: the anchors of two texts, in the order of the first, are joined into runs on one diagonal; a Fenwick tree over places
-   in the second text gives every run its best predecessor under a linear gap cost, in O(n log n).
+3. Chains: the anchors of two texts, in the order of the first, are joined into runs on one diagonal; a tree over places in
+   the second text gives every run its best predecessor within reach under a linear gap cost, in O(n log n).
 4. Alignment: the words of each chain, with a margin, are fetched from both texts; anchors are exact, gaps between them and
    the ends are aligned word by word, and the chain is kept if enough of its words match.
 5. Passages: aligned chains of one text that overlap or touch are merged; merged passages of at least min_words words remain.
@@ -18,6 +18,7 @@ without an id take no part; empty tables give no rows; other columns are ignored
 from __future__ import annotations
 
 import bisect
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,25 +153,46 @@ def led_places(seeds: DataFrame) -> DataFrame:
     return seeds.repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "pos").transform(map_batches, lead, ANCHORS)
 
 
-class Fenwick:
-    """Greatest value over a prefix of places."""
+class GreatestInRange:
+    """Greatest value over a range of places, where values come and go in one order."""
 
     def __init__(self, n: int):
-        self.best: list[tuple[float, int]] = [(float("-inf"), -1)] * (n + 1)
+        self.size = n
+        self.best: list[tuple[float, int]] = [(float("-inf"), -1)] * (2 * n)
+        self.held: list[deque[tuple[float, int]]] = [deque() for _ in range(n)]
+
+    def _show(self, i: int) -> None:
+        own = self.held[i]
+        i += self.size
+        self.best[i] = own[0] if own else (float("-inf"), -1)
+        while i > 1:
+            i //= 2
+            self.best[i] = max(self.best[2 * i], self.best[2 * i + 1])
 
     def put(self, i: int, value: tuple[float, int]) -> None:
-        i += 1
-        while i < len(self.best):
-            if self.best[i] < value:
-                self.best[i] = value
-            i += i & -i
-
-    def upto(self, i: int) -> tuple[float, int]:
+        own = self.held[i]
+        while own and own[-1] < value:  # goes earlier and is less: never the greatest again
+            own.pop()
+        own.append(value)
+        self._show(i)
+
+    def drop(self, i: int, j: int) -> None:
+        if self.held[i] and self.held[i][0][1] == j:
+            self.held[i].popleft()
+            self._show(i)
+
+    def between(self, i: int, j: int) -> tuple[float, int]:
+        """Over places i to j - 1."""
         out = (float("-inf"), -1)
-        while i > 0:
-            if self.best[i] > out:
-                out = self.best[i]
-            i -= i & -i
+        i, j = i + self.size, j + self.size
+        while i < j:
+            if i & 1:
+                out = max(out, self.best[i])
+                i += 1
+            if j & 1:
+                j -= 1
+                out = max(out, self.best[j])
+            i, j = i // 2, j // 2
         return out
 
 
@@ -189,27 +211,32 @@ def diagonal_runs(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> list[tupl
 def chain(runs: list[tuple[int, int, int]], gap_cost: float = 0.5, most_gap: int = 60) -> list[list[tuple[int, int, int]]]:
     """Best collinear chains of runs, each run in one chain.
 
-    f(i) = words(i) + max over j that end before i in both texts of f(j) - gap_cost * (gap in x + gap in y): the costs split into
-    a part of j and a part of i, so the maximum is a prefix query on where j ends in the second text. Runs enter the tree
-    in the order in which they end in the first text.
+    f(i) = words(i) + max over j that end before i in both texts, by most_gap words at most, of f(j) - gap_cost * (gap in x + gap in y):
+    the costs split into a part of j and a part of i, so the maximum is a range query on where j ends in the second text. Runs
+    enter the tree in the order in which they end in the first text, and leave it in that order when they are out of reach.
     """
+    if len(runs) == 1:
+        return [runs]
     ends = sorted({y + n for _, y, n in runs})
-    tree = Fenwick(len(ends))
+    place = [bisect.bisect_left(ends, y + n) for _, y, n in runs]
+    tree = GreatestInRange(len(ends))
     score, back = [0.0] * len(runs), [-1] * len(runs)
     waiting = sorted(range(len(runs)), key=lambda i: runs[i][0] + runs[i][2])
-    w = 0
+    w = gone = 0
     for i, (x, y, n) in enumerate(runs):
         while w < len(waiting) and runs[waiting[w]][0] + runs[waiting[w]][2] <= x and waiting[w] < i:
             j = waiting[w]
             xj, yj, nj = runs[j]
-            tree.put(bisect.bisect_left(ends, yj + nj), (score[j] + gap_cost * (xj + nj + yj + nj), j))
+            tree.put(place[j], (score[j] + gap_cost * (xj + nj + yj + nj), j))
             w += 1
-        best, j = tree.upto(bisect.bisect_right(ends, y))
+        while gone < w and x - runs[waiting[gone]][0] - runs[waiting[gone]][2] > most_gap:
+            tree.drop(place[waiting[gone]], waiting[gone])
+            gone += 1
+        best, j = tree.between(bisect.bisect_left(ends, y - most_gap), bisect.bisect_right(ends, y))
         score[i] = float(n)
         if j >= 0:
-            xj, yj, nj = runs[j]
             gain = best - gap_cost * (x + y)
-            if gain > 0 and x - xj - nj <= most_gap and y - yj - nj <= most_gap:
+            if gain > 0:
                 score[i], back[i] = n + gain, j
     used = [False] * len(runs)
     out = []

@@ -271,6 +271,23 @@ def test_chain_equals_quadratic_search():
         assert abs(score - max(best)) < 1e-9
 
 
+def test_chain_equals_quadratic_search_within_reach():
+    rng = np.random.default_rng(7)
+    for most_gap, wide in ((60, 400), (60, 1200), (5, 60)):
+        for _ in range(60):
+            runs = sorted((int(x), int(y), int(n)) for x, y, n in zip(rng.integers(0, wide, 40), rng.integers(0, wide, 40), rng.integers(5, wide // 6, 40), strict=True))
+            best = []
+            for i, (x, y, n) in enumerate(runs):
+                gains = [best[j] - 0.5 * (x - a - m + y - b - m) for j, (a, b, m) in enumerate(runs[:i]) if 0 <= x - a - m <= most_gap and 0 <= y - b - m <= most_gap]
+                best.append(n + max([0.0, *gains]))
+            top = chains.chain(runs, 0.5, most_gap)[0]
+            assert all(q[0] - p[0] - p[2] <= most_gap and q[1] - p[1] - p[2] <= most_gap for p, q in zip(top, top[1:], strict=False))
+            score = sum(r[2] for r in top) - 0.5 * sum(q[0] - p[0] - p[2] + q[1] - p[1] - p[2] for p, q in zip(top, top[1:], strict=False))
+            assert abs(score - max(best)) < 1e-9
+    runs = [(0, 0, 500), (570, 570, 30), (606, 600, 30)]
+    assert chains.chain(runs) == [[(0, 0, 500)], [(570, 570, 30), (606, 600, 30)]]
+
+
 def test_pipeline_keeps_clean_documents(spark, sf_dir):
     import corpus_pipeline
 
