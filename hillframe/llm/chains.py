@@ -1,7 +1,7 @@
 """Substring dedup by collinear chaining: passages that documents share, edits included.
 
-1. Seeds: of every `window` consecutive k-word windows of a text, the one of smallest hash (a minimizer), so that two texts
-   with a common run of window + k - 1 words share a seed. Texts that are equal as word sequences are one text here.
+1. Seeds: every k-word window of a text, so that two texts with a common run of k words share a seed. Texts that are equal as word
+   sequences are one text here.
 2. Anchors: a seed that several texts hold links each of its places with its first place (the leader of the list), not all with all. Seeds
    that a thousand texts hold are salted by text, and the leaders of the parts are linked with the first of them.
 3. Chains: the anchors of two texts, in the order of the first, are joined into runs on one diagonal; a tree over places in
@@ -13,6 +13,8 @@
 Defined results: null and empty texts have no passage; of equal texts with at least min_words words the one with the smallest
 id is the source of the others' only passage, which is all of the text; a repeat inside one text alone isn't reported; rows
 without an id take no part; empty tables give no rows; other columns are ignored by the search and kept by the removal.
+
+Open: a passage of two texts whose seeds are all led by different earlier texts, in stretches under min_words // 4 words, is not found.
 """
 
 from __future__ import annotations
@@ -26,41 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, cut, map_batches, maybe_broadcast, mix, shingles, signed, slices, text_bytes
+from .common import Words, cut, map_batches, maybe_broadcast, mix, order_by, shingles, signed, slices, text_bytes
 
-SEEDS = "key long, salt int, doc long, pos int"
+SEEDS = "share int, keys binary, docs binary, places binary, salts binary"
 ANCHORS = "key long, salt int, doc long, pos int, lead long, lead_pos int"
 CHAINS = "x long, y long, x0 int, x1 int, y0 int, y1 int, anchors array<int>"
 
 
-def _minimizers(h: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
-    """Indices of the seeds: windows whose hash is least in some `window` consecutive ones of their text."""
-    n = len(h)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
-    cuts = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-    # texts apart by `window` of the greatest value
-    shift = np.zeros(n, dtype=np.int64)
-    shift[cuts] = window
-    at = np.arange(n) + np.cumsum(shift) + window
-    line = np.full(at[-1] + 1 + window, top, dtype=np.uint64)
-    line[at] = h
-    low, span = line.copy(), 1
-    while span < window:  # least of windows that begin here
-        step = min(span, window - span)
-        low[: len(low) - step] = np.minimum(low[: len(low) - step], low[step:])
-        span += step
-    high, span = low.copy(), 1
-    while span < window:  # greatest of those leasts among the windows that hold this place
-        step = min(span, window - span)
-        high[step:] = np.maximum(high[step:], high[: len(high) - step].copy())
-        span += step
-    # windows over a text's end are partial ones; a text's own windows decide wherever it has whole ones
-    return np.flatnonzero(high[at] == h)
-
-
-def _seeds(column: pa.Array, k: int, window: int):
+def _seeds(column: pa.Array, k: int):
     """Row range, then document, hash and word position of the seeds of a slice, words per document and a signature."""
     data, offsets = text_bytes(column)
     for a, b in slices(offsets):
@@ -73,11 +48,10 @@ def _seeds(column: pa.Array, k: int, window: int):
         h, d, p = shingles(w, words, k)
         whole = w.n[d] >= k
         h, d, p = h[whole], d[whole], p[whole]
-        at = _minimizers(h, d, window)
-        yield a, b, d[at], h[at], p[at], w.n, sig
+        yield a, b, d, h, p, w.n, sig
 
 
-def read_texts(docs: DataFrame, k: int, window: int, hot: int) -> DataFrame:
+def read_texts(docs: DataFrame, k: int, hot: int) -> DataFrame:
     """kind 0: doc_id, words and signature of every text; kind 1: a seed that `hot` or more texts of one part hold, and how many."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +65,7 @@ def read_texts(docs: DataFrame, k: int, window: int, hot: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(zero + 1, pa.int32()), pa.array(zero), pa.array(zero), pa.array(zero), signed(h), pa.array(c)], names=names)
 
         for batch in batches:
-            for a, b, _, h, _, n, sig in _seeds(batch.column(1), k, window):
+            for a, b, _, h, _, n, sig in _seeds(batch.column(1), k):
                 zero = np.zeros(b - a, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(zero, pa.int32()), batch.column(0).slice(a, b - a), pa.array(n), signed(sig), pa.array(zero), pa.array(zero)], names=names)
                 held.append(h)
@@ -104,53 +78,80 @@ def read_texts(docs: DataFrame, k: int, window: int, hot: int) -> DataFrame:
     return docs.transform(map_batches, read, "kind int, doc_id long, n long, sig long, key long, c long")
 
 
-def seed_rows(docs: DataFrame, k: int, window: int, frequent: np.ndarray, parts: np.ndarray) -> DataFrame:
-    """One row per seed of every text; frequent seeds get one of their parts as salt, by text."""
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: what is alike stands together, for the shuffle's compression."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _numbers(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def seed_rows(docs: DataFrame, k: int, frequent: np.ndarray, parts: np.ndarray, shares: int) -> DataFrame:
+    """The seeds of every text, by share of the seeds, as bytes; frequent seeds get one of their parts as salt, by text.
+
+    One row per slice of texts and share: a row per seed would take twice the disk and most of the time.
+    """
     held = docs.sparkSession.sparkContext.broadcast((frequent, parts))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, parts = held.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, _, d, h, p, _, _ in _seeds(batch.column(1), k, window):
+            for a, _, d, h, p, _, _ in _seeds(batch.column(1), k):
+                if not len(h):
+                    continue
                 doc = ids[a + d]
-                salt = np.zeros(len(h), dtype=np.int64)
-                if len(frequent) and len(h):
+                salt = np.zeros(len(h), dtype=np.int32)
+                if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
                     hit = frequent[at] == h
-                    salt[hit] = (mix(doc[hit].astype(np.uint64)) % parts[at[hit]].astype(np.uint64)).astype(np.int64) + 1
-                if len(h):
-                    yield pa.RecordBatch.from_arrays([signed(h), pa.array(salt, pa.int32()), pa.array(doc), pa.array(p, pa.int32())], names=["key", "salt", "doc", "pos"])
+                    salt[hit] = (mix(doc[hit].astype(np.uint64)) % parts[at[hit]].astype(np.uint64)).astype(np.int32) + 1
+                share = (mix(h ^ mix(salt.astype(np.uint64))) % np.uint64(shares)).astype(np.int64)
+                order = order_by(share)
+                share, x = share[order], (h[order], doc[order], p[order].astype(np.int32), salt[order])
+                edge = np.concatenate([[0], np.flatnonzero(share[1:] != share[:-1]) + 1, [len(share)]])
+                rows = [[_planes(v[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)] for v in x]
+                yield pa.RecordBatch.from_arrays([pa.array(share[edge[:-1]], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["share", "keys", "docs", "places", "salts"])
 
     return docs.transform(map_batches, read, SEEDS)
 
 
-def led_places(seeds: DataFrame) -> DataFrame:
-    """Every place of a seed with the first place (smallest document) of its list; lists in one text alone are left out."""
+def led_places(seeds: DataFrame, shares: int) -> DataFrame:
+    """Every place of a seed with the first place (smallest document) of its list; lists in one text alone are left out.
+
+    The key is given for salted lists, whose leaders are linked later, and is 0 elsewhere.
+    """
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = None
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            was = carried is not None
-            if was:
-                x = [np.concatenate([[c], v]).astype(v.dtype) for c, v in zip(carried, x, strict=True)]
-            begin = np.ones(len(x[0]), dtype=bool)
-            begin[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])
-            starts = np.flatnonzero(begin)
-            first = starts[np.cumsum(begin) - 1]
-            # the leader's own row is given for salted lists alone: there it stands for its part
-            give = (x[2] != x[2][first]) | ((x[1] > 0) & begin)
-            if was:
-                give[0] = False
-            fresh = [v[starts[-1]] for v in x]
-            carried = fresh
-            if give.any():
-                rows = [v[give] for v in x] + [x[2][first[give]], x[3][first[give]]]
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds, strict=True)], names=["key", "salt", "doc", "pos", "lead", "lead_pos"])
-
-    return seeds.repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "pos").transform(map_batches, lead, ANCHORS)
+            for row in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
+                held.append([_numbers(v.as_py(), t) for v, t in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=True)])
+        if not held:
+            return
+        key, doc, pos, salt = (np.concatenate(v) for v in zip(*held, strict=True))
+        held.clear()
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        order = order[np.append(same, False) | np.append(False, same)]  # most seeds stand at one place alone
+        key, doc, pos, salt = key[order], doc[order], pos[order], salt[order]
+        order = np.lexsort((pos, doc, salt, key))
+        key, doc, pos, salt = key[order], doc[order], pos[order], salt[order]
+        del order
+        begin = np.ones(len(key), dtype=bool)
+        begin[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
+        first = np.flatnonzero(begin)[np.cumsum(begin) - 1]
+        # the leader's own row is given for salted lists alone: there it stands for its part
+        give = np.flatnonzero((doc != doc[first]) | ((salt > 0) & begin))
+        for i in range(0, len(give), 100_000):
+            at = give[i : i + 100_000]
+            led = first[at]
+            rows = [np.where(salt[at] > 0, key[at], np.uint64(0)).view(np.int64), salt[at], doc[at], pos[at], doc[led], pos[led]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows], names=["key", "salt", "doc", "pos", "lead", "lead_pos"])
+
+    return seeds.repartitionById(shares, F.col("share")).transform(map_batches, lead, ANCHORS)
 
 
 class GreatestInRange:
@@ -386,19 +387,21 @@ def repeated_passages(
     id_col: str = "doc_id",
     text: str = "text",
     k: int = 5,
-    window: int = 8,
+    reach: int = 13,
     min_words: int = 50,
     identity: float = 0.8,
     most_frequent: int = 1_000_000,
     hot: int = 200,
+    share_seeds: int = 2_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(spans, copies). spans: aligned spans of a document's text with an earlier document's; copies: doc_id, source_id, n_words of equal texts.
 
     Spans may be shorter than min_words: passages() merges what touches and keeps the long ones. most_frequent bounds the broadcast list of
-    seeds to salt (16 bytes each, the most frequent first); it spreads work and leaves nothing out.
+    seeds to salt (16 bytes each, the most frequent first); it spreads work and leaves nothing out. reach: words between anchors of a run,
+    and words beside a chain that are aligned too. share_seeds: about how many seeds a task sorts at once.
     """
     docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = cut(read_texts(docs, k, window, hot), "texts")
+    found = cut(read_texts(docs, k, hot), "texts")
     texts = found.where("kind = 0 and n > 0").select("doc_id", "n", "sig")
     first = cut(texts.groupBy("sig").agg(F.min("doc_id").alias("source_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("sig", "source_id"), "sources")
     copies = cut(texts.join(first, "sig").where("doc_id <> source_id").select("doc_id", "source_id", F.col("n").alias("n_words")).distinct(), "copies")
@@ -407,15 +410,16 @@ def repeated_passages(
     order = np.argsort(keys)
     parts = np.maximum(1, frequent["c"].to_numpy("int64")[order] // (2 * hot))
     single = docs.where("text is not null").join(maybe_broadcast(copies.select("doc_id")), "doc_id", "left_anti")
-    places = cut(led_places(seed_rows(single, k, window, keys[order], parts)), "places")
+    shares = max(1, -(-(texts.agg(F.sum("n")).first()[0] or 0) // share_seeds))
+    places = cut(led_places(seed_rows(single, k, keys[order], parts, shares), shares), "places")
     # parts of frequent seeds: their leaders with the first of them
     c = F.col
     leaders = cut(places.where("salt > 0").select("key", "lead", "lead_pos").distinct(), "part-leaders")
     head = leaders.groupBy("key").agg(F.min(F.struct("lead", "lead_pos")).alias("h")).select("key", c("h.lead").alias("y"), c("h.lead_pos").alias("py"))
     across = leaders.join(cut(head, "heads"), "key").where("lead <> y").select(c("lead").alias("x"), "y", c("lead_pos").alias("px"), "py")
     anchors = places.where("doc <> lead").select(c("doc").alias("x"), c("lead").alias("y"), c("pos").alias("px"), c("lead_pos").alias("py")).unionByName(across)
-    chains = chain_pairs(anchors, k, window + k, min_words // 4)
-    return aligned_chains(chains, single, window + k, identity, min_words // 4), copies
+    chains = chain_pairs(anchors, k, reach, min_words // 4)
+    return aligned_chains(chains, single, reach, identity, min_words // 4), copies
 
 
 def passages(spans: DataFrame, copies: DataFrame, min_words: int = 50, touch: int = 3, both_sides: bool = True) -> DataFrame:

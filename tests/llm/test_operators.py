@@ -288,6 +288,20 @@ def test_chain_equals_quadratic_search_within_reach():
     assert chains.chain(runs) == [[(0, 0, 500)], [(570, 570, 30), (606, 600, 30)]]
 
 
+def test_chains_find_passages_edited_every_six_words(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for n in range(60):
+        own = [f"p{n}_{i}" for i in range(60)]
+        edited = [f"e{n}_{i}" if i % (6 + n % 3) == 5 else w for i, w in enumerate(own)]
+        for side, middle in enumerate((own, edited)):
+            around = [f"u{n}_{side}_{i}" for i in range(int(rng.integers(20, 60)))]
+            texts.append(" ".join([*around[:20], *middle, *around[20:]]))
+    spans, copies = chains.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), share_seeds=1000)
+    found = {r["doc_id"]: r["source_id"] for r in chains.passages(spans, copies, both_sides=False).collect()}
+    assert found == {i: i - 1 for i in range(1, 120, 2)}
+
+
 def test_pipeline_keeps_clean_documents(spark, sf_dir):
     import corpus_pipeline
 
