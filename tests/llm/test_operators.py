@@ -153,6 +153,19 @@ def test_html_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_html_names_do_not_hide_the_article():
+    body = "<header class='entry-header'><h1>Title</h1></header><p>The story.</p><div class='sidebar'>ad</div>"
+    for around in ("content-sidebar-wrap", "has-sidebar", "site comments-open", "plain"):
+        for tag in ("article", "main"):
+            assert html_text.main_text(f"<div class='{around}'><{tag}>{body}</{tag}><div class='sidebar'>beside</div></div>") == "Title The story."
+    wrapped = f"<div class='has-sidebar'><article>{body}</article><div class='related'><article>A card that is longer than the story is</article></div></div>"
+    assert html_text.main_text(wrapped) == "Title The story."
+    assert html_text.main_text(f"<article>{body}</article><div class='related'><article>A card that is longer than the story is</article></div>") == "Title The story."
+    assert html_text.main_text("<div id='content-sidebar-wrap'><p>A story of some length.</p><div class='sidebar'>aside</div></div><div class='ad'>buy</div>") == "A story of some length."
+    assert html_text.main_text("<div class='sidebar'>short</div><p>A story of some length.</p>") == "A story of some length."
+    assert html_text.main_text("<aside class='x'><article>card</article></aside><p>story</p>") == "story"
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(300, 20)), 3)
