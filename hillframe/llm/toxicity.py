@@ -194,72 +194,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4_000, **options) ->
     return fit(rows["text"].tolist(), rows["toxic"].to_numpy() > 0, rows["fold"].to_numpy(), sizes[True] / sizes[False], **options)
 
 
-def score(self, total: float, strongest: float) -> float:
-        a, b, c = self.curve
-        return float(1 / (1 + np.exp(-np.clip(a + b * np.clip(total, -10, 30) + c * strongest, -50, 50))))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
-    """Newton's method for a ridge-penalised logistic regression with a constant."""
-    x = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(len(w))
-        change = np.linalg.solve(hess, grad)
-        w -= change
-        if np.abs(change).max() < 1e-8:
-            break
-    return w
-
-
-def fit(texts: list[str], toxic: np.ndarray, fold: np.ndarray, odds: float | None = None, common: int = 800, **options) -> Model | None:
-    """Dictionaries from the texts of fold 0, evidence and curve from those of fold 1.
-
-    odds: toxic to ordinary texts in the corpus, where the sample holds them in another proportion.
-    """
-    own = [t for t, y, f in zip(texts, toxic, fold, strict=True) if y and f == 0]
-    other = [t for t, y, f in zip(texts, toxic, fold, strict=True) if not y and f == 0]
-    if not own or not other or not (toxic & (fold == 1)).any() or not (~toxic & (fold == 1)).any():
-        return None
-    count = collections.Counter(w for t in other for w in set(t.lower().encode().split()))
-    base = b"".join(b" " + w + b" " for w, _ in reversed(sorted(count.items(), key=lambda x: (-x[1], x[0]))[:common]))
-    theirs = marks(own, other, **options)
-    # the ordinary end is as long as the toxic one, so that neither side gains by size
-    ends, room = [], sum(map(len, theirs))
-    for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[common:]:
-        room -= len(w) + 2
-        if room < 0:
-            break
-        ends.append(b" " + w + b" ")
-    model = Model(base + b"".join(theirs), base + b"".join(reversed(ends)), np.zeros(_HIGH - _LOW + 1), (0.0, 1.0, 0.0))
-    kinds = np.ones((2, len(model.ratios)))
-    later = [(t, bool(y)) for t, y, f in zip(texts, toxic, fold, strict=True) if f == 1]
-    found = [(model.differences(t), y) for t, y in later]
-    for d, y in found:
-        kinds[int(y)] += np.bincount(d, minlength=kinds.shape[1])
-    p = kinds / kinds.sum(axis=1, keepdims=True)
-    model.ratios = np.log(p[1] / p[0])
-    x = np.array([[np.clip(model.ratios[d].sum(), -10, 30), model.ratios[d].max(initial=0.0)] for d, _ in found])
-    w = _logistic(x, np.array([y for _, y in found], dtype=float))
-    y = np.array([y for _, y in found])
-    shift = np.log(odds / (y.sum() / (~y).sum())) if odds else 0.0
-    model.curve = (float(w[0] + shift), float(w[1]), float(w[2]))
-    return model
-
-
-def train(docs: DataFrame, labels: DataFrame, sample: int = 16_000, **options) -> Model | None:
-    """Fit on at most `sample` labelled documents outside the held-out fold."""
-    known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = labelled_sample(known, "doc_id", sample, "toxicity").withColumnRenamed("doc_id", "label_id")
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
-    rows = rows.select("doc_id", "text", "toxic", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("fold")).toPandas().sort_values(["doc_id", "text"], kind="stable")
-    if rows.empty:
-        return None
-    return fit(rows["text"].tolist(), rows["toxic"].to_numpy() > 0, rows["fold"].to_numpy(), **options)
-
-
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score, the evidence behind it and the number of windows of every whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)

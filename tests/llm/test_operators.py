@@ -141,6 +141,24 @@ def test_toxic_words_are_found(spark, none):
     assert toxicity.score(none, model).count() == 0
 
 
+def test_rare_toxic_texts_are_sampled_by_class(spark):
+    rng = np.random.default_rng(9)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(300)]
+    data = []
+    for i in range(3000):
+        w = [vocabulary[j] for j in rng.integers(0, 300, 40)]
+        if i % 25 == 0:
+            w[int(rng.integers(0, 40))] = "wretchedly"
+            w[int(rng.integers(0, 40))] = "vermin"
+        data.append((i, " ".join(w), int(i % 25 == 0)))
+    t = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.train(t.select("doc_id", "text"), t.select("doc_id", "toxic"), sample=200)
+    assert model is not None and b"vermin" in model.toxic
+    got = np.array([model.score(*model.evidence(x)[:2]) >= 0.3 for _, x, _ in data])
+    y = np.array([y for _, _, y in data]) > 0
+    assert got[y].mean() > 0.9 and got[~y].mean() < 0.05
+
+
 def test_html_main_text(spark):
     page = "<html><head><title>T</title></head><body><nav><a href=/>Home</a></nav><div class='cookie-notice'>We</div><article><h1>Big  &amp;\n x</h1><p>one<b>two</b><br>three<p>four<script>'</p>'</script><aside>side</aside></article><footer>f</footer></body></html>"
     assert html_text.main_text(page) == "Big & x onetwo three four"
