@@ -115,25 +115,27 @@ class _Store:
 
 
 def _ranges(keyed: DataFrame, shard_bytes: int, bins: int = 4096, rounds: int = 6) -> list[int]:
-    """Upper bounds (exclusive) of key ranges of about shard_bytes; at most `bins` rows a round reach the driver."""
+    """Upper bounds (exclusive) of key ranges of about shard_bytes; every heavy range is cut, in passes of at most `bins` rows to the driver."""
     low, high, total = keyed.agg(F.min("key"), F.max("key"), F.sum("size")).first()
     if low is None or total <= shard_bytes:
         return []
     todo, parts = [(low, high + 1)], []
     for _ in range(rounds):
-        todo = todo[: bins // 2]
-        per = max(2, bins // len(todo))
-        spec = []
-        for a, b in todo:
-            step = max(1, -(-(b - a) // per))
-            spec.append((a, b, step))
-        lookup = keyed.sparkSession.createDataFrame(spec, "a long, b long, step long")
-        got = (
-            keyed.join(F.broadcast(lookup), (F.col("key") >= F.col("a")) & (F.col("key") < F.col("b")))
-            .groupBy("a", "b", "step", F.floor((F.col("key") - F.col("a")) / F.col("step")).alias("i"))
-            .agg(F.sum("size").alias("size"))
-            .collect()
-        )
+        got = []
+        for at in range(0, len(todo), bins // 2):
+            some = todo[at : at + bins // 2]
+            per = max(2, bins // len(some))
+            spec = []
+            for a, b in some:
+                step = max(1, -(-(b - a) // per))
+                spec.append((a, b, step))
+            lookup = keyed.sparkSession.createDataFrame(spec, "a long, b long, step long")
+            got += (
+                keyed.join(F.broadcast(lookup), (F.col("key") >= F.col("a")) & (F.col("key") < F.col("b")))
+                .groupBy("a", "b", "step", F.floor((F.col("key") - F.col("a")) / F.col("step")).alias("i"))
+                .agg(F.sum("size").alias("size"))
+                .collect()
+            )
         todo = []
         for r in got:
             x, y = r["a"] + r["i"] * r["step"], min(r["b"], r["a"] + (r["i"] + 1) * r["step"])

@@ -60,6 +60,14 @@ def test_warc_round_trip(spark):
     assert empty.count() == 0
 
 
+def test_warc_ranges_hold_every_key(spark):
+    keyed = spark.range(2000).select(F.col("id").alias("key"), F.lit(100).cast("long").alias("size"))
+    bounds = warc._ranges(keyed, 2000, bins=16)
+    sizes = np.bincount(np.searchsorted(bounds, np.arange(2000), side="right")) * 100
+    assert sizes.sum() == 200_000 and sizes.max() <= 2500
+    assert warc._ranges(keyed.repartition(7), 2000, bins=16) == bounds
+
+
 def test_quality_statistics_equal_brute_force(odd, none):
     got = {r["doc_id"]: r for r in quality.text_statistics(odd).collect()}
     for i, t in enumerate(TEXTS):
