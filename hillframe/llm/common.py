@@ -64,6 +64,33 @@ def labelled_sample(df: DataFrame, key: str, limit: int, seed: str) -> DataFrame
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(limit)
 
 
+def named(name: str) -> F.Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[F.Column]:
+    return [named(c) for c in df.columns]
+
+
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that the table doesn't have."""
+    have, name = {c.lower() for c in df.columns}, stem
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: what is alike stands together, for the shuffle's compression."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def numbers(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 # ------------------------------------------------------------------ Arrow text
 
 _M64 = (1 << 64) - 1

@@ -1,26 +1,29 @@
 """N-gram Jaccard join: size-aware, heavy and light.
 
-Sets are the distinct k-word shingles of whole texts. Two sets that meet the Jaccard threshold t share at least
-ceil(t * |x|) elements, so in one fixed order of all shingles they share l elements of their first |x| - ceil(t * |x|) + l.
-
-* Small sets (at most `boundary` elements) enumerate the pairs (subsets of fixed size two) of that prefix with l = 2 as join keys.
+Sets are the distinct k-word shingles of whole texts, each as a 64-bit hash: sets are compared as hashes, never as words. All shingles
+stand in one fixed order, by the number of sets that hold them. Two sets that meet the Jaccard threshold t share at least
+ceil(t * |x|) elements, so they share l elements of their first |x| - ceil(t * |x|) + l.
+
+* The number of sets that hold a shingle is counted over the whole table: shingles are dealt by hash, counted, and those of two sets and
+  more return to their sets. A set with fewer of them than the threshold asks for has no link and goes no further; from here on
+  only the shared shingles of the other sets are moved.
+* Small sets (at most `boundary` elements) enumerate the pairs (subsets of fixed size two) of their prefix with l = 2 as join keys.
 * Large sets put the prefix with l = 1 into inverted lists, and so do small sets near enough to the boundary to match a large one.
   Lists of shingles that a thousand sets and more hold are salted by set: each part has its own leader (below), and the leaders of
   the parts are compared with the first of them.
 
-The boundary minimises the estimated cost (subsets written against postings times the cost of scanning a list), from a histogram
-of set sizes. Shingles that are common inside some task's slice come last in the order, so they hardly ever are keys; the
-list of those affects speed alone, never the result.
+The boundary minimises the estimated cost (subsets written against postings times the cost of scanning a list), from sums over
+set sizes.
 
 Equal sets are one set (a third of all rows may be copies of one text). In each list every set is compared with the list's leader, the
-set of fewest rare shingles; then, in lists where some set isn't connected with the leader, those sets with all others of other
+set with fewest shingles of its own; then, in lists where some set isn't connected with the leader, those sets with all others of other
 components: no link between different components is lost, and a group of near copies costs as many comparisons as it has members, not
 their square. Size and position filters, which keep every pair that can meet the threshold, come before exact comparison
-of whole sets.
+of whole sets. A leader's set is sent once to every two thousand sets that are compared with it.
 
 Defined results: a null text or one without words has no set, no links and itself as component; shorter texts than k words are
-one shingle; equal texts and repeated rows are linked; rows with a null id take the component of their links; empty tables
-give no rows; other columns are ignored.
+one shingle; equal texts and repeated rows are linked; rows with a null id take the component of their links, but a text that only rows
+with a null id have links no other texts; empty tables give no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,12 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, cut, distinct, map_batches, maybe_broadcast, mix, order_by, shingles, signed, slices, text_bytes
+from .common import Words, columns_of, cut, distinct, map_batches, maybe_broadcast, mix, named, numbers, order_by, planes, shingles, signed, slices, text_bytes, unused
 from .components import components
 
 SETS = "kind int, doc_id long, n int, sig long, key long, c long"
+SHINGLES = "share int, sigs binary, sizes binary, keys binary, owners binary, held binary"
+SHARED = "sig long, n int, keys binary, held binary"
+ORDERED = "sig long, n int, rare int, keys binary, held binary"
 POSTINGS = "key long, salt int, sig long, n int, pos int, rare int"
-LISTS = "key long, salt int, sig long, n int, pos int, lead long, lead_n int, lead_pos int, lead_rare int"
+LISTS = "key long, salt int, sig long, n int, pos int, rare int, lead long, lead_n int, lead_pos int, lead_rare int"
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -55,16 +61,18 @@ def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield a, b, d, h, n, sig
 
 
-def read_sets(docs: DataFrame, k: int, common: int = 3) -> DataFrame:
-    """kind 0: doc_id, n, sig of every document; kind 1: a shingle (key) that `common` or more sets of one slice hold, and how many."""
+def read_sets(docs: DataFrame, k: int, common: int = 3, window: int = 500_000) -> DataFrame:
+    """kind 0: doc_id, n, sig of every document; kind 1: a shingle (key) that `common` or more sets of one window hold, and how many."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[int] = set()
 
         def frequent() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            h, c = h[c >= common], c[c >= common]
+            h = np.sort(np.concatenate(held))
+            edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+            c = np.diff(edge)
+            h, c = h[edge[:-1][c >= common]], c[c >= common]
             zero = np.zeros(len(h), dtype=np.int64)
             return pa.RecordBatch.from_arrays([pa.array(zero + 1, pa.int32()), pa.array(zero), pa.array(zero, pa.int32()), pa.array(zero), signed(h), pa.array(c)], names=["kind", "doc_id", "n", "sig", "key", "c"])
 
@@ -78,7 +86,7 @@ def read_sets(docs: DataFrame, k: int, common: int = 3) -> DataFrame:
                         seen.add(s)
                         fresh[i] = True
                 held.append(h[fresh[d]])
-                if sum(map(len, held)) > 2_000_000:
+                if sum(map(len, held)) > window:
                     yield frequent()
                     held, seen = [], set()
         if held:
@@ -87,60 +95,165 @@ def read_sets(docs: DataFrame, k: int, common: int = 3) -> DataFrame:
     return docs.transform(map_batches, read, SETS)
 
 
-def choose_boundary(sizes: list[tuple[int, int]], numerator: int, denominator: int, scan: float = 4.0) -> int:
-    """The set size up to which subsets are enumerated, of least estimated cost; sizes: (size, sets of about that size)."""
-
-    def prefix(n: int, shared: int) -> int:
-        return n - -(-numerator * n // denominator) + shared
+def choose_boundary(sizes: list[tuple[int, int, float, float]], numerator: int, denominator: int, scan: float = 4.0) -> int:
+    """The set size up to which subsets are enumerated, of least estimated cost.
 
+    sizes: (size, sets of about that size, sum and sum of squares of their shared shingles beyond what the threshold asks for).
+    """
     best = (float("inf"), 0)
-    for bound in sorted({0, *(n for n, _ in sizes)}):
+    for bound in sorted({0, *(s[0] for s in sizes)}):
         cost = 0.0
-        for n, c in sizes:
+        for n, c, w, w2 in sizes:
             if n <= bound:
-                p = prefix(n, 2)
-                cost += c * p * (p - 1) / 2
+                cost += (w2 + 3 * w + 2 * c) / 2
             if n > bound or denominator * n >= numerator * bound:
-                cost += c * prefix(n, 1) * scan
+                cost += (w + c) * scan
         best = min(best, (cost, bound))
     return best[1]
 
 
-def prefix_keys(docs: DataFrame, k: int, numerator: int, denominator: int, boundary: int, common: np.ndarray, held_by: np.ndarray, hot: int = 1000) -> DataFrame:
-    """One row per key of every set: prefix pairs of small sets, prefix shingles of large ones and of those near the boundary.
+def shingle_rows(docs: DataFrame, k: int, numerator: int, denominator: int, frequent: np.ndarray, held_by: np.ndarray, shares: int) -> DataFrame:
+    """The shingles of every set that another set can match, by share of the hashes, as bytes: one row per slice of texts and share.
 
-    common: sorted common shingles, held_by: by how many sets; keys of `hot` sets and more get one salt per `hot` / 2 sets.
+    frequent: sorted shingles whose number of sets (held_by) is known; they are dealt by set, so that none of them is one task's.
     """
-    held = docs.sparkSession.sparkContext.broadcast((common, np.where(held_by >= hot, 2 * held_by // hot, 0).astype(np.int64)))
+    known = docs.sparkSession.sparkContext.broadcast((frequent, np.minimum(held_by, 2**31 - 1).astype(np.uint32)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, salts = held.value
+        frequent, held_by = known.value
         seen: set[int] = set()
         for batch in batches:
             for _, _, d, h, n, sig in _sets(batch.column(0), k):
-                fresh = np.zeros(len(n), dtype=bool)  # copies in this task give their keys once
-                for i, s in enumerate(sig.tolist()):
-                    if s not in seen:
-                        seen.add(s)
-                        fresh[i] = True
-                if len(seen) > 1_000_000:
+                fresh = denominator * n >= numerator * (n + 1)  # else only an equal set can match
+                for i in np.flatnonzero(fresh).tolist():
+                    s = int(sig[i])
+                    if s in seen:
+                        fresh[i] = False
+                    seen.add(s)
+                if len(seen) > 200_000:
                     seen.clear()
-                late, spread = np.zeros(len(h), dtype=bool), np.zeros(len(h), dtype=np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                    late = common[at] == h
-                    spread = np.where(late, salts[at], 0)
-                order = order_by(2 * d + late)
-                h, d, spread = h[order], d[order], spread[order]
-                edge = np.concatenate([[0], np.cumsum(n)])
-                pos = np.arange(len(h)) - edge[d]
-                rare = n - np.bincount(d, weights=late[order], minlength=len(n)).astype(np.int64)
-                need = -(-numerator * n // denominator)
-                able = fresh & (denominator * n >= numerator * (n + 1))  # else only an equal set can match
-                lists = able & ((n > boundary) | (denominator * n >= numerator * boundary))
-                take = lists[d] & (pos < (n - need + 1)[d])
-                out = [(h[take], d[take], pos[take], spread[take])]
-                width = np.where(able & (n <= boundary) & (n >= 2), n - need + 2, 0)
+                take = fresh[d]
+                h, d = h[take], d[take]
+                if not len(h):
+                    continue
+                held = np.zeros(len(h), dtype=np.uint32)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+                    held = np.where(frequent[at] == h, held_by[at], np.uint32(0)).astype(np.uint32)
+                share = (np.where(held > 0, mix(h ^ sig[d]), mix(h + np.uint64(1))) % np.uint64(shares)).astype(np.int64)
+                order = order_by(share)
+                share, h, d, held = share[order], h[order], d[order], held[order]
+                edge = np.concatenate([[0], np.flatnonzero(share[1:] != share[:-1]) + 1, [len(share)]])
+                columns: list[list[bytes]] = [[], [], [], [], []]
+                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    own = np.ones(j - i, dtype=bool)
+                    own[1:] = d[i + 1 : j] != d[i : j - 1]
+                    docs_ = d[i:j][own]
+                    owner = (np.cumsum(own) - 1).astype(np.uint32)
+                    for out, v in zip(columns, (sig[docs_], n[docs_].astype(np.uint32), h[i:j], owner, held[i:j]), strict=True):
+                        out.append(planes(v))
+                yield pa.RecordBatch.from_arrays([pa.array(share[edge[:-1]], pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["share", "sigs", "sizes", "keys", "owners", "held"])
+
+    return docs.select("text").transform(map_batches, read, SHINGLES)
+
+
+def shared_shingles(rows: DataFrame, shares: int) -> DataFrame:
+    """Per share and set: the shingles that two sets and more hold, and by how many sets each is held."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[np.ndarray]] = []
+        sets = 0
+        for batch in batches:
+            for row in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
+                sig, n, key, owner, held = (numbers(v.as_py(), t) for v, t in zip(row, (np.uint64, np.uint32, np.uint64, np.uint32, np.uint32), strict=True))
+                parts.append([sig, n, key, owner + np.uint32(sets), held])
+                sets += len(sig)
+        if not parts:
+            return
+        sig, n, key, owner, held = (np.concatenate(v) for v in zip(*parts, strict=True))
+        parts.clear()
+        order = np.argsort(key)
+        sorted_ = key[order]
+        edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1], [True]]))
+        count_ = np.empty(len(key), dtype=np.uint32)
+        count_[order] = np.repeat(np.diff(edge), np.diff(edge)).astype(np.uint32)
+        held = np.where(held > 0, held, count_)
+        give = np.flatnonzero(held > 1)
+        give = give[order_by(owner[give].astype(np.int64))]
+        owner, key, held = owner[give], key[give], held[give]
+        edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else np.zeros(1, dtype=np.int64)
+        for i in range(0, len(edge) - 1, 5000):
+            own = edge[i : i + 5001].tolist()
+            who = owner[own[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [signed(sig[who]), pa.array(n[who].astype(np.int32)), *(pa.array([v[a:b].tobytes() for a, b in zip(own[:-1], own[1:], strict=True)], pa.binary()) for v in (key, held))],
+                names=["sig", "n", "keys", "held"],
+            )
+
+    return rows.repartitionById(shares, F.col("share")).transform(map_batches, count, SHARED)
+
+
+def ordered_sets(shared: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """sig, n, rare (shingles that no other set holds) and the shared shingles, least held first, of sets that have enough of them for a link."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def one():
+            sig, n = held[0][:2]
+            key = np.frombuffer(b"".join(r[2] for r in held), np.uint64)
+            count_ = np.frombuffer(b"".join(r[3] for r in held), np.uint32)
+            order = np.lexsort((key, count_))
+            key, count_ = key[order], count_[order]
+            if len(key) > 1 and not (key[1:] != key[:-1]).all():  # a set that was read twice
+                new = np.append(True, key[1:] != key[:-1])
+                key, count_ = key[new], count_[new]
+            if len(key) >= -(-numerator * n // denominator):
+                rows.append((sig, n, n - len(key), key.tobytes(), count_.tobytes()))
+
+        rows: list[tuple] = []
+        names, kinds = ["sig", "n", "rare", "keys", "held"], (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if held and held[0][0] != row[0]:
+                    one()
+                    held.clear()
+                held.append(row)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                rows.clear()
+        if held:
+            one()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return shared.repartition("sig").sortWithinPartitions("sig").transform(map_batches, merge, ORDERED)
+
+
+def prefix_keys(sets: DataFrame, numerator: int, denominator: int, boundary: int, hot: int = 1000) -> DataFrame:
+    """One row per key of every set: prefix pairs of small sets, prefix shingles of large ones and of those near the boundary.
+
+    Keys of `hot` sets and more get one salt per `hot` / 2 sets.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in range(0, whole.num_rows, 500):
+                batch = whole.slice(part, 500)
+                sig = batch.column(0).to_numpy().view(np.uint64)
+                n, rare = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 2))
+                h = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64)
+                by = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
+                have = n - rare
+                edge = np.concatenate([[0], np.cumsum(have)])
+                d = np.repeat(np.arange(len(n)), have)
+                at = np.arange(len(h)) - edge[d]
+                spread = np.where(by >= hot, 2 * by // hot, 0)
+                more = have + numerator * n // -denominator  # what it shares beyond ceil(t * n)
+                lists = (n > boundary) | (denominator * n >= numerator * boundary)
+                take = lists[d] & (at <= more[d])
+                out = [(h[take], d[take], at[take], spread[take])]
+                width = np.where((n <= boundary) & (n >= 2), np.minimum(more + 2, have), 0)
                 for p in range(1, int(width.max(initial=0))):  # the pair's second element stands at p
                     docs_ = np.flatnonzero(width > p)
                     second = edge[docs_] + p
@@ -150,19 +263,20 @@ def prefix_keys(docs: DataFrame, k: int, numerator: int, denominator: int, bound
                             pair = mix(h[one] * np.uint64(0xC2B2AE3D27D4EB4F) + h[second])
                         # one shared element stands before p, so a pair that meets here can share one more than from p on
                         out.append((pair, docs_, np.full(len(docs_), p - 1), np.minimum(spread[one], spread[second])))
-                key, doc, at, parts = (np.concatenate(x) for x in zip(*out, strict=True))
+                key, doc, place, parts = (np.concatenate(x) for x in zip(*out, strict=True))
                 if len(key):
                     own = sig[doc]
                     salt = np.where(parts > 0, (own % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64) + 1, 0)
-                    yield pa.RecordBatch.from_arrays([signed(key), pa.array(salt, pa.int32()), signed(own), pa.array(n[doc], pa.int32()), pa.array(at, pa.int32()), pa.array(rare[doc], pa.int32())], names=["key", "salt", "sig", "n", "pos", "rare"])
+                    columns = [signed(key), pa.array(salt, pa.int32()), signed(own), pa.array(n[doc], pa.int32()), pa.array(rare[doc] + place, pa.int32()), pa.array(rare[doc], pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "salt", "sig", "n", "pos", "rare"])
 
-    return docs.select("text").transform(map_batches, read, POSTINGS)
+    return sets.transform(map_batches, read, POSTINGS)
 
 
 def led_lists(postings: DataFrame) -> DataFrame:
     """Every posting of a list of two different sets or more (or of a salted list), with the list's leader.
 
-    Postings come sorted by list and rare shingles; a list streams by, so its length needs no memory.
+    Postings come sorted by list and by shingles of their own; a list streams by, so its length needs no memory.
     """
     names = ["key", "salt", "sig", "n", "pos", "rare"]
 
@@ -187,44 +301,44 @@ def led_lists(postings: DataFrame) -> DataFrame:
             last = starts[-1]
             carried, told = [v[last] for v in x], bool(give[last] or (was and told and last == 0))
             if give.any():
-                rows = [v[give] for v in x[:5]] + [x[j][first[give]] for j in (2, 3, 4, 5)]
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds, strict=True)], names=[*names[:5], "lead", "lead_n", "lead_pos", "lead_rare"])
+                rows = [v[give] for v in x] + [x[j][first[give]] for j in (2, 3, 4, 5)]
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds, strict=True)], names=[*names, "lead", "lead_n", "lead_pos", "lead_rare"])
 
     return postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "rare", "sig").transform(map_batches, lead, LISTS)
 
 
-def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, numerator: int, denominator: int) -> DataFrame:
+def compare(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int, group: int = 2000) -> DataFrame:
     """The pairs (s, t) of signatures whose whole sets meet the threshold exactly, with shared and total sizes.
 
-    Only the texts of sets in a pair are shuffled: first to their signature, then once per pair.
+    The pairs of one s are cut into groups of about `group`; a group gets the set of s once and then streams by.
     """
-    both = pairs.select(F.col("s").alias("sig")).unionByName(pairs.select(F.col("t").alias("sig"))).distinct()
-    wanted = maybe_broadcast(cut(both.join(sets, "sig").select(F.col("rep").alias("doc_id")).distinct(), "compared"))
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, _, _, _, sig in _sets(batch.column(0), k):
-                yield pa.RecordBatch.from_arrays([signed(sig), batch.column(0).slice(a, b - a)], names=["sig", "text"])
-
-    texts = docs.join(wanted, "doc_id", "left_semi").select("text").transform(map_batches, sign, "sig long, text string")
-    texts = cut(texts.join(sets.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "compared-texts")
     c = F.col
-    met = pairs.join(texts.select(c("sig").alias("s"), c("text").alias("a")), "s").join(texts.select(c("sig").alias("t"), c("text").alias("b")), "t")
+    parts = maybe_broadcast(cut(pairs.groupBy("s").count().where(c("count") > group).select("s", F.ceil(c("count") / group).alias("parts")), "hubs"))
+    dealt = pairs.join(parts, "s", "left").select("s", "t", F.pmod(F.xxhash64("t"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+    members = dealt.join(sets.select(c("sig").alias("t"), "n", "keys"), "t").select("s", "part", F.lit(1).alias("side"), "t", "n", "keys")
+    hubs = dealt.select("s", "part").distinct().join(sets.select(c("sig").alias("s"), "n", "keys"), "s").select("s", "part", F.lit(0).alias("side"), c("s").alias("t"), "n", "keys")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, size, own = None, 0, np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                sides = []
-                for column in (2, 3):
-                    sides.append([h for _, _, _, h, n, _ in _sets(part.column(column), k) for h in np.split(h, np.cumsum(n)[:-1])])
-                shared = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sides, strict=True)], dtype=np.int64)
-                total = np.array([len(x) + len(y) for x, y in zip(*sides, strict=True)], dtype=np.int64) - shared
-                out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(shared), pa.array(total)], names=["s", "t", "shared", "total"])
-                yield out.filter(pa.array(denominator * shared >= numerator * total))
-
-    return met.select("s", "t", "a", "b").transform(map_batches, read, "s long, t long, shared long, total long")
+            rows = []
+            for s, side, t, n, keys in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), strict=True):
+                x = np.frombuffer(keys, np.uint64)
+                if not side:
+                    hub, size, own = s, n, np.sort(x)
+                    continue
+                if s != hub:
+                    raise ValueError("a set without its hub")
+                if len(own) and len(x):
+                    same = int((own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x).sum())
+                    if denominator * same >= numerator * (size + n - same):
+                        rows.append((s, t, same, size + n - same))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*rows, strict=True)], names=["s", "t", "shared", "total"])
+
+    met = hubs.unionByName(members).repartition("s", "part").sortWithinPartitions("s", "part", "side")
+    return met.transform(map_batches, read, "s long, t long, shared long, total long")
 
 
 def jaccard_components(
@@ -235,79 +349,92 @@ def jaccard_components(
     numerator: int = 80,
     denominator: int = 100,
     common: int = 3,
-    most_common: int = 4_000_000,
+    hot: int = 1000,
+    most_frequent: int = 2_000_000,
+    share_shingles: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id linked with it, directly or not) and links of every document.
 
-    A link: numerator * union <= denominator * shared. most_common bounds the broadcast list of common shingles (16 bytes each), the
-    most frequent first; it only orders keys. links: the links of a document's set with other sets that were needed
-    to connect its class; equal sets add none.
+    A link: numerator * union <= denominator * shared. most_frequent bounds the broadcast list of shingles that are known to be held by
+    `hot` sets or more (12 bytes each, the most frequent first); it spreads work and never changes the result. links: the
+    links of a document's set with other sets that were needed to connect its class; equal sets add none. share_shingles: about how
+    many shingles a task counts at once.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    c = F.col
+    docs = df.select(named(id_col).cast("long").alias("doc_id"), named(text).cast("string").alias("text"))
     read = cut(read_sets(docs, k, common), "sets")
     members = read.where("kind = 0").select("doc_id", "n", "sig")
-    frequent = read.where("kind = 1").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(most_common).toPandas()
+    frequent = read.where("kind = 1").groupBy("key").agg(F.sum("c").alias("c")).where(c("c") >= hot).orderBy(F.desc("c"), "key").limit(most_frequent).toPandas()
     keys = frequent["key"].to_numpy("int64").view(np.uint64)
     order = np.argsort(keys)
-    bucket = F.when(F.col("n") <= 256, F.col("n")).otherwise(F.ceil(F.pow(F.lit(1.05), F.ceil(F.log(F.col("n")) / F.log(F.lit(1.05))))))
-    sized = members.where("n > 0").groupBy(bucket.cast("int").alias("size")).count().collect()
-    boundary = choose_boundary([(r["size"], r["count"]) for r in sized], numerator, denominator)
-    sets = cut(members.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "representatives")
-    postings = prefix_keys(docs, k, numerator, denominator, boundary, keys[order], frequent["c"].to_numpy("int64")[order])
-    lists = cut(led_lists(postings), "lists")
-
-    c = F.col
+    total = read.where("kind = 0").agg(F.sum("n")).first()[0] or 0
+    shares = max(1, -(-total // share_shingles))
+    # equal sets are one: its other documents aren't read again
+    firsts = members.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    firsts = cut(firsts.where("rep is not null"), "representatives")
+    twice = maybe_broadcast(firsts.where("copies > 1").select("sig", "rep"))
+    others = maybe_broadcast(cut(members.join(twice, "sig").where("doc_id <> rep").select("doc_id").distinct(), "copies"))
+    rows = shingle_rows(docs.where("doc_id is not null").join(others, "doc_id", "left_anti"), k, numerator, denominator, keys[order], frequent["c"].to_numpy("int64")[order], shares)
+    sets = cut(ordered_sets(shared_shingles(rows, shares), numerator, denominator), "shared-shingles")
+
+    bucket = F.when(c("n") <= 256, c("n")).otherwise(F.ceil(F.pow(F.lit(1.05), F.ceil(F.log(c("n")) / F.log(F.lit(1.05))))))
+    more = c("n") - c("rare") - F.ceil(numerator * c("n") / denominator)
+    sized = sets.groupBy(bucket.cast("int").alias("size")).agg(F.count(F.lit(1)).alias("c"), F.sum(more).alias("w"), F.sum(more.cast("double") * more).alias("w2")).collect()
+    boundary = choose_boundary([(r["size"], r["c"], r["w"], r["w2"]) for r in sized], numerator, denominator)
+    lists = cut(led_lists(prefix_keys(sets, numerator, denominator, boundary, hot)), "lists")
 
     def can_match(n1, p1, n2, p2):
         """Sizes near enough, and as many elements left from the shared position on as the threshold asks for."""
         return (denominator * F.least(n1, n2) >= numerator * F.greatest(n1, n2)) & ((numerator + denominator) * F.least(n1 - p1, n2 - p2) >= numerator * (n1 + n2))
 
-    def ordered(x, y):
-        return F.least(x, y).alias("s"), F.greatest(x, y).alias("t")
-
     # every set with its list's leader; of a salted list, the leader of every part with the first of them
     parts = cut(lists.where("salt > 0").select("key", "lead", "lead_n", "lead_pos", "lead_rare").distinct(), "part-leaders")
     heads = cut(parts.groupBy("key").agg(F.min(F.struct("lead_rare", "lead", "lead_n", "lead_pos")).alias("h")).select("key", "h.lead", "h.lead_n", "h.lead_pos"), "heads")
-    first = lists.where((c("sig") != c("lead")) & can_match(c("n"), c("pos"), c("lead_n"), c("lead_pos"))).select(*ordered(c("sig"), c("lead")))
+    first = lists.where((c("sig") != c("lead")) & can_match(c("n"), c("pos"), c("lead_n"), c("lead_pos"))).select(c("lead").alias("s"), c("sig").alias("t"))
     across = parts.alias("p").join(heads.alias("h"), "key").where((c("p.lead") != c("h.lead")) & can_match(c("p.lead_n"), c("p.lead_pos"), c("h.lead_n"), c("h.lead_pos")))
-    tried = cut(first.unionByName(across.select(*ordered(c("p.lead"), c("h.lead")))).distinct(), "leader-pairs")
-    links = cut(compare(tried, sets, docs, k, numerator, denominator), "leader-links")
-    label = cut(components(links, "s", "t"), "leader-classes")
+    tried = cut(first.unionByName(across.select(c("h.lead").alias("s"), c("p.lead").alias("t"))).distinct(), "leader-pairs")
+    links = cut(compare(tried, sets, numerator, denominator), "leader-links")
+    label = maybe_broadcast(cut(components(links, "s", "t"), "leader-classes"))
 
-    # what is left: in a list, sets that aren't in its leader's class against those of other classes
+    # what is left: in a list, sets that aren't in its leader's class against those of other classes; s comes first by (rare, sig)
     classed = lambda t, key, name: t.join(label.select(c("node").alias(key), c("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
     leaders = lists.where("salt = 0 and sig = lead").select("key", "lead").unionByName(heads.select("key", "lead")).distinct()
     leaders = cut(classed(leaders, "lead", "lead_class").select("key", "lead_class"), "leader-classes-of-lists")
-    placed = cut(classed(lists.select("key", "sig", "n", "pos"), "sig", "class"), "placed")
-    apart = cut(placed.join(leaders, "key").where("class <> lead_class").select("key", c("sig").alias("sig1"), c("n").alias("n1"), c("pos").alias("pos1"), c("class").alias("class1")), "apart")
-    rest = apart.join(placed, "key").where((c("class1") != c("class")) & can_match(c("n1"), c("pos1"), c("n"), c("pos")))
-    more = cut(rest.select(*ordered(c("sig1"), c("sig"))).distinct().join(tried, ["s", "t"], "left_anti"), "other-pairs")
-    links = cut(links.unionByName(compare(more, sets, docs, k, numerator, denominator)), "all-links")
-
-    ends = links.select(c("s").alias("sig"), c("t").alias("other")).unionByName(links.select(c("t").alias("sig"), c("s").alias("other")))
-    degree = cut(ends.groupBy("sig").agg(F.count(F.lit(1)).alias("links")), "degrees")
-    named = links.select("s", "t").join(sets.select(c("sig").alias("s"), c("rep").alias("a")), "s").join(sets.select(c("sig").alias("t"), c("rep").alias("b")), "t")
-    final = cut(components(named, "a", "b").select(c("node").alias("rep"), "component"), "components")
-    classes = sets.join(final, "rep", "left").join(degree, "sig", "left")
-    classes = cut(classes.select("sig", F.coalesce("component", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")), "classes")
-    own = members.join(classes, "sig", "left")
-    some = (c("n") > 0) & c("class_id").isNotNull()
-    return own.select(
+    placed = classed(lists.select("key", "sig", "n", "pos", "rare"), "sig", "class")
+    stray = cut(placed.join(leaders, "key").where("class <> lead_class").select("key").distinct(), "stray-lists")
+    placed = cut(placed.join(maybe_broadcast(stray), "key", "left_semi").join(leaders, "key"), "placed")
+    apart = placed.where("class <> lead_class").select("key", c("sig").alias("sig1"), c("n").alias("n1"), c("pos").alias("pos1"), c("rare").alias("rare1"), c("class").alias("class1"))
+    one, two = F.struct(c("rare1").alias("rare"), c("sig1").alias("sig")), F.struct("rare", "sig")
+    rest = apart.join(placed, "key").where((c("class1") != c("class")) & ((c("class") == c("lead_class")) | (one < two)) & can_match(c("n1"), c("pos1"), c("n"), c("pos")))
+    more = rest.select(F.least(one, two)["sig"].alias("s"), F.greatest(one, two)["sig"].alias("t")).distinct().join(tried, ["s", "t"], "left_anti")
+    links = cut(links.unionByName(compare(cut(more, "other-pairs"), sets, numerator, denominator)), "all-links")
+
+    degree = links.select(c("s").alias("sig")).unionByName(links.select(c("t").alias("sig"))).groupBy("sig").agg(F.count(F.lit(1)).alias("links"))
+    joined = cut(components(links, "s", "t").select(c("node").alias("sig"), "component").join(degree, "sig"), "components")
+    reps = cut(firsts.join(maybe_broadcast(joined), "sig").select("sig", "component", "rep", "links"), "linked")
+    least = reps.groupBy("component").agg(F.min("rep").alias("class_id"))
+    linked = reps.join(least, "component").select("sig", "class_id", "links")
+    alone = firsts.where("copies > 1").join(maybe_broadcast(reps.select("sig")), "sig", "left_anti").select("sig", c("rep").alias("class_id"), F.lit(0).cast("long").alias("links"))
+    classes = maybe_broadcast(cut(linked.unionByName(alone), "classes"))
+    return members.join(classes, "sig", "left").select(
         "doc_id",
         c("n").cast("long").alias("n_shingles"),
-        F.when(some, c("class_id")).otherwise(c("doc_id")).alias("class_id"),
-        F.when(some, c("links")).otherwise(0).cast("long").alias("links"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows whose id is the smallest of their class, each text of an id once; rows without an id stay."""
     found = cut(jaccard_components(df, id_col, text, **options), "classes-of-documents")
-    gone = maybe_broadcast(cut(found.where("doc_id <> class_id").select(F.col("doc_id").alias("__id")).distinct(), "near-duplicates"))
-    twice = maybe_broadcast(cut(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "repeated-ids"))
-    kept = df.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
-    once = kept.join(twice, F.col(id_col) == F.col("__id"), "left_anti")
-    return once.unionByName(kept.join(twice, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col, text]))
+    own = unused(df, "own_id")
+    gone = maybe_broadcast(cut(found.where("doc_id <> class_id").select(F.col("doc_id").alias(own)).distinct(), "near-duplicates"))
+    twice = maybe_broadcast(cut(found.where("doc_id is not null").groupBy(F.col("doc_id").alias(own)).count().where("count > 1").select(own), "repeated-ids"))
+    same = named(id_col).cast("long") == F.col(own)
+    kept = df.join(gone, same, "left_anti")
+    once = kept.join(twice, same, "left_anti")
+    again = kept.join(twice, same, "left_semi").dropDuplicates([id_col, text])
+    return once.union(again).select(*columns_of(df))
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
