@@ -16,8 +16,8 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,99 +27,89 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, map_batches, named
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
-_GAP = re.compile(r"\s\s")
-_STOPS = frozenset('.,')
-#: A line feed, a full stop or comma between a letter and the end of its line, or anything else up to there.
-_PART = re.compile(r"\n|(?<=[^\W\d_])[.,](?=\n|\Z)|(?:(?!(?<=[^\W\d_])[.,](?:\n|\Z))[^\n])+", re.S)
+#: How a byte-level pre-tokenizer cuts a text (a fixed value of that format).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordCachedTokenizer:
-    """Token ids as little-endian bytes from a `tokenizers` file, remembering the ids of what stands between blanks.
+def byte_ranks(data: dict) -> dict[bytes, int] | None:
+    """The tokens of a byte-level `tokenizers` file with their ids, where an id is also the rank of its merge; else None."""
+    model, pre = data["model"], data.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not data.get("normalizer") and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if not plain or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        return None
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # these bytes stand for themselves, the others for 256, 257, ...
+    letters = {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printed))}
+    ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items()}
+    single = sum(len(t) == 1 for t in ranks)
+    pairs = ("".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"])
+    return ranks if single == 256 and all(model["vocab"].get(p) == 256 + i for i, p in enumerate(pairs)) and len(ranks) == 256 + len(model["merges"]) else None
 
-    Where a blank stands between two characters that aren't white space, byte-level pre-tokenization always begins a new
-    piece at the blank, so such a text is the concatenation of its blank-led words. It also always separates a lone line feed,
-    and letters from a full stop or comma after them, so new words are put together from such parts before any is encoded.
-    Other texts are encoded whole.
+
+class Coder:
+    """Token ids of whole texts, little-endian, as `tokenizers` gives them for this file.
+
+    Where the file's ids are the ranks of its merges, tiktoken merges by these ranks: the same ids in a third of the time. Texts
+    that hold an added token, and other files, are left to `tokenizers`.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.parts, self.most = Tokenizer.from_file(path), {}, {}, most
-
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str]) -> None:
-        """Fill `known` for new words, each led by a blank."""
-        known, parts = self.known, self.parts
-        split: dict[str, list[str]] = {}
-        for w in words:
-            if w.isalpha():
-                split[w] = [" " + w]
-            elif w[-1:] in _STOPS and w[:-1].isalpha():
-                split[w] = [" " + w[:-1], w[-1]]
-            else:
-                split[w] = _PART.findall(" " + w)
-        new = list({p for own in split.values() for p in own if p not in parts})
-        parts.update(zip(new, self._bytes(new), strict=True))
-        for w, own in split.items():
-            known[w] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
+        with open(path, encoding="utf-8") as f:
+            data = json.load(f)
+        ranks = byte_ranks(data)
+        self.added = tuple(t["content"] for t in data.get("added_tokens", ()))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ranked = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _GAP.search(text):
-            return self._bytes([text])[0]
-        head, *rest = text.split(" ")
-        known = self.known
-        try:
-            tail = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) + len(self.parts) > self.most:
-                known.clear()
-                self.parts.clear()
-            self._learn({w for w in rest if w not in known})
-            tail = b"".join(map(known.__getitem__, rest))
-        return (self._bytes([head])[0] if head else b"") + tail
+        if self.ranked is None or any(t in text for t in self.added):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.ranked(text)
+        return np.array(ids, dtype="<u4").tobytes()
 
 
-_CODERS: dict[str, WordCachedTokenizer] = {}
+_CODERS: dict[str, Coder] = {}
 
 
-def coder(path: str, most: int = 1_000_000) -> WordCachedTokenizer:
+def coder(path: str) -> Coder:
     """One tokenizer per worker process, kept from task to task."""
     if path not in _CODERS:
-        _CODERS[path] = WordCachedTokenizer(path)
-    _CODERS[path].most = most
+        _CODERS[path] = Coder(path)
     return _CODERS[path]
 
 
-def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: int, id_col: str = "doc_id", text: str = "text", most_words: int = 1_000_000) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids as unsigned 32-bit little-endian.
-
-    most_words: words and parts that a worker remembers the ids of (about 150 bytes each); it bounds memory and changes speed alone.
-    """
+def token_pieces(df: DataFrame, tokenizer_path: str, max_tokens: int, end_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids as unsigned 32-bit little-endian."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = coder(tokenizer_path, most_words), np.asarray([end_id], dtype="<u4").tobytes()
+        words, end, step = coder(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes(), 4 * max_tokens
         for batch in batches:
-            rows = []
-            for i, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            sizes, sums = np.zeros(batch.num_rows, dtype=np.int64), []
+            for i, value in enumerate(batch.column(1)):
                 ids = words.encode(value.as_py() or "") + end
-                n = len(ids) // 4
-                edges = [0, *range(n % max_tokens or max_tokens, n + 1, max_tokens)]
-                for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                    rows.append((i, p, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
-            if rows:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).transform(map_batches, pieces, PIECE)
+                sizes[i] = len(ids) // 4
+                first = len(ids) % step or step
+                sums.append(zlib.crc32(ids[:first]))
+                sums += [zlib.crc32(ids[at : at + step]) for at in range(first, len(ids), step)]
+            count = -(-sizes // max_tokens)
+            row = np.repeat(np.arange(batch.num_rows), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            head = ((sizes - 1) % max_tokens + 1)[row]  # the first piece takes what doesn't fill a sequence
+            start = np.where(piece == 0, 0, head + (piece - 1) * max_tokens)
+            length = np.where(piece == 0, head, max_tokens)
+            columns = [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length, pa.int32()), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return df.select(named(id_col).cast("long").alias("doc_id"), named(text).cast("string").alias("text")).transform(map_batches, pieces, PIECE)
 
 
 def exact_patterns(lengths: np.ndarray, size: int) -> np.ndarray:
@@ -231,17 +221,23 @@ def plan(histogram: dict[int, int], size: int, share: float = 0.9) -> list[tuple
     return out
 
 
-def pack(pieces: DataFrame, size: int, buckets: int = 64, seed: str = "pack") -> DataFrame:
+def pack(pieces: DataFrame, size: int, bucket_pieces: int = 20_000, most_buckets: int = 100_000, seed: str = "pack") -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (doc_id, piece, length, ...): no sequence above `size`, no gaps.
 
-    At most size rows (the histogram) and size * buckets rows (counts) reach the driver, however many pieces there are.
+    A bucket holds about bucket_pieces pieces of one length, more where there would be over most_buckets of them. At most size rows
+    (the histogram) and size + most_buckets rows (counts) reach the driver, however many pieces there are.
     """
-    pieces = cut(pieces.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "piece"), F.lit(buckets)).cast("int")), "pieces")
-    counts = {(r["length"], r["bucket"]): r["n"] for r in pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, histogram = [], {}
-    for (length, bucket), n in sorted(counts.items()):
-        before.append((length, bucket, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + n
+    pieces = cut(pieces, "pieces")
+    spark = pieces.sparkSession
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = max(bucket_pieces, -(-sum(histogram.values()) // most_buckets))
+    spread = spark.createDataFrame([(length, max(1, -(-n // per))) for length, n in histogram.items()], "length int, buckets int")
+    pieces = pieces.join(F.broadcast(spread), "length").withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "piece", "ids_crc32"), "buckets").cast("int")).drop("buckets")
+    counts = sorted((r["length"], r["bucket"], r["n"]) for r in pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, held_so_far = [], {}
+    for length, bucket, n in counts:
+        before.append((length, bucket, held_so_far.get(length, 0)))
+        held_so_far[length] = held_so_far.get(length, 0) + n
     places: dict[int, list[tuple[int, int, int]]] = {}
     for length, rank, _, first, _, offset in plan(histogram, size):
         places.setdefault(length, []).append((rank, first, offset))
@@ -259,19 +255,18 @@ def pack(pieces: DataFrame, size: int, buckets: int = 64, seed: str = "pack") ->
             out[0, at], out[1, at] = first[i] + r[at] - ranks[i], offset[i]
         return pd.DataFrame({"sequence_id": out[0], "offset": out[1]})
 
-    spark = pieces.sparkSession
     sums = spark.createDataFrame(before, "length int, bucket int, before long")
     within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
     ranked = pieces.withColumn("within", within).join(F.broadcast(sums), ["length", "bucket"])
     placed = ranked.withColumn("p", place("length", F.col("before") + F.col("within") - 1))
-    return placed.select(*[c for c in pieces.columns if c != "bucket"], F.col("p.sequence_id").alias("sequence_id"), F.col("p.offset").alias("offset"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("p.sequence_id").alias("sequence_id"), F.col("p.offset").alias("offset"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2, most_words=1_800_000)
+    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
     packed = pack(pieces, 1024)
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 

@@ -263,8 +263,15 @@ def test_words_and_texts_tokenize_alike():
     import public_tokenizers
 
     coder = packing.coder(public_tokenizers.path("byte_bpe_50k.json"))
-    for t in ["a.\nb", "It's 5.\nx", "x, y,", "don't.\n'q' .", "a\n\nb c", "1.\n2, 3.", " lead", "trail ", "ü.\nß,", "a_. b_,", "x'. y", "\n", ". , .", "3.5, 7.\n", "<|endoftext|> x", *filter(None, TEXTS)]:
+    for t in ["a.\nb", "It's 5.\nx", "x, y,", "don't.\n'q' .", "a\n\nb c", "1.\n2, 3.", " lead", "trail ", "ü.\nß,", "a_. b_,", "x'. y", "\n", ". , .", "3.5, 7.\n", "<|endoftext|> x", "x" * 30000, "\n" * 5000, *filter(None, TEXTS)]:
         assert np.frombuffer(coder.encode(t), "<u4").tolist() == coder.tokenizer.encode(t, add_special_tokens=False).ids
+    assert coder.ranked is not None
+    rng = np.random.default_rng(11)
+    letters = np.array([*"abcXYZ019 .,'\n\t-_", "'s", "  ", "ß", "é", "中", "🙂", "\u2028", "\u00a0", "١", "Ⅷ", "\x00", "e\u0301"])
+    texts = ["".join(rng.choice(letters, int(rng.integers(1, 60)))) for _ in range(5000)]
+    assert [np.frombuffer(coder.encode(t), "<u4").tolist() for t in texts] == [e.ids for e in coder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    other = packing.coder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.ranked is None and np.frombuffer(other.encode("Some text"), "<u4").tolist() == other.tokenizer.encode("Some text", add_special_tokens=False).ids
 
 
 def test_mixing(spark, sf_dir, odd, none):
