@@ -1,7 +1,8 @@
 """Substring dedup by collinear chaining: passages that documents share, edits included.
 
-1. Seeds: every k-word window of a text, so that two texts with a common run of k words share a seed. Texts that are equal as word
-   sequences are one text here.
+1. Seeds: every k-word window of a text, so that two texts with a common run of k words share a seed; and of its windows of
+   `long` words those of least hash among `window` in a row, so that two texts with a common run of long + window - 1 words share one of
+   them, whoever else holds parts of the run. Texts that are equal as word sequences are one text here.
 2. Anchors: a seed that several texts hold links each of its places with its first place (the leader of the list), not all with all. Seeds
    that a thousand texts hold are salted by text, and the leaders of the parts are linked with the first of them.
 3. Chains: the anchors of two texts, in the order of the first, are joined into runs on one diagonal; a tree over places in
@@ -14,7 +15,8 @@ Defined results: null and empty texts have no passage; of equal texts with at le
 id is the source of the others' only passage, which is all of the text; a repeat inside one text alone isn't reported; rows
 without an id take no part; empty tables give no rows; other columns are ignored by the search and kept by the removal.
 
-Open: a passage of two texts whose seeds are all led by different earlier texts, in stretches under min_words // 4 words, is not found.
+Open: a passage without a common run of long + window - 1 words (19), whose seeds are all led by different earlier texts in stretches
+under min_words // 4 words, is not found.
 """
 
 from __future__ import annotations
@@ -28,15 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, cut, map_batches, maybe_broadcast, mix, order_by, shingles, signed, slices, text_bytes
+from .common import Words, columns_of, cut, map_batches, maybe_broadcast, mix, named, numbers, order_by, planes, shingles, signed, slices, text_bytes, unused
 
 SEEDS = "share int, keys binary, docs binary, places binary, salts binary"
 ANCHORS = "key long, salt int, doc long, pos int, lead long, lead_pos int"
 CHAINS = "x long, y long, x0 int, x1 int, y0 int, y1 int, anchors array<int>"
 
 
-def _seeds(column: pa.Array, k: int):
-    """Row range, then document, hash and word position of the seeds of a slice, words per document and a signature."""
+def _seeds(column: pa.Array, k: int, long: int, window: int):
+    """Row range, then document, hash and place of the seeds of a slice, words per document and a signature.
+
+    A place is twice the word position, and one more for a seed of `long` words.
+    """
     data, offsets = text_bytes(column)
     for a, b in slices(offsets):
         w = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -48,28 +53,41 @@ def _seeds(column: pa.Array, k: int):
         h, d, p = shingles(w, words, k)
         whole = w.n[d] >= k
         h, d, p = h[whole], d[whole], p[whole]
+        h2, d2, p2 = shingles(w, words, long)
+        whole = w.n[d2] >= long
+        h2, d2, p2 = mix(h2[whole] + np.uint64(long)), d2[whole], p2[whole]
+        if len(h2) >= window:
+            rows = np.lib.stride_tricks.sliding_window_view(h2, window)
+            at = np.arange(len(rows)) + rows.argmin(axis=1)
+            at = np.unique(at[d2[: len(rows)] == d2[window - 1 :]])
+            h, d, p = np.concatenate([h, h2[at]]), np.concatenate([d, d2[at]]), np.concatenate([2 * p, 2 * p2[at] + 1])
+        else:
+            p = 2 * p
         yield a, b, d, h, p, w.n, sig
 
 
-def read_texts(docs: DataFrame, k: int, hot: int) -> DataFrame:
-    """kind 0: doc_id, words and signature of every text; kind 1: a seed that `hot` or more texts of one part hold, and how many."""
+def read_texts(docs: DataFrame, k: int, long: int, window: int, hot: int) -> DataFrame:
+    """kind 0: doc_id, words and signature of every text; kind 1: a seed at hot / 20 or more places of one part, and how many."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "doc_id", "n", "sig", "key", "c"]
         held: list[np.ndarray] = []
+        few = max(3, hot // 20)
 
         def frequent():
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            h, c = h[c >= hot], c[c >= hot]
+            h = np.sort(np.concatenate(held))
+            edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, dtype=np.int64)
+            c = np.diff(edge)
+            h, c = h[edge[:-1][c >= few]], c[c >= few]
             zero = np.zeros(len(h), dtype=np.int64)
             return pa.RecordBatch.from_arrays([pa.array(zero + 1, pa.int32()), pa.array(zero), pa.array(zero), pa.array(zero), signed(h), pa.array(c)], names=names)
 
         for batch in batches:
-            for a, b, _, h, _, n, sig in _seeds(batch.column(1), k):
+            for a, b, _, h, _, n, sig in _seeds(batch.column(1), k, long, window):
                 zero = np.zeros(b - a, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(zero, pa.int32()), batch.column(0).slice(a, b - a), pa.array(n), signed(sig), pa.array(zero), pa.array(zero)], names=names)
                 held.append(h)
-                if sum(map(len, held)) > 2_000_000:
+                if sum(map(len, held)) > 500_000:
                     yield frequent()
                     held = []
         if held:
@@ -78,17 +96,7 @@ def read_texts(docs: DataFrame, k: int, hot: int) -> DataFrame:
     return docs.transform(map_batches, read, "kind int, doc_id long, n long, sig long, key long, c long")
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The first bytes of all numbers, then the second ones and so on: what is alike stands together, for the shuffle's compression."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-
-
-def _numbers(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
-def seed_rows(docs: DataFrame, k: int, frequent: np.ndarray, parts: np.ndarray, shares: int) -> DataFrame:
+def seed_rows(docs: DataFrame, k: int, long: int, window: int, frequent: np.ndarray, parts: np.ndarray, shares: int) -> DataFrame:
     """The seeds of every text, by share of the seeds, as bytes; frequent seeds get one of their parts as salt, by text.
 
     One row per slice of texts and share: a row per seed would take twice the disk and most of the time.
@@ -99,7 +107,7 @@ def seed_rows(docs: DataFrame, k: int, frequent: np.ndarray, parts: np.ndarray,
         frequent, parts = held.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, _, d, h, p, _, _ in _seeds(batch.column(1), k):
+            for a, _, d, h, p, _, _ in _seeds(batch.column(1), k, long, window):
                 if not len(h):
                     continue
                 doc = ids[a + d]
@@ -112,23 +120,24 @@ def seed_rows(docs: DataFrame, k: int, frequent: np.ndarray, parts: np.ndarray,
                 order = order_by(share)
                 share, x = share[order], (h[order], doc[order], p[order].astype(np.int32), salt[order])
                 edge = np.concatenate([[0], np.flatnonzero(share[1:] != share[:-1]) + 1, [len(share)]])
-                rows = [[_planes(v[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)] for v in x]
+                rows = [[planes(v[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)] for v in x]
                 yield pa.RecordBatch.from_arrays([pa.array(share[edge[:-1]], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["share", "keys", "docs", "places", "salts"])
 
     return docs.transform(map_batches, read, SEEDS)
 
 
-def led_places(seeds: DataFrame, shares: int) -> DataFrame:
+def led_places(seeds: DataFrame, shares: int, apart: int) -> DataFrame:
     """Every place of a seed with the first place (smallest document) of its list; lists in one text alone are left out.
 
-    The key is given for salted lists, whose leaders are linked later, and is 0 elsewhere.
+    The key is given for salted lists, whose leaders are linked later, and is 0 elsewhere. A long seed gives two anchors, `apart`
+    words from one another: its first and its last k words.
     """
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
             for row in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
-                held.append([_numbers(v.as_py(), t) for v, t in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=True)])
+                held.append([numbers(v.as_py(), t) for v, t in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=True)])
         if not held:
             return
         key, doc, pos, salt = (np.concatenate(v) for v in zip(*held, strict=True))
@@ -147,8 +156,12 @@ def led_places(seeds: DataFrame, shares: int) -> DataFrame:
         give = np.flatnonzero((doc != doc[first]) | ((salt > 0) & begin))
         for i in range(0, len(give), 100_000):
             at = give[i : i + 100_000]
+            both = pos[at] & 1
+            at, late = np.repeat(at, 1 + both), np.repeat(np.arange(len(at)), 1 + both)
+            late = np.append(False, late[1:] == late[:-1]).astype(np.int32) * apart
             led = first[at]
-            rows = [np.where(salt[at] > 0, key[at], np.uint64(0)).view(np.int64), salt[at], doc[at], pos[at], doc[led], pos[led]]
+            own = np.where(salt[at] > 0, mix(key[at] + late.astype(np.uint64)), np.uint64(0)).view(np.int64)
+            rows = [own, salt[at], doc[at], (pos[at] >> 1) + late, doc[led], (pos[led] >> 1) + late]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows], names=["key", "salt", "doc", "pos", "lead", "lead_pos"])
 
     return seeds.repartitionById(shares, F.col("share")).transform(map_batches, lead, ANCHORS)
@@ -272,13 +285,17 @@ def chain_pairs(anchors: DataFrame, k: int, reach: int, least: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["x", "y", "x0", "x1", "y0", "y1", "anchors"])
 
         for batch in batches:
-            own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            held.append([own[0], own[1], own[2].astype(np.int64), own[3].astype(np.int64)])
-            x = [np.concatenate(c) for c in zip(*held, strict=True)]
-            new = np.flatnonzero((x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]))
+            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            x = [x[0], x[1], x[2].astype(np.int64), x[3].astype(np.int64)]
+            if held and (held[-1][0][-1], held[-1][1][-1]) != (x[0][0], x[1][0]):
+                yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
+                held = []
+            new = np.flatnonzero((x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])) + 1
             if len(new):  # the last pair may go on
-                yield from pairs([c[: new[-1] + 1] for c in x])
-                held = [[c[new[-1] + 1 :] for c in x]]
+                held.append([c[: new[-1]] for c in x])
+                yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
+                held, x = [], [c[new[-1] :] for c in x]
+            held.append(x)
         if held:
             yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
 
@@ -306,7 +323,7 @@ def _gap(a: np.ndarray, b: np.ndarray) -> int:
         return 0
     if len(a) == len(b):
         same = int((a == b).sum())
-        if same >= len(a) - 1 or len(a) * len(b) > 4096:
+        if same >= len(a) - 1:
             return same
     row = np.zeros(len(b) + 1, dtype=np.int64)
     for w in a:
@@ -335,28 +352,39 @@ def align(x: np.ndarray, y: np.ndarray, runs: list[tuple[int, int, int]], x_at:
     return runs[0][0] - left, x_at + px + right, runs[0][1] - left, y_at + py + right, matches + m1 + m2
 
 
-def aligned_chains(chains: DataFrame, docs: DataFrame, margin: int, identity: float, least: int) -> DataFrame:
+def aligned_chains(chains: DataFrame, docs: DataFrame, margin: int, identity: float, least: int, group: int = 500) -> DataFrame:
     """Aligned spans (doc, from_word, to_word, other, other_from, other_to, identity) of the chains.
 
-    Only the words of each chain's ends and margin leave the documents, as 64-bit hashes.
+    Only the words of each chain's ends and margin leave the documents, as 64-bit hashes; a text is sent once to about `group` chains.
     """
     chains = cut(chains.withColumn("chain", F.monotonically_increasing_id()), "chains")
     x = chains.select(F.col("x").alias("doc_id"), "chain", F.lit(0).alias("side"), F.col("x0").alias("a"), F.col("x1").alias("b"))
     y = chains.select(F.col("y").alias("doc_id"), "chain", F.lit(1).alias("side"), F.col("y0").alias("a"), F.col("y1").alias("b"))
-    spans = maybe_broadcast(cut(x.unionByName(y), "chain-spans"), 1_000_000)
-    met = docs.join(spans, "doc_id").select("chain", "side", "a", "b", "text")
+    ends = cut(x.unionByName(y), "chain-ends")
+    many = maybe_broadcast(cut(ends.groupBy("doc_id").count().where(F.col("count") > group).select("doc_id", F.ceil(F.col("count") / group).alias("parts")), "hubs"))
+    part = F.pmod(F.xxhash64("chain"), F.coalesce("parts", F.lit(1)))
+    spans = ends.join(many, "doc_id", "left").groupBy("doc_id", part.alias("part")).agg(F.collect_list(F.struct("chain", "side", "a", "b")).alias("spans"))
+    met = docs.join(maybe_broadcast(cut(spans, "chain-spans"), 500_000), "doc_id").select("text", "spans")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(4))
-            a_, b_ = (batch.column(i).to_numpy() for i in (2, 3))
+            data, offsets = text_bytes(batch.column(0))
             for i, j in slices(offsets):
                 w = Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                h = w.hashes()
-                low = np.maximum(a_[i:j] - margin, 0)
-                high = np.minimum(b_[i:j] + margin, w.n)
-                rows = [h[f + p : f + q].tobytes() for f, p, q in zip(w.first[:-1].tolist(), low.tolist(), high.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(low, pa.int32()), pa.array(rows, pa.binary())], names=["chain", "side", "low", "words"])
+                h, first = w.hashes(), w.first.tolist()
+                chain, side, low, words = [], [], [], []
+                for d, own in enumerate(batch.column(1).slice(i, j - i).to_pylist()):
+                    for r in own:
+                        p = max(r["a"] - margin, 0)
+                        chain.append(r["chain"])
+                        side.append(r["side"])
+                        low.append(p)
+                        words.append(h[first[d] + p : min(first[d] + r["b"] + margin, first[d + 1])].tobytes())
+                        if len(words) >= 5000:
+                            yield pa.RecordBatch.from_arrays([pa.array(chain, pa.int64()), pa.array(side, pa.int32()), pa.array(low, pa.int32()), pa.array(words, pa.binary())], names=["chain", "side", "low", "words"])
+                            chain, side, low, words = [], [], [], []
+                if words:
+                    yield pa.RecordBatch.from_arrays([pa.array(chain, pa.int64()), pa.array(side, pa.int32()), pa.array(low, pa.int32()), pa.array(words, pa.binary())], names=["chain", "side", "low", "words"])
 
     words = met.transform(map_batches, fetch, "chain long, side int, low int, words binary")
     one = words.groupBy("chain").agg(*(F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{c}{s}") for s in (0, 1) for c in ("low", "words")))
@@ -391,8 +419,10 @@ def repeated_passages(
     min_words: int = 50,
     identity: float = 0.8,
     most_frequent: int = 1_000_000,
+    long: int = 12,
+    window: int = 8,
     hot: int = 200,
-    share_seeds: int = 2_000_000,
+    share_seeds: int = 1_500_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(spans, copies). spans: aligned spans of a document's text with an earlier document's; copies: doc_id, source_id, n_words of equal texts.
 
@@ -400,18 +430,18 @@ def repeated_passages(
     seeds to salt (16 bytes each, the most frequent first); it spreads work and leaves nothing out. reach: words between anchors of a run,
     and words beside a chain that are aligned too. share_seeds: about how many seeds a task sorts at once.
     """
-    docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = cut(read_texts(docs, k, hot), "texts")
+    docs = df.where(named(id_col).isNotNull()).select(named(id_col).cast("long").alias("doc_id"), named(text).cast("string").alias("text"))
+    found = cut(read_texts(docs, k, long, window, hot), "texts")
     texts = found.where("kind = 0 and n > 0").select("doc_id", "n", "sig")
     first = cut(texts.groupBy("sig").agg(F.min("doc_id").alias("source_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("sig", "source_id"), "sources")
     copies = cut(texts.join(first, "sig").where("doc_id <> source_id").select("doc_id", "source_id", F.col("n").alias("n_words")).distinct(), "copies")
-    frequent = found.where("kind = 1").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(most_frequent).toPandas()
+    frequent = found.where("kind = 1").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= hot).orderBy(F.desc("c"), "key").limit(most_frequent).toPandas()
     keys = frequent["key"].to_numpy("int64").view(np.uint64)
     order = np.argsort(keys)
     parts = np.maximum(1, frequent["c"].to_numpy("int64")[order] // (2 * hot))
     single = docs.where("text is not null").join(maybe_broadcast(copies.select("doc_id")), "doc_id", "left_anti")
     shares = max(1, -(-(texts.agg(F.sum("n")).first()[0] or 0) // share_seeds))
-    places = cut(led_places(seed_rows(single, k, keys[order], parts, shares), shares), "places")
+    places = cut(led_places(seed_rows(single, k, long, window, keys[order], parts, shares), shares, long - k), "places")
     # parts of frequent seeds: their leaders with the first of them
     c = F.col
     leaders = cut(places.where("salt > 0").select("key", "lead", "lead_pos").distinct(), "part-leaders")
@@ -446,8 +476,9 @@ def passages(spans: DataFrame, copies: DataFrame, min_words: int = 50, touch: in
 
 def remove_passages(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The table without the passages' words (white space before each of them goes too); texts that lose every word go."""
-    spans = cut(found.groupBy("doc_id").agg(F.collect_set(F.struct("from_word", "to_word")).alias("spans")).select(F.col("doc_id").alias("__span_doc"), F.col("spans").alias("__spans")), "removed")
-    joined = df.join(maybe_broadcast(spans, 500_000), F.col(id_col) == F.col("__span_doc"), "left")
+    whose, gone_ = unused(df, "span_doc"), unused(df, "spans")
+    spans = cut(found.groupBy("doc_id").agg(F.collect_set(F.struct("from_word", "to_word")).alias("spans")).select(F.col("doc_id").alias(whose), F.col("spans").alias(gone_)), "removed")
+    joined = df.join(maybe_broadcast(spans, 500_000), named(id_col).cast("long") == F.col(whose), "left")
     names, at, schema = df.columns, df.columns.index(text), df.schema
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -473,7 +504,7 @@ def remove_passages(df: DataFrame, found: DataFrame, id_col: str = "doc_id", tex
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return joined.select(*df.columns, "__spans").transform(map_batches, read, schema)
+    return joined.select(*columns_of(df), gone_).transform(map_batches, read, schema)
 
 
 def op10_chains(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,14 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow with batches of at most BATCH_BYTES, however long the texts are. The session keeps that bound."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(work, schema)
+    names = df.columns
+    if not any(set(c) & {".", "`"} for c in names):
+        return df.mapInArrow(work, schema)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+
+    return df.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(renamed, schema)
 
 
 def labelled_sample(df: DataFrame, key: str, limit: int, seed: str) -> DataFrame:

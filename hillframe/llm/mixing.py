@@ -2,15 +2,15 @@
 
 The words of a source are cut into shards (by a hash of the document) and each shard, in a seeded document order, into blocks
 of equal numbers of words. Sainte-Lague's rule (each next block to the highest quotient of votes over 2 * seats + 1)
-gives every source a whole number of blocks for its target, and again every shard of a source a whole number
-for its size. Inside a shard every block is taken quota div blocks times, and a seeded choice of quota mod
+gives every source a whole number of blocks for its target, then every group of a source's shards a whole number for its size, and
+every shard of a group its own. Inside a shard every block is taken quota div blocks times, and a seeded choice of quota mod
 blocks of them once more. A document's share is what the taken blocks hold of it. The last block of a
 shard is shorter than the others, so a source comes within most_repeats + 1 blocks a shard of its target; a block is never taken more
 than `most_repeats` times.
 
 Sources get targets in code point order, null last, with weights 1, 2, 3, repeating; a target stops at most_repeats times
-the source's size and what is over goes to the others by weight. Only one row per source and per shard (at most
-max_shards in all) reaches the driver; the work on documents and blocks stays in Spark.
+the source's size and what is over goes to the others by weight. Only one row per source and per group of shards (about max_groups in
+all) reaches the driver; shards have a size that doesn't grow with the table, and their quotas are dealt in Spark.
 
 Defined results: null and empty texts have size 0 and nothing is taken; a null source is a source of its own; repeated rows
 are documents of their own; an empty table gives no rows; other columns stay as they are where the operator keeps them.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, cut, map_batches, mix, n_words, text_bytes
+from .common import WORD, Words, cut, map_batches, maybe_broadcast, mix, named, text_bytes, unused
 
 
 def fill_targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
@@ -84,48 +84,61 @@ def mix_sources(
     block_words: int = 32,
     shard_words: int = 250_000,
     shard_docs: int = 5_000,
-    max_shards: int = 4096,
+    max_groups: int = 4096,
     seed: str = "mix",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """What the mix takes: id, source, size, source_size, target, taken, and pieces (start, words, repeats) of a document.
 
     Pieces are in words from the document's start; a document that isn't taken has none. keep: columns to carry along as
-    keep_<name>.
+    keep_0, keep_1 and so on. Sources are labels: one row of each reaches the driver.
     """
     spark = df.sparkSession
-    carried = [F.col(c).alias(f"keep_{c}") for c in keep]
-    wide = df.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"), n_words(f"`{text}`").alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("h"), *carried)
-    docs = cut(wide.drop(*(f"keep_{c}" for c in keep)), "sizes")
+    carried = [named(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    size = F.coalesce(F.regexp_count(named(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    wide = df.select(named(id_col).alias("id"), named(source).cast("string").alias("source"), size.alias("size"), F.xxhash64(F.lit(seed), named(id_col), named(text)).alias("h"), *carried)
+    docs = cut(wide.drop(*(f"keep_{i}" for i in range(len(keep)))), "sizes")
     per = [(r["source"], r["words"], r["docs"]) for r in docs.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")).collect()]
     per.sort(key=lambda x: (x[0] is None, (x[0] or "").encode("utf-32-be")))
     sizes = [x[1] for x in per]
     targets = fill_targets(sizes, [weights[i % len(weights)] for i in range(len(per))], most_repeats)
     quotas = sainte_lague(targets, round(sum(targets) / block_words))
-    grow = max(1.0, (sum(sizes) / shard_words + sum(x[2] for x in per) / shard_docs) / max_shards)
-    shards = [max(1, round(max(n / shard_words, d / shard_docs) / grow)) for _, n, d in per]
-    plan = spark.createDataFrame(
-        [(name, n, t, k) for (name, n, _), t, k in zip(per, targets, shards, strict=True)],
-        "p_source string, source_size long, target double, shards int",
+    shards = [max(1, round(max(n / shard_words, d / shard_docs))) for _, n, d in per]
+    groups = [max(1, min(k, k * max_groups // max(1, sum(shards)))) for k in shards]
+    plan = maybe_broadcast(
+        spark.createDataFrame(
+            [(name, n, t, k, g) for (name, n, _), t, k, g in zip(per, targets, shards, groups, strict=True)],
+            "p_source string, source_size long, target double, shards int, groups int",
+        )
     )
 
     def sharded(t: DataFrame) -> DataFrame:
-        t = t.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
-        return t.withColumn("shard", F.pmod("h", F.col("shards")).cast("int")).drop("shards")
+        t = t.join(plan, F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
+        return t.withColumn("shard", F.pmod("h", F.col("shards")).cast("int")).withColumn("grp", F.pmod("shard", "groups")).drop("shards", "groups")
 
     docs = sharded(docs)
+    sized = cut(docs.groupBy("source", "grp", "shard").agg(F.sum("size").alias("words")), "shards")
     held: dict[str | None, list[tuple[int, int]]] = {}
-    for r in docs.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect():
-        held.setdefault(r["source"], []).append((r["shard"], r["words"]))
+    for r in sized.groupBy("source", "grp").agg(F.sum("words").alias("words")).collect():
+        held.setdefault(r["source"], []).append((r["grp"], r["words"]))
     rows = []
     for (name, _, _), quota in zip(per, quotas, strict=True):
         own = sorted(held.get(name, []))
-        for (shard, words), seats in zip(own, sainte_lague([w for _, w in own], quota), strict=True):
-            rows.append((name, shard, min(seats, most_repeats * -(-words // block_words))))
-    quota = spark.createDataFrame(rows, "q_source string, q_shard int, quota long")
+        rows += [(name, grp, seats) for (grp, _), seats in zip(own, sainte_lague([w for _, w in own], quota), strict=True)]
+    shared = spark.createDataFrame(rows, "g_source string, g_grp int, seats long")
+
+    def deal(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("shard")
+        words = group["words"].to_numpy("int64")
+        seats = sainte_lague(words.tolist(), int(group["seats"].iloc[0]))
+        return pd.DataFrame({"q_source": group["source"], "q_shard": group["shard"], "quota": np.minimum(seats, most_repeats * -(-words // block_words))})
+
+    quota = sized.join(F.broadcast(shared), F.col("source").eqNullSafe(F.col("g_source")) & (F.col("grp") == F.col("g_grp"))).select("source", "grp", "shard", "words", "seats")
+    quota = cut(quota.groupBy("source", "grp").applyInPandas(deal, "q_source string, q_shard int, quota long"), "quotas")
+    tasks = min(max(1, sum(shards)), 10_000)
     if keep:
         docs = sharded(wide)
-    docs = docs.join(F.broadcast(quota), F.col("source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard"))).drop("q_source", "q_shard")
+    docs = docs.join(maybe_broadcast(quota), F.col("source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard"))).drop("q_source", "q_shard")
 
     def take(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["h", "id"], kind="stable")
@@ -159,13 +172,13 @@ def mix_sources(
                         own.append({"start": at, "words": stop - s, "repeats": int(repeats[b])})
                 s = stop
             pieces.append(own)
-        return shard.drop(columns=["h", "shard", "quota"]).assign(taken=upto(end) - upto(start), pieces=pieces)
+        return shard.drop(columns=["h", "shard", "grp", "quota"], errors="ignore").assign(taken=upto(end) - upto(start), pieces=pieces)
 
-    # as many tasks as shards (at most about max_shards): a shard is Python's unit of work, however few bytes it has
+    # as many tasks as shards, up to 10,000: a shard is Python's unit of work, however few bytes it has
     kinds = dict(df.dtypes)
-    held_columns = "".join(f", `keep_{c}` {kinds[c]}" for c in keep)
+    held_columns = "".join(f", keep_{i} {kinds[c]}" for i, c in enumerate(keep))
     schema = f"id {kinds[id_col]}, source string, size long{held_columns}, source_size long, target double, taken long, pieces array<struct<start long, words long, repeats long>>"
-    return docs.select("id", "source", "size", *(f"keep_{c}" for c in keep), "source_size", "target", "h", "shard", "quota").repartition(max(1, len(rows)), "source", "shard").groupBy("source", "shard").applyInPandas(take, schema)
+    return docs.select("id", "source", "size", *(f"keep_{i}" for i in range(len(keep))), "source_size", "target", "h", "shard", "quota").repartition(tasks, "source", "shard").groupBy("source", "shard").applyInPandas(take, schema)
 
 
 def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -189,7 +202,7 @@ def mixed_documents(df: DataFrame, text: str = "text", **options) -> DataFrame:
             columns[at] = pa.array(out, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    taken = mixed.where("taken > 0").select(*(F.col(f"keep_{c}").alias(c) for c in names), F.col("pieces").alias("__pieces"))
+    taken = mixed.where("taken > 0").select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(names)), F.col("pieces").alias(unused(df, "pieces")))
     # cut here: two Python steps in one task would hold two workers a core
     return cut(taken, "mixed").transform(map_batches, read, schema)
 

@@ -348,6 +348,39 @@ def test_chains_find_passages_edited_every_six_words(spark):
     assert found == {i: i - 1 for i in range(1, 120, 2)}
 
 
+def test_a_passage_whose_parts_others_hold_is_found(spark):
+    shared = [f"s{i}" for i in range(60)]
+    texts = [" ".join([*(f"a{n}_{i}" for i in range(30)), *shared[9 * n : 9 * n + 11], *(f"b{n}_{i}" for i in range(30))]) for n in range(7)]
+    texts += [" ".join([*(f"c{n}_{i}" for i in range(40)), *shared, *(f"d{n}_{i}" for i in range(40))]) for n in range(2)]
+    spans, copies = chains.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = {(r["doc_id"], r["from_word"], r["to_word"]) for r in chains.passages(spans, copies).collect()}
+    assert found == {(7, 40, 100), (8, 40, 100)}
+
+
+STAGE_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, spans string, pieces string, own_id long, span_doc long, keep_0 int, sig long, grp int"
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir):
+    import corpus_pipeline
+
+    data = [(i, t, [None, "aa", "bb"][i % 3], [None, "s1", "s.2"][i % 3], 0, "x", "y", None, 7, 7, 1, 2, 3) for i, t in enumerate(TEXTS)]
+    long = " ".join(f"v{i * 7907 % 99991}" for i in range(60_000))
+    data += [data[5], (None, LOREM, "aa", None, 0, *data[0][5:]), (None, None, None, None, None, *[None] * 8), (90, long, "bb", "s1", 0, *data[0][5:])]
+    odd = spark.createDataFrame(data, STAGE_COLUMNS)
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), STAGE_COLUMNS)
+            assert docs.columns == odd.columns, name
+        packed = corpus_pipeline.pack(spark, docs, sf_dir)
+        assert packed.select("doc_id", "length", "sequence_id", "offset").where("length > 1024").count() == 0
+        docs = packed
+    kept = corpus_pipeline.near_duplicates(spark, odd, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [0, 1, 2, 3, 5, 8, 10, 11, 12, 13, 14, 90] and sum(r["doc_id"] is None for r in kept) == 2
+    mixed = corpus_pipeline.mix(spark, odd, sf_dir).toPandas()
+    by_doc = mixing.mix_sources(odd).toPandas()
+    assert by_doc["taken"].sum() == sum(len(words(t)) for t in mixed["text"])
+
+
 def test_pipeline_keeps_clean_documents(spark, sf_dir):
     import corpus_pipeline
 
