@@ -30,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, columns_of, cut, map_batches, maybe_broadcast, mix, named, numbers, order_by, planes, shingles, signed, slices, text_bytes, unused
+from .common import Words, columns_of, cut, map_batches, maybe_broadcast, mix, named, numbers, order_by, planes, shingles, signed, slices, small, text_bytes, unused
 
-SEEDS = "share int, keys binary, docs binary, places binary, salts binary"
+SEEDS = "share int, keys binary, docs binary, counts binary, places binary, salts binary"
+#: Bytes of a seed's hash that are dealt: two seeds that agree in these and in their share alone give a false anchor, which alignment drops.
+KEY_BYTES = 5
 ANCHORS = "key long, salt int, doc long, pos int, lead long, lead_pos int"
 CHAINS = "x long, y long, x0 int, x1 int, y0 int, y1 int, anchors array<int>"
 
@@ -118,10 +120,23 @@ def seed_rows(docs: DataFrame, k: int, long: int, window: int, frequent: np.ndar
                     salt[hit] = (mix(doc[hit].astype(np.uint64)) % parts[at[hit]].astype(np.uint64)).astype(np.int32) + 1
                 share = (mix(h ^ mix(salt.astype(np.uint64))) % np.uint64(shares)).astype(np.int64)
                 order = order_by(share)
-                share, x = share[order], (h[order], doc[order], p[order].astype(np.int32), salt[order])
+                share, h, doc, p, salt = share[order], h[order], doc[order], p[order], salt[order]
                 edge = np.concatenate([[0], np.flatnonzero(share[1:] != share[:-1]) + 1, [len(share)]])
-                rows = [[planes(v[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)] for v in x]
-                yield pa.RecordBatch.from_arrays([pa.array(share[edge[:-1]], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["share", "keys", "docs", "places", "salts"])
+                new = np.ones(len(h), dtype=bool)  # the beginning of a document in a share
+                new[1:] = (share[1:] != share[:-1]) | (doc[1:] != doc[:-1])
+                step = p.copy()  # places as distances from the one before
+                step[1:] -= np.where(new[1:], 0, p[:-1])
+                begin = np.flatnonzero(new)
+                count = np.diff(np.append(begin, len(h))).astype(np.uint32)
+                first = np.searchsorted(begin, edge)
+                rows: list[list[bytes]] = [[], [], [], [], []]
+                for i, j, f, g in zip(edge[:-1].tolist(), edge[1:].tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    rows[0].append(planes(h[i:j])[: KEY_BYTES * (j - i)])
+                    rows[1].append(planes(doc[begin[f:g]]))
+                    rows[2].append(planes(count[f:g]))
+                    rows[3].append(planes(step[i:j].astype(np.int32)))
+                    rows[4].append(planes(salt[i:j]) if salt[i:j].any() else b"")
+                yield pa.RecordBatch.from_arrays([pa.array(share[edge[:-1]], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["share", "keys", "docs", "counts", "places", "salts"])
 
     return docs.transform(map_batches, read, SEEDS)
 
@@ -136,8 +151,14 @@ def led_places(seeds: DataFrame, shares: int, apart: int) -> DataFrame:
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
-                held.append([numbers(v.as_py(), t) for v, t in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=True)])
+            for keys, docs, counts, steps, salts in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+                n = len(steps) // 4
+                count = numbers(counts, np.uint32).astype(np.int64)
+                total = np.cumsum(numbers(steps, np.int32), dtype=np.int64)
+                begin = np.cumsum(count) - count
+                before = np.where(begin > 0, total[begin - 1], 0)
+                places = (total - np.repeat(before, count)).astype(np.int32)
+                held.append([numbers(keys + bytes((8 - KEY_BYTES) * n), np.uint64), np.repeat(numbers(docs, np.int64), count), places, numbers(salts, np.int32) if salts else np.zeros(n, dtype=np.int32)])
         if not held:
             return
         key, doc, pos, salt = (np.concatenate(v) for v in zip(*held, strict=True))
@@ -363,8 +384,9 @@ def aligned_chains(chains: DataFrame, docs: DataFrame, margin: int, identity: fl
     ends = cut(x.unionByName(y), "chain-ends")
     many = maybe_broadcast(cut(ends.groupBy("doc_id").count().where(F.col("count") > group).select("doc_id", F.ceil(F.col("count") / group).alias("parts")), "hubs"))
     part = F.pmod(F.xxhash64("chain"), F.coalesce("parts", F.lit(1)))
+    few = small(ends, 400_000)
     spans = ends.join(many, "doc_id", "left").groupBy("doc_id", part.alias("part")).agg(F.collect_list(F.struct("chain", "side", "a", "b")).alias("spans"))
-    met = docs.join(maybe_broadcast(cut(spans, "chain-spans"), 500_000), "doc_id").select("text", "spans")
+    met = docs.join(F.broadcast(spans) if few else spans, "doc_id").select("text", "spans")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,7 +444,7 @@ def repeated_passages(
     long: int = 12,
     window: int = 8,
     hot: int = 200,
-    share_seeds: int = 1_500_000,
+    share_seeds: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(spans, copies). spans: aligned spans of a document's text with an earlier document's; copies: doc_id, source_id, n_words of equal texts.
 

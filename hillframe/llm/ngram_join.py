@@ -4,9 +4,10 @@ Sets are the distinct k-word shingles of whole texts, each as a 64-bit hash: set
 stand in one fixed order, by the number of sets that hold them. Two sets that meet the Jaccard threshold t share at least
 ceil(t * |x|) elements, so they share l elements of their first |x| - ceil(t * |x|) + l.
 
-* The number of sets that hold a shingle is counted over the whole table: shingles are dealt by hash, counted, and those of two sets and
-  more return to their sets. A set with fewer of them than the threshold asks for has no link and goes no further; from here on
-  only the shared shingles of the other sets are moved.
+* Shingles that one set alone holds can't be shared. First 32 bits of every shingle are dealt by hash, and every set learns how many of its
+  shingles some other set may hold too: if they are fewer than the threshold asks for, it has no link and goes no further.
+* The shingles of the other sets are dealt whole and counted, and those of two sets and more return to their sets with the number
+  of sets that hold them, which gives the order.
 * Small sets (at most `boundary` elements) enumerate the pairs (subsets of fixed size two) of their prefix with l = 2 as join keys.
 * Large sets put the prefix with l = 1 into inverted lists, and so do small sets near enough to the boundary to match a large one.
   Lists of shingles that a thousand sets and more hold are salted by set: each part has its own leader (below), and the leaders of
@@ -39,6 +40,8 @@ from .common import Words, columns_of, cut, distinct, map_batches, maybe_broadca
 from .components import components
 
 SETS = "kind int, doc_id long, n int, sig long, key long, c long"
+PRINTS = "share int, docs binary, counts binary, prints binary"
+FOUND = "share int, docs binary, counts binary"
 SHINGLES = "share int, sigs binary, sizes binary, keys binary, owners binary, held binary"
 SHARED = "sig long, n int, keys binary, held binary"
 ORDERED = "sig long, n int, rare int, keys binary, held binary"
@@ -112,6 +115,98 @@ def choose_boundary(sizes: list[tuple[int, int, float, float]], numerator: int,
     return best[1]
 
 
+def print_rows(docs: DataFrame, k: int, numerator: int, denominator: int, frequent: np.ndarray, shares: int) -> DataFrame:
+    """32 bits of the shingles of every set that another set can match, by share, with the documents and how many are of each.
+
+    Of frequent shingles only the number in each document is given (in rows without prints).
+    """
+    known = docs.sparkSession.sparkContext.broadcast(frequent)
+    names = ["share", "docs", "counts", "prints"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = known.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for a, _, d, h, n, _ in _sets(batch.column(1), k):
+                able = denominator * n >= numerator * (n + 1)  # else only an equal set can match
+                take = able[d]
+                h, d = h[take], d[take]
+                if not len(h):
+                    continue
+                rows: list[tuple] = []
+                if len(frequent):
+                    hit = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+                    sure = np.bincount(d[hit], minlength=len(n))
+                    who = np.flatnonzero(sure)
+                    if len(who):
+                        rows.append((int(mix(h[:1])[0] % np.uint64(shares)), planes(ids[a + who]), planes(sure[who].astype(np.uint32)), b""))
+                    h, d = h[~hit], d[~hit]
+                share = (mix(h + np.uint64(1)) % np.uint64(shares)).astype(np.int64)
+                order = order_by(share)
+                share, h, d = share[order], (h[order] >> np.uint64(32)).astype(np.uint32), d[order]
+                new = np.ones(len(h), dtype=bool)  # the beginning of a document in a share
+                new[1:] = (share[1:] != share[:-1]) | (d[1:] != d[:-1])
+                begin = np.flatnonzero(new)
+                count = np.diff(np.append(begin, len(h))).astype(np.uint32)
+                who, of = ids[a + d[begin]], share[begin]
+                edge = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else np.zeros(1, dtype=np.int64)
+                at = np.append(begin, len(h))
+                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    rows.append((int(of[i]), planes(who[i:j]), planes(count[i:j]), planes(h[at[i] : at[j]])))
+                for i in range(0, len(rows), 5000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 5000], strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=names)
+
+    return docs.transform(map_batches, read, PRINTS)
+
+
+def shared_counts(rows: DataFrame, shares: int) -> DataFrame:
+    """(doc_id, shared): how many shingles of a document some other one may hold too; documents without any are left out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, counts, prints, sure = [], [], [], []
+        for batch in batches:
+            for who, c, print_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if print_:
+                    docs.append(numbers(who, np.int64))
+                    counts.append(numbers(c, np.uint32))
+                    prints.append(numbers(print_, np.uint32))
+                else:
+                    sure.append((numbers(who, np.int64), numbers(c, np.uint32)))
+        if docs:
+            x = np.concatenate(prints)
+            prints.clear()
+            order = np.argsort(x)
+            x = x[order]
+            same = np.zeros(len(x), dtype=bool)
+            same[order] = np.append(x[1:] == x[:-1], False) | np.append(False, x[1:] == x[:-1])
+            who, c = np.concatenate(docs), np.concatenate(counts).astype(np.int64)
+            total = np.concatenate([[0], np.cumsum(same)])
+            end = np.cumsum(c)
+            sure.append((who, (total[end] - total[end - c]).astype(np.uint32)))
+        if not sure:
+            return
+        who, c = (np.concatenate(v) for v in zip(*sure, strict=True))
+        who, c = who[c > 0], c[c > 0]
+        to = (mix(who.view(np.uint64)) % np.uint64(shares)).astype(np.int64)
+        order = order_by(to)
+        to, who, c = to[order], who[order], c[order]
+        edge = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, dtype=np.int64)
+        for k in range(0, len(edge) - 1, 5000):
+            own = edge[k : k + 5001].tolist()
+            columns = [pa.array(to[own[:-1]], pa.int32()), *(pa.array([planes(v[i:j]) for i, j in zip(own[:-1], own[1:], strict=True)], pa.binary()) for v in (who, c))]
+            yield pa.RecordBatch.from_arrays(columns, names=["share", "docs", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(numbers(who, np.int64), numbers(c, np.uint32)) for batch in batches for who, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        if parts:
+            who, c = (np.concatenate(v) for v in zip(*parts, strict=True))
+            who, at = np.unique(who, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(np.bincount(at, c).astype(np.int64))], names=["doc_id", "shared"])
+
+    found = rows.repartitionById(shares, F.col("share")).transform(map_batches, count, FOUND)
+    return found.repartitionById(shares, F.col("share")).transform(map_batches, add, "doc_id long, shared long")
+
+
 def shingle_rows(docs: DataFrame, k: int, numerator: int, denominator: int, frequent: np.ndarray, held_by: np.ndarray, shares: int) -> DataFrame:
     """The shingles of every set that another set can match, by share of the hashes, as bytes: one row per slice of texts and share.
 
@@ -374,7 +469,12 @@ def jaccard_components(
     firsts = cut(firsts.where("rep is not null"), "representatives")
     twice = maybe_broadcast(firsts.where("copies > 1").select("sig", "rep"))
     others = maybe_broadcast(cut(members.join(twice, "sig").where("doc_id <> rep").select("doc_id").distinct(), "copies"))
-    rows = shingle_rows(docs.where("doc_id is not null").join(others, "doc_id", "left_anti"), k, numerator, denominator, keys[order], frequent["c"].to_numpy("int64")[order], shares)
+    single = docs.where("doc_id is not null").join(others, "doc_id", "left_anti")
+    shared = shared_counts(print_rows(single, k, numerator, denominator, keys[order], shares), shares)
+    able = members.join(shared, "doc_id").where(denominator * c("shared") >= numerator * c("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    able = cut(able, "with-shared-shingles")
+    shares = max(1, -(-(able.agg(F.sum("n")).first()[0] or 0) // share_shingles))
+    rows = shingle_rows(single.join(maybe_broadcast(able.select("doc_id")), "doc_id", "left_semi"), k, numerator, denominator, keys[order], frequent["c"].to_numpy("int64")[order], shares)
     sets = cut(ordered_sets(shared_shingles(rows, shares), numerator, denominator), "shared-shingles")
 
     bucket = F.when(c("n") <= 256, c("n")).otherwise(F.ceil(F.pow(F.lit(1.05), F.ceil(F.log(c("n")) / F.log(F.lit(1.05))))))
