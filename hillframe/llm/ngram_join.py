@@ -20,7 +20,7 @@ Equal sets are one set (a third of all rows may be copies of one text). In each
 set with fewest shingles of its own; then, in lists where some set isn't connected with the leader, those sets with all others of other
 components: no link between different components is lost, and a group of near copies costs as many comparisons as it has members, not
 their square. Size and position filters, which keep every pair that can meet the threshold, come before exact comparison
-of whole sets. A leader's set is sent once to every two thousand sets that are compared with it.
+of whole sets. A leader's set is sent once to about 250 sets that are compared with it.
 
 Defined results: a null text or one without words has no set, no links and itself as component; shorter texts than k words are
 one shingle; equal texts and repeated rows are linked; rows with a null id take the component of their links, but a text that only rows
@@ -403,7 +403,7 @@ def led_lists(postings: DataFrame) -> DataFrame:
     return postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "rare", "sig").transform(map_batches, lead, LISTS)
 
 
-def compare(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int, group: int = 2000) -> DataFrame:
+def compare(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int, group: int = 250) -> DataFrame:
     """The pairs (s, t) of signatures whose whole sets meet the threshold exactly, with shared and total sizes.
 
     The pairs of one s are cut into groups of about `group`; a group gets the set of s once and then streams by.

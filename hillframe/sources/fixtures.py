@@ -73,6 +73,24 @@ SELECT CAST(c_custkey AS BIGINT) AS k, CAST(CASE c_custkey % 3 WHEN 0 THEN c_cus
 SELECT CAST(user_id AS BIGINT) AS site, event_type AS step, ts AS finished_at, value < 100 AS ok, value AS seconds, event_id FROM events""",
     "attempt": """
 SELECT CAST(event_id % 400 AS BIGINT) AS tile, CAST(FLOOR(event_id / 400) AS BIGINT) AS attempt, value / 500 AS nodata_share FROM events""",
+    "label": """
+SELECT CAST(p_partkey AS BIGINT) AS id, CASE p_partkey % 7 WHEN 0 THEN 'BrÃ¼cke Nord' WHEN 1 THEN 'Brücke' WHEN 2 THEN 'MÃ¼hlkÃ¶gele' WHEN 3 THEN 'plain' WHEN 4 THEN 'Ã' WHEN 5 THEN '日本 Ã¼' ELSE NULL END AS name FROM part""",
+    "id_token": """
+SELECT CAST(p_partkey AS BIGINT) AS k, CASE p_partkey % 7 WHEN 0 THEN '2301-2304' WHEN 1 THEN CAST(p_partkey AS STRING) WHEN 2 THEN ' 9 - 7 ' WHEN 3 THEN 'x9' WHEN 4 THEN '5..6' WHEN 5 THEN '' ELSE NULL END AS token,
+       CASE p_partkey % 8 WHEN 0 THEN '>20' WHEN 1 THEN '>=25' WHEN 2 THEN '!=7' WHEN 3 THEN ' 12 ' WHEN 4 THEN '<= 30.5' WHEN 5 THEN '==14' WHEN 6 THEN 'about 3' ELSE '<10' END AS predicate,
+       CASE WHEN p_partkey % 11 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS value,
+       CASE p_partkey % 6 WHEN 0 THEN 'Both' WHEN 1 THEN 'rail, leitpoller' WHEN 2 THEN ' posts,sections,post' WHEN 3 THEN 'unknown' WHEN 4 THEN 'sections' ELSE NULL END AS styles FROM part""",
+    "landuse_row": """
+SELECT CAST(p_partkey AS BIGINT) AS id, CASE p_partkey % 2 WHEN 0 THEN 'tirol' ELSE 'suedtirol' END AS authority,
+       CASE p_partkey % 9 WHEN 0 THEN 'Stehendes Gewässer' WHEN 1 THEN 'Bundesstraße' WHEN 2 THEN 'Wohnen' WHEN 3 THEN 'Hochwald' WHEN 4 THEN 'Krummholz' WHEN 5 THEN 'Alm' WHEN 6 THEN 'stehend' ELSE NULL END AS klasse,
+       CASE p_partkey % 10 WHEN 0 THEN 'LN-GWS' WHEN 1 THEN 'ln-vsu' WHEN 2 THEN 'LN-SWO' WHEN 3 THEN 'LN-WHW' WHEN 4 THEN 'LN-WST' WHEN 5 THEN 'LN-X' WHEN 6 THEN 'WHOCH' WHEN 7 THEN 'LN-GFL' ELSE NULL END AS objekt,
+       CASE p_partkey % 11 WHEN 0 THEN 'Gewässer' WHEN 1 THEN 'Siedlung' WHEN 2 THEN 'Mischwald' WHEN 3 THEN 'Extensives Grünland' WHEN 4 THEN 'Strauch' WHEN 5 THEN 'hochwald' ELSE NULL END AS bez FROM part""",
+    "element": """
+SELECT CONCAT('{"type":"', CASE p_partkey % 5 WHEN 0 THEN 'node' ELSE 'way' END, '","id":', CAST(p_partkey AS STRING), ',"geometry":[',
+         CASE WHEN p_size % 4 = 0 THEN '' ELSE CONCAT('{"lon":', CAST(p_size AS STRING), '.5,"lat":47.25}') END, CASE WHEN p_size % 4 >= 2 THEN CONCAT(',{"lon":', CAST(p_size + 1 AS STRING), '.5,"lat":47.5}') ELSE '' END,
+         '],"tags":{"highway":"', CASE p_partkey % 3 WHEN 0 THEN 'primary' ELSE 'track' END, '"', CASE WHEN p_partkey % 4 = 1 THEN ',"width":"6.5","sac":"T2"' ELSE '' END, '}}') AS body FROM part""",
+    "file": """
+SELECT CAST(user_id AS BIGINT) AS tile, CONCAT('/in/T', CAST(user_id AS STRING), '/FSC_2023', CAST(1000 + event_id % 200 AS STRING), 'T10', CAST(1000 + event_id % 8000 AS STRING), CASE event_type WHEN 'view' THEN '_S2A_FSCOG.tif' WHEN 'click' THEN '_S2B_FSCOG-QA.tif' WHEN 'purchase' THEN '_S2B_FSCOG.tif' ELSE '_S2A_QC.tif' END) AS path FROM events""",
     "road_end": """
 SELECT CAST(s_suppkey AS BIGINT) AS objectid, CASE s_suppkey % 2 WHEN 0 THEN 'tirol' ELSE 'suedtirol' END AS authority,
        CAST((s_suppkey * 7) % 50 AS DOUBLE) AS x, CAST((s_suppkey * 3) % 40 AS DOUBLE) AS y FROM supplier""",
