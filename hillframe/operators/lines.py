@@ -62,15 +62,20 @@ def segments(nodes: DataFrame, key: str = "road_id", order: str = "seq") -> Data
     return t.withColumns(nxt).where("x1 is not null").select(key, F.col(order).alias("seg"), *(F.col(a).alias(f"{a}0") for a in ("x", "y", "z", "s", "w")), *nxt)
 
 
-def sample_at(segs: DataFrame, points: DataFrame, key: str = "road_id", at: str = "at", bin_m: float = 25.0) -> DataFrame:
-    """x, y, z, w at stations: the bracketing segment (s0 <= at < s1, the last one closed) by an equi-join on bins of s."""
+def sample_at(segs: DataFrame, points: DataFrame, key: str = "road_id", at: str = "at", bin_m: float = 25.0, direction: bool = False) -> DataFrame:
+    """x, y, z, w at stations: the bracketing segment (s0 <= at < s1, the last one closed) by an equi-join on bins of s.
+
+    With direction the segment's left unit normal (nx, ny) too.
+    """
     low, high = F.floor(F.col("s0") / bin_m), F.floor(F.col("s1") / bin_m)
     last = F.max("seg").over(Window.partitionBy(key))
     s = segs.withColumn("closed", F.col("seg") == last).withColumn("bin", F.explode(F.sequence(low, high)))
     p = points.withColumn("bin", F.floor(F.col(at) / bin_m))
     j = p.join(s, [key, "bin"]).where((F.col(at) >= F.col("s0")) & ((F.col(at) < F.col("s1")) | (F.col("closed") & (F.col(at) <= F.col("s1")))))
     t = (F.col(at) - F.col("s0")) / (F.col("s1") - F.col("s0"))
-    return j.select(*points.columns, *((F.col(f"{a}0") + t * (F.col(f"{a}1") - F.col(f"{a}0"))).alias(a) for a in ("x", "y", "z", "w")))
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    normal = [(-dy / F.hypot(dx, dy)).alias("nx"), (dx / F.hypot(dx, dy)).alias("ny")] if direction else []
+    return j.select(*points.columns, *((F.col(f"{a}0") + t * (F.col(f"{a}1") - F.col(f"{a}0"))).alias(a) for a in ("x", "y", "z", "w")), *normal)
 
 
 def every(df: DataFrame, step: float, key: str = "road_id", length: str = "length") -> DataFrame:

@@ -77,8 +77,8 @@ def f7(cells):
     return _flow(cells).select("r", "c", c("to").cast("long").alias("receiver"), r6(c("drop")).alias("fall"))
 
 
-def _accumulated(cells):
-    t = _flow(cells)
+def _accumulated(cells, size=1.0):
+    t = Fo.d8(Fo.fill_from_neighbours(cells, "z"), "z", size)
     dr, dc = F.array(*(F.lit(i) for _, i, _ in Fo.NEIGHBOURS)), F.array(*(F.lit(j) for _, _, j in Fo.NEIGHBOURS))
     to = F.when(c("to") >= 0, (c("r") + F.element_at(dr, c("to") + 1)) * 100_000 + c("c") + F.element_at(dc, c("to") + 1))
     t = iterate.cut(t.select("r", "c", "drop", (c("r") * 100_000 + c("c")).alias("cell"), to.alias("to")), "receivers")
@@ -95,7 +95,8 @@ def f8(cells):
 
 @R.add("f9_twi", "cells", None)
 def f9(cells):
-    return _accumulated(cells).select("r", "c", r6(F.log(c("acc") * 1.0 / F.greatest(c("drop"), F.lit(1e-3)))).alias("twi"))
+    t = _accumulated(cells, 10.0).select("r", "c", F.log(c("acc") * 10.0 / F.greatest(c("drop"), F.lit(1e-3))).alias("raw"))
+    return t.select("r", "c", r6(c("raw")).alias("twi"))
 
 
 @R.add("f10_ndsm", "cells", f"WITH {_FILLED} SELECT r, c, round(greatest(coalesce(dom, z) - z, 0), 6) + 0.0 AS ndsm FROM fz")
@@ -207,7 +208,7 @@ def f23(cells):
 
 
 for _k, _v in (("f8_flow_accumulation", f"{_ACC} SELECT r, c, acc FROM fz JOIN ac ON pos = r * 100000 + c"),
-               ("f9_twi", f"{_ACC} SELECT fz.r, fz.c, round(ln(acc * 1.0 / greatest(greatest(d, 0), 1e-3)), 6) + 0.0 AS twi FROM fz JOIN ac ON pos = fz.r * 100000 + fz.c JOIN rc ON rc.r = fz.r AND rc.c = fz.c"),
+               ("f9_twi", f"{_ACC} SELECT fz.r, fz.c, round(ln(acc * 10.0 / greatest(greatest(d / 10, 0), 1e-3)), 6) + 0.0 AS twi FROM fz JOIN ac ON pos = fz.r * 100000 + fz.c JOIN rc ON rc.r = fz.r AND rc.c = fz.c"),
                ("f22_components", f"{_BLOB} SELECT b.r, b.c, component FROM b JOIN cc USING (id)"),
                ("f23_small_components", f"{_BLOB}, s AS (SELECT component, count(*) AS n FROM cc GROUP BY 1 HAVING count(*) >= 4) SELECT b.r, b.c, component, n FROM b JOIN cc USING (id) JOIN s USING (component)")):
     from hillframe.sources.fixtures import ctes as _ctes

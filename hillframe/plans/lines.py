@@ -105,12 +105,12 @@ def e15(n):
 
 
 @R.add("e17_running_median", "road_node", """
-SELECT road_id, seq, round(CASE WHEN count(v) OVER q >= 3 THEN median(v) OVER q END, 6) + 0.0 AS m FROM (SELECT road_id, seq, CASE WHEN seq % 5 <> 1 THEN z END AS v FROM road_node) WINDOW q AS (PARTITION BY road_id ORDER BY seq ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
+SELECT road_id, seq, round(CASE WHEN v IS NULL THEN NULL WHEN count(v) OVER q >= 3 THEN median(v) OVER q ELSE v END, 6) + 0.0 AS m FROM (SELECT road_id, seq, CASE WHEN seq % 5 > 1 THEN z END AS v FROM road_node) WINDOW q AS (PARTITION BY road_id ORDER BY seq ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
 def e17(n):
     q = L.along().rowsBetween(-3, 3)
-    v = F.when(c("seq") % 5 != 1, c("z"))
-    t = n.select("road_id", "seq", v.alias("v"))
-    return t.select("road_id", "seq", r6(F.when(F.count("v").over(q) >= 3, F.percentile("v", F.lit(0.5)).over(q))).alias("m"))
+    t = n.select("road_id", "seq", F.when(c("seq") % 5 > 1, c("z")).alias("v"))
+    # a null stays null, and a value with fewer than three known ones around it stays as it is
+    return t.select("road_id", "seq", r6(F.when(c("v").isNull(), None).when(F.count("v").over(q) >= 3, F.percentile("v", F.lit(0.5)).over(q)).otherwise(c("v"))).alias("m"))
 
 
 @R.add("e18_prefix", "road_node", """
@@ -283,9 +283,3 @@ SELECT objectid, road_id, round(s, 6) + 0.0 AS s, round(sqrt(d2), 6) + 0.0 AS d
 def c11(n, ends):
     p = ends.select("objectid", (c("x") * 20).alias("px"), (c("y") * 8).alias("py"))
     return L.nearest_on_line(p, L.segments(n), "objectid", 50.0).select("objectid", "road_id", r6(c("s")).alias("s"), r6(c("d")).alias("d"))
-
-
-@R.add("g28_crossfall", "road_node", f"WITH {_TAN} SELECT road_id, seq, round(((x - dy / sqrt(dx*dx+dy*dy) * w / 2) * 0.02 - (x + dy / sqrt(dx*dx+dy*dy) * w / 2) * 0.02) / w, 6) + 0.0 AS crossfall FROM t")
-def g28(n):
-    plane = lambda side: (c("x") + side * c("nx") * c("w") / 2) * 0.02  # noqa: E731  the ground is the plane z = 0.02 x
-    return L.tangents(n).select("road_id", "seq", r6((plane(1) - plane(-1)) / c("w")).alias("crossfall"))
