@@ -73,11 +73,11 @@ def a12(road):
 
 
 @R.add("a17_manifest", "layer", """
-WITH m AS (SELECT name, part, count(*) AS cells FROM layer WHERE cell % 2 = 0 GROUP BY 1, 2), u AS (SELECT name, part, count(*) AS cells FROM layer WHERE cell % 3 = 0 AND name <> 'water' GROUP BY 1, 2)
+WITH m AS (SELECT name, part, count(*) AS cells FROM layer WHERE weight >= 0.3 GROUP BY 1, 2), u AS (SELECT name, part, count(*) AS cells FROM layer WHERE v > 1020 AND name <> 'water' GROUP BY 1, 2)
 SELECT * FROM m WHERE (name, part) NOT IN (SELECT (name, part) FROM u) UNION ALL SELECT * FROM u""")
 def a17(layer):
-    m = layer.where("cell % 2 = 0").groupBy("name", "part").agg(F.count(F.lit(1)).alias("cells"))
-    u = layer.where("cell % 3 = 0 and name <> 'water'").groupBy("name", "part").agg(F.count(F.lit(1)).alias("cells"))
+    m = layer.where("weight >= 0.3").groupBy("name", "part").agg(F.count(F.lit(1)).alias("cells"))
+    u = layer.where("v > 1020 and name <> 'water'").groupBy("name", "part").agg(F.count(F.lit(1)).alias("cells"))
     return T.upsert(m, u, ["name", "part"])
 
 
@@ -100,16 +100,14 @@ def h1(road):
     return part.where("objekt = 'S-B'").unionByName(part.where("kunstbauten is not null")).distinct()
 
 
-@R.add("h2_id_sets", "road", "SELECT DISTINCT road_id FROM (SELECT road_id FROM road WHERE road_id % 7 = 0 UNION ALL SELECT road_id FROM road WHERE road_id % 5 = 0)")
+@R.add("h2_id_sets", "road", "SELECT DISTINCT road_id FROM (SELECT road_id FROM road WHERE objekt = 'S-B' UNION ALL SELECT road_id FROM road WHERE str_code = 'L13')")
 def h2(road):
-    ids = road.select("road_id")
-    return ids.where("road_id % 7 = 0").union(ids.where("road_id % 5 = 0")).distinct()
+    return road.where("objekt = 'S-B'").select("road_id").union(road.where("str_code = 'L13'").select("road_id")).distinct()
 
 
-@R.add("h3_intersect", "road", "SELECT road_id FROM road WHERE road_id % 3 = 0 INTERSECT SELECT road_id FROM road WHERE road_id % 5 = 0")
+@R.add("h3_intersect", "road", "SELECT road_id FROM road WHERE kunstbauten IS NOT NULL INTERSECT SELECT road_id FROM road WHERE str_code = 'B179'")
 def h3(road):
-    ids = road.select("road_id")
-    return ids.where("road_id % 3 = 0").intersect(ids.where("road_id % 5 = 0"))
+    return road.where("kunstbauten is not null").select("road_id").intersect(road.where("str_code = 'B179'").select("road_id"))
 
 
 @R.add("h4_except", "road", "SELECT road_id FROM road WHERE kunstbauten IS NULL OR objekt NOT IN ('S-BB', 'S-BG')")
