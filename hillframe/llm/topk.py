@@ -9,7 +9,11 @@ score so far goes no further, and the exact integer score decides among the surv
 Queries and candidates are cut into blocks of bounded size; each pair of blocks is one task group, and only k rows a
 query leave it. No bound on the number of candidates is set: pruning is by proof only.
 
-Defined results: vectors that are null, empty or hold a null or non-finite component take no part; vectors of other length
+Scores are exact whole numbers: where a block's components are so large that a double could round a sum, the products are taken in
+64-bit integers instead.
+
+Defined results: vectors that are null, empty or hold a null or non-finite component take no part, nor do those whose score could
+pass a long (a component of 2^31 and more after scaling); vectors of other length
 than the query's aren't its candidates; rows repeated with one id and one vector count once; ties go to the smaller id. An
 empty table gives no rows.
 """
@@ -54,6 +58,9 @@ def block_top_k(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
     coarse = qs[0] @ cs[0].T
     slack = 1e-6 * (1 + np.abs(coarse).max(initial=0))
     middle = min(len(levels) - 1, 2)
+    exact = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * q.shape[1] < 2.0**53
+    whole = None if exact else c.astype(np.int64)
+    slack += 0 if exact else 1e-9 * np.abs(q).max() * np.abs(c).max() * q.shape[1]  # rounding of the doubles in bounds and thresholds
     for i in range(len(q)):
         alive = np.flatnonzero(cid != qid[i])
         if not len(alive):
@@ -70,9 +77,9 @@ def block_top_k(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
             if len(alive) <= 4 * k:
                 break
             alive = alive[cs[level][alive] @ qs[level][i] + slack >= least]
-        scores = c[alive] @ q[i]
+        scores = (c[alive] @ q[i]).astype(np.int64) if exact else whole[alive] @ q[i].astype(np.int64)
         order = np.lexsort((cid[alive], -scores))[:k]
-        yield int(qid[i]), cid[alive][order], scores[order].astype(np.int64)
+        yield int(qid[i]), cid[alive][order], scores[order]
 
 
 def top_k(
@@ -92,7 +99,7 @@ def top_k(
     """
     spark = df.sparkSession
     x = F.col(vector)
-    whole = F.expr(f"size({vector}) > 0 and forall({vector}, v -> v is not null and not isnan(v) and abs(v) < double('infinity'))")
+    whole = F.expr(f"size({vector}) > 0 and forall({vector}, v -> v is not null and not isnan(v) and abs(double(v)) < {2.0**31 / abs(scale)})")
     ints = (
         df.where(F.col(id_col).isNotNull() & x.isNotNull() & whole)
         .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
@@ -147,9 +154,9 @@ OP6_SQL = """
 WITH e AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(CAST(x AS DOUBLE)) >= 8388608)) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT)) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: CAST(p[1] AS HUGEINT) * p[2])) AS BIGINT)) AS score
   FROM e q JOIN e c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5

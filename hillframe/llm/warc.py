@@ -114,6 +114,20 @@ class _Store:
             return f.read()
 
 
+def _bins(first: np.ndarray, last: np.ndarray, steps: np.ndarray):
+    """The range (j) that holds a key and the step in it (i), by binary search; -1 outside all of them."""
+
+    @F.pandas_udf("struct<j int, i long>")
+    def find(keys: pd.Series) -> pd.DataFrame:
+        key = keys.to_numpy("int64")
+        j = np.searchsorted(first, key, side="right") - 1
+        inside = (j >= 0) & (key < last[np.maximum(j, 0)])
+        found = pd.DataFrame({"j": j.astype("int32"), "i": (key - first[np.maximum(j, 0)]) // steps[np.maximum(j, 0)]})
+        return found.where(pd.Series(inside), -1).astype({"j": "int32", "i": "int64"})
+
+    return find
+
+
 def _ranges(keyed: DataFrame, shard_bytes: int, bins: int = 4096, rounds: int = 6) -> list[int]:
     """Upper bounds (exclusive) of key ranges of about shard_bytes; every heavy range is cut, in passes of at most `bins` rows to the driver."""
     low, high, total = keyed.agg(F.min("key"), F.max("key"), F.sum("size")).first()
@@ -129,20 +143,16 @@ def _ranges(keyed: DataFrame, shard_bytes: int, bins: int = 4096, rounds: int =
             for a, b in some:
                 step = max(1, -(-(b - a) // per))
                 spec.append((a, b, step))
-            lookup = keyed.sparkSession.createDataFrame(spec, "a long, b long, step long")
-            got += (
-                keyed.join(F.broadcast(lookup), (F.col("key") >= F.col("a")) & (F.col("key") < F.col("b")))
-                .groupBy("a", "b", "step", F.floor((F.col("key") - F.col("a")) / F.col("step")).alias("i"))
-                .agg(F.sum("size").alias("size"))
-                .collect()
-            )
+            first, last, steps = (np.asarray(x, dtype=np.int64) for x in zip(*sorted(spec), strict=True))
+            counted = keyed.where("key is not null").select(_bins(first, last, steps)(F.col("key")).alias("at"), "size").where("at.j >= 0").groupBy("at").agg(F.sum("size").alias("size")).collect()
+            got += [(int(first[r["at"].j]), int(last[r["at"].j]), int(steps[r["at"].j]), r["at"].i, r["size"]) for r in counted]
         todo = []
-        for r in got:
-            x, y = r["a"] + r["i"] * r["step"], min(r["b"], r["a"] + (r["i"] + 1) * r["step"])
-            if r["size"] > shard_bytes // 4 and y - x > 1:
+        for a, b, step, i, size in got:
+            x, y = a + i * step, min(b, a + (i + 1) * step)
+            if size > shard_bytes // 4 and y - x > 1:
                 todo.append((x, y))
             else:
-                parts.append((x, y, r["size"]))
+                parts.append((x, y, size))
         if not todo:
             break
     parts += [(a, b, shard_bytes) for a, b in todo]
@@ -195,7 +205,7 @@ def write_warc(
     null = lambda kind: F.lit(None).cast(kind)
     rows = page.select(shard.alias("shard"), "key", F.lit(1).alias("kind"), "url", "payload", null("binary").alias("digest"), null("long").alias("first"))
     noted = marks.select(shard.alias("shard"), "key", F.lit(0).alias("kind"), null("string").alias("url"), null("string").alias("payload"), "digest", "first")
-    dealt = rows.unionByName(noted).repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "kind", "url")
+    dealt = rows.unionByName(noted).repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "kind", "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = _Store(folder)

@@ -206,6 +206,19 @@ def test_top_k_equals_brute_force(spark):
         assert list(zip(-own["score"], own["vec_id"], strict=True)) == want
 
 
+def test_top_k_of_large_components_is_exact(spark):
+    data = [(0, [4194305 / 256, 4194305 / 256]), (1, [4194305 / 256, 4194304.99609375 / 256]), (2, [4194305 / 256, 4194306 / 256]), (3, [1e300, 0.0]), (4, [-5.0, 3.0])]
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3).orderBy("rank").collect()]
+    q = 4194305
+    assert got == [(1, 2, q * q + q * 4194306), (2, 1, q * q + q * 4194304), (3, 4, q * (-1280) + q * 768)]
+
+
+def test_warc_files_do_not_depend_on_partitions(spark):
+    pages = spark.createDataFrame([(7, "http://h/", f"<p>{i}</p>") for i in range(6)], "page_id long, url string, html string")
+    sums = [[r["sha1"] for r in warc.write_warc(pages.repartition(n), new_path(spark, "warc-test")).collect()] for n in (1, 6)]
+    assert sums[0] == sums[1]
+
+
 def _components(texts, k, num):
     sets = [None if not words(t) else {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for t in texts for w in [words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]]
     label = list(range(len(texts)))
