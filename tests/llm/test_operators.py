@@ -179,6 +179,24 @@ def test_html_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_html_tree_alone_decides(spark):
+    rng = np.random.default_rng(12)
+    menu = [f"item{i}" for i in range(14)]
+    data, story = [], {}
+    for i in range(60):
+        story[i] = " ".join(f"w{int(v)}" for v in rng.zipf(1.3, 120) % 5000)
+        links = " ".join(f"<a href='/{j}'>{menu[j]}</a>" for j in rng.permutation(14)[:11])
+        data.append((i, f"http://h{i % 2}/{i}", f"<body><div class='x1'><div class='x2'>{links}</div></div><div class='y1'><p>{story[i]}</p></div><div class='z1'>Copyright Example {rng.integers(2000, 2020)} all rights reserved</div></body>"))
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got == story
+    assert all(html_text.main_text(h) != story[i] for i, _, h in data)  # the names say nothing
+
+
+def test_html_words_inside_an_article_stay():
+    page = "<article><h2 id='side-effects'>Side effects</h2><p class='side-note-text'>Text <math><mi>x</mi></math> on <object>fallback</object> end.</p><div class='share-buttons'>Share</div><div class='ad'>Buy</div><div class='cookie-notice'>We</div></article>"
+    assert html_text.main_text(page) == "Side effects Text x on fallback end."
+
+
 def test_html_names_do_not_hide_the_article():
     body = "<header class='entry-header'><h1>Title</h1></header><p>The story.</p><div class='sidebar'>ad</div>"
     for around in ("content-sidebar-wrap", "has-sidebar", "site comments-open", "plain"):
