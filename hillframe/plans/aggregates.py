@@ -75,10 +75,10 @@ def j1(attempt):
     return twins.intake_batch(attempt, 0.3)
 
 
-@R.add("j2_step_monitor", "run", "SELECT step, strftime(date_trunc('hour', finished_at), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS n, round(avg(seconds), 6) AS mean FROM run GROUP BY 1, 2")
+@R.add("j2_step_monitor", "run", "SELECT step, strftime(date_trunc('hour', finished_at), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS n, round(avg(seconds), 6) AS mean, round(quantile_cont(seconds, 0.5), 6) AS p50, round(quantile_cont(seconds, 0.9), 6) AS p90, arg_max(ok, (finished_at, event_id)) AS ok FROM run GROUP BY 1, 2")
 def j2(run):
     t = twins.monitor(run.withColumn("finished_at", c("finished_at").cast("timestamp")))
-    return t.select("step", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "n", F.round("mean", 6).alias("mean"))
+    return t.select("step", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "n", *(F.round(v, 6).alias(v) for v in ("mean", "p50", "p90")), "ok")
 
 
 ORACLES["j1_tile_intake"] = __import__("hillframe.sources.fixtures", fromlist=["ctes"]).ctes("attempt") + " SELECT tile, max(attempt) FILTER (nodata_share <= 0.3) AS attempt, count(*) AS attempts, count(*) FILTER (NOT nodata_share <= 0.3) AS failed FROM attempt GROUP BY 1"

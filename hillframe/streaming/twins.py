@@ -30,6 +30,6 @@ def intake_stream(spark: SparkSession, folder: str, schema: str, state: str, che
 
 
 def monitor(runs: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Counts and mean durations per step and tumbling window; on a stream, rows later than the watermark are dropped."""
+    """Counts, mean, median and 90 % duration and the last status per step and tumbling window; on a stream, rows later than the watermark are dropped."""
     t = runs.withWatermark("finished_at", late) if runs.isStreaming else runs
-    return t.groupBy("step", F.window("finished_at", window)).agg(F.count(F.lit(1)).alias("n"), F.avg("seconds").alias("mean"))
+    return t.groupBy("step", F.window("finished_at", window)).agg(F.count(F.lit(1)).alias("n"), F.avg("seconds").alias("mean"), F.percentile("seconds", F.lit(0.5)).alias("p50"), F.percentile("seconds", F.lit(0.9)).alias("p90"), F.max_by("ok", F.struct("finished_at", "event_id")).alias("ok"))

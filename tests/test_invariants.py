@@ -1,5 +1,7 @@
 """Invariants that SQL twins don't state."""
 
+import time
+
 import pyspark.sql.functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -78,3 +80,18 @@ def test_streamed_intake_equals_batch(spark, tmp_path):
     got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "state" / f"batch={last}")).select("tile", "attempt", "attempts", "failed").collect()}
     want = {tuple(r) for r in twins.intake_batch(spark.createDataFrame(rows, schema), 0.3).select("tile", "attempt", "attempts", "failed").collect()}
     assert got == want
+
+
+def test_streamed_monitor_drops_late_rows(spark, tmp_path):
+    schema = "step string, finished_at timestamp, seconds double, ok boolean, event_id long"
+    source = str(tmp_path / "runs")
+    # a batch drops what is older than the watermark of the batch before it: two batches pass before the late row
+    for rows in ([("a", "2024-01-01 10:10:00", 1.0, True, 1), ("a", "2024-01-01 10:20:00", 3.0, False, 2)], [("a", "2024-01-01 15:00:00", 5.0, True, 3)], [("a", "2024-01-01 15:10:00", 7.0, True, 6)], [("a", "2024-01-01 10:30:00", 99.0, True, 4), ("a", "2024-01-01 19:00:00", 1.0, True, 5)]):
+        t = spark.createDataFrame(rows, "step string, at string, seconds double, ok boolean, event_id long")
+        t.selectExpr("step", "cast(at as timestamp) as finished_at", "seconds", "ok", "event_id").coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)  # files are read in the order of their times
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = twins.monitor(stream).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    got = [(r["n"], r["mean"], r["p50"], r["ok"]) for r in spark.table("monitored").orderBy("window").collect()]
+    assert got == [(2, 2.0, 2.0, False), (2, 6.0, 6.0, True)]
