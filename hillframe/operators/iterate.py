@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write to the folder named by spark.checkpoint.dir (a new local one where unset) and read back: lineage ends there."""
+    """Write to the folder named by spark.checkpoint.dir and read back: lineage ends there. Where it is unset, a local session gets a new folder."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/hillframe/{name}-{uuid.uuid4().hex}"
@@ -37,6 +39,8 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
         label = nxt.select("node", "label")
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components after {most_rounds} rounds aren't complete")
     return label.withColumnRenamed("label", "component")
 
 
@@ -46,9 +50,11 @@ def flow_accumulation(receivers: DataFrame, most_rounds: int = 40) -> DataFrame:
     Pointer doubling: each round adds what arrives over 2^k steps and doubles the pointers; log2 of the longest path rounds.
     """
     state = cut(receivers.select("cell", "to", F.lit(1).cast("long").alias("acc")), "flow")
-    for _ in range(most_rounds):
+    for turn in range(most_rounds + 1):
         if not state.where("to is not null").limit(1).count():
             break
+        if turn == most_rounds:
+            raise RuntimeError(f"flow after {most_rounds} rounds isn't complete: receivers form a ring")
         arriving = state.where("to is not null").groupBy(F.col("to").alias("t")).agg(F.sum("acc").alias("more"))
         beyond = state.select(F.col("cell").alias("mid"), F.col("to").alias("next"))
         moved = state.join(arriving, F.col("cell") == F.col("t"), "left").join(beyond, F.col("to") == F.col("mid"), "left")
