@@ -24,10 +24,12 @@ BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in a local session, a new one where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         checkpoint = spark.sparkContext.getCheckpointDir()
+        if not checkpoint and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = checkpoint if checkpoint else "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
