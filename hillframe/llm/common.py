@@ -160,12 +160,13 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 class Words:
     """The words of a slice of documents.
 
-    starts, ends: byte ranges; doc: index of the document; pos: index within it; n: words per document.
+    starts, ends: byte ranges; doc: index of the document; pos: index within it; n: words per document. apart: by byte, whether
+    it stands between words.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _WS):
         docs = len(offsets) - 1
-        ws = _WS[data]
+        ws = apart[data]
         first = np.zeros(len(data) + 1, dtype=bool)
         first[offsets] = True
         solid = ~ws
