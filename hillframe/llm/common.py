@@ -92,7 +92,7 @@ def unused(df: DataFrame, stem: str) -> str:
 
 def planes(x: np.ndarray) -> bytes:
     """The first bytes of all numbers, then the second ones and so on: what is alike stands together, for the shuffle's compression."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
 
 def numbers(data: bytes, kind) -> np.ndarray:
