@@ -94,6 +94,18 @@ SELECT CAST(user_id AS BIGINT) AS tile, CONCAT('/in/T', CAST(user_id AS STRING),
     "road_end": """
 SELECT CAST(s_suppkey AS BIGINT) AS objectid, CASE s_suppkey % 2 WHEN 0 THEN 'tirol' ELSE 'suedtirol' END AS authority,
        CAST((s_suppkey * 7) % 50 AS DOUBLE) AS x, CAST((s_suppkey * 3) % 40 AS DOUBLE) AS y FROM supplier""",
+    "road_axis": """
+SELECT road_id, CAST(58.0 AS DOUBLE) + road_id % 3 AS length FROM (SELECT DISTINCT CAST(FLOOR(l_orderkey / 400) AS BIGINT) AS road_id FROM lineitem) t""",
+    "road_pixel": """
+SELECT road_id, pixel, LEAST(raw, CAST(58.0 AS DOUBLE) + road_id % 3) AS s, t, GREATEST(raw - CAST(58.0 AS DOUBLE) - road_id % 3, CAST(0.0 AS DOUBLE)) AS e, half - ABS(t) AS edge,
+       CASE WHEN pixel % 101 = 7 THEN NULL WHEN road_id % 13 = 2 THEN 1000 + price ELSE CAST(1000.0 AS DOUBLE) + raw * 0.04 + t * (road_id % 7 - 3) * 0.07 + noise + CASE WHEN quantity > 47 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END END AS z
+FROM (SELECT CAST(FLOOR(l_orderkey / 400) AS BIGINT) AS road_id, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS pixel, CAST(l_orderkey % 400 AS DOUBLE) * 0.15 + CAST(l_linenumber AS DOUBLE) * 0.02 AS raw,
+             CAST((l_partkey * 37 + l_linenumber * 11) % 129 AS DOUBLE) / 8 - 8 AS t, CAST(4 + FLOOR(l_orderkey / 400) % 5 AS DOUBLE) AS half, CAST(l_discount AS DOUBLE) / 5 AS noise, CAST(l_quantity AS DOUBLE) AS quantity, CAST((l_partkey * 7 + l_suppkey) % 400 AS DOUBLE) / 100 AS price
+      FROM (SELECT l_orderkey, l_linenumber, MAX(l_partkey) AS l_partkey, MAX(l_suppkey) AS l_suppkey, MAX(l_discount) AS l_discount, MAX(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2) q) p
+WHERE ABS(t) < half""",
+    "model_cell": """
+SELECT CAST(FLOOR(l_partkey % 1000 / 100) AS BIGINT) AS r, CAST(l_partkey % 100 AS BIGINT) AS c, CAST(l_quantity AS DOUBLE) / 12 AS edge,
+       CAST(1000.0 AS DOUBLE) + CAST(l_partkey % 7 AS DOUBLE) + CASE WHEN l_partkey % 3 = 0 THEN CAST(l_discount AS DOUBLE) * 2 ELSE CAST(l_discount AS DOUBLE) / 2 END AS height FROM lineitem""",
 }
 
 
