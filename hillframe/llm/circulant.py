@@ -10,9 +10,10 @@ Equal sets are one set. A bucket of many sets doesn't give all its pairs:
 
 * every set is compared with one leader, the most central of the leaders of its buckets (central: sharing buckets with most sets);
 * in buckets that still hold several classes, every set is compared with its bucket's own leader;
-* in those that hold several classes even then, the sets outside the leader's class are compared with all of other classes.
+* in those that hold several classes even then, the sets outside the leader's class are compared with those of other classes with which
+  they share one of their rarest shingles, as any two sets that meet the threshold do.
 
-So a class of near copies costs about as many comparisons as it has members, and no bucket mates of different classes go uncompared.
+So a class of near copies costs about as many comparisons as it has members, and no link between bucket mates of different classes is lost.
 
 Defined results: a null text or one without words has no set, no links and itself as component; shorter texts than k words are one
 shingle and linked with equal ones only; equal texts and repeated rows are linked; a row with a null id takes the component of its
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, cut, distinct, map_batches, maybe_broadcast, mix, named, shingles, signed, slices, text_bytes
@@ -139,6 +140,31 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return named_rows.transform(map_batches, read, SETS)
 
 
+def first_shared(sets: DataFrame, left: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """sig, element, pos: the shingles with which a link to another class can begin. left: sig, class.
+
+    A set's shingles are ordered: first those that no other class holds, then by the number of sets that hold them. Two sets that meet the
+    threshold have their first common shingle among the first (1 - threshold) of either.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                n = batch.column(1).to_numpy()
+                key = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)
+                sig, size, of = (np.repeat(batch.column(i).to_numpy(), n) for i in (0, 1, 3))
+                yield pa.RecordBatch.from_arrays([signed(key), pa.array(sig), pa.array(size), pa.array(of)], names=["element", "sig", "n", "class"])
+
+    held = sets.join(left.select("sig", "class").distinct(), "sig").select("sig", "n", "keys", "class").transform(map_batches, spread, "element long, sig long, n int, class long")
+    held = cut(held, "shingles-left")
+    several = held.groupBy("element").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("c")).where("low <> high").select("element", "c")
+    shared = held.join(several, "element").select("element", "sig", "n", "c")
+    own = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("sig"))  # those that no other class holds
+    pos = own + F.row_number().over(Window.partitionBy("sig").orderBy("c", "element")) - 1
+    return shared.withColumn("pos", pos).where(denominator * F.col("pos") <= (denominator - numerator) * F.col("n")).select("sig", "element", "pos")
+
+
 def minhash_components(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, numerator: int = 80, denominator: int = 100, bands: int = 44, rows: int = 7
 ) -> DataFrame:
@@ -188,9 +214,13 @@ def minhash_components(
     links = cut(links.unionByName(compare(more, sets, numerator, denominator)), "links-of-leaders")
 
     left = cut(in_classes(links), "several-classes-left")
-    strays = left.where(c("class") != c("lead.class")).select("key", c("sig").alias("sig1"), c("n").alias("n1"), c("class").alias("class1"))
-    rest = strays.join(left, "key").where((c("class1") != c("class")) & near(c("n1"), c("n")) & ((c("class") == c("lead.class")) | (c("sig1") < c("sig"))))
-    rest = rest.select(F.greatest("sig1", "sig").alias("x"), F.least("sig1", "sig").alias("y")).distinct()
+    classes = left.select("sig", "n", "class").distinct()
+    begin = cut(first_shared(sets, classes, numerator, denominator).join(classes, "sig"), "first-shared")
+    other = begin.select("element", c("sig").alias("sig2"), c("n").alias("n2"), c("class").alias("class2"), c("pos").alias("pos2"))
+    room = (numerator + denominator) * F.least(c("n") - c("pos"), c("n2") - c("pos2")) >= numerator * (c("n") + c("n2"))
+    rest = begin.join(other, "element").where((c("class") != c("class2")) & (c("sig") > c("sig2")) & near(c("n"), c("n2")) & room).select(c("sig").alias("x"), c("sig2").alias("y")).distinct()
+    mates = rest.join(left.select("key", c("sig").alias("x")), "x").join(left.select("key", c("sig").alias("y")), ["key", "y"], "left_semi")
+    rest = mates.select("x", "y").distinct()
     done = tried.select(F.greatest("s", "t").alias("x"), F.least("s", "t").alias("y"))
     rest = cut(rest.join(done, ["x", "y"], "left_anti").select(c("x").alias("s"), c("y").alias("t")), "other-pairs")
     links = cut(links.unionByName(compare(rest, sets, numerator, denominator)), "all-links")
