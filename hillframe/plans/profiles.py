@@ -222,20 +222,20 @@ def f13(cells):
 
 
 def _diffused(name, source, rule):
-    return f"""{name} AS (SELECT a.r, a.c, a.hole, CASE WHEN a.hole AND {rule} THEN avg(n.v) ELSE a.v END AS v FROM {source} a JOIN {source} n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY a.r, a.c, a.hole, a.v)"""
+    return f"""{name} AS (SELECT a.r, a.c, a.hole, CASE WHEN a.hole AND {rule} THEN round(avg(n.v), 9) ELSE a.v END AS v FROM {source} a JOIN {source} n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY a.r, a.c, a.hole, a.v)"""
 
 
 @R.add("f14_hole_diffusion", "cells", f"""
 WITH h0 AS (SELECT r, c, z IS NULL OR rock AS hole, CASE WHEN rock THEN NULL ELSE z END AS v FROM cells),
 {_diffused('h1', 'h0', 'a.v IS NULL')}, {_diffused('h2', 'h1', 'a.v IS NULL')}, {_diffused('h3', 'h2', 'a.v IS NULL')}, {_diffused('h4', 'h3', 'a.v IS NOT NULL')}, {_diffused('h5', 'h4', 'a.v IS NOT NULL')}
-SELECT r, c, hole, round(v, 6) + 0.0 AS z FROM h5""")
+SELECT r, c, hole, floor(v * 1000000 + 0.5) / 1000000 AS z FROM h5""")
 def f14(cells):
     t = cells.select("r", "c", (c("z").isNull() | c("rock")).alias("hole"), F.when(~c("rock"), c("z")).alias("v"))
     for pass_ in range(5):  # three that fill, two that smooth what was filled
         changes = c("hole") & (c("v").isNull() if pass_ < 3 else c("v").isNotNull())
-        mean = c("box_sum") / c("box_count")
+        mean = F.round(c("box_sum") / c("box_count"), 9)  # before the next pass, whatever the order of the sum
         t = iterate.cut(Fo.box_sums(t, "v", 1).withColumn("v", F.when(changes, mean).otherwise(c("v"))).drop("box_sum", "box_count"), "diffused")
-    return t.select("r", "c", "hole", r6(c("v")).alias("z"))
+    return t.select("r", "c", "hole", (F.floor(c("v") * 1000000 + 0.5) / 1000000).alias("z"))  # means of eight end in a 5 at the seventh place: one rule for both engines
 
 
 _AROUND = "n.r BETWEEN a.r - {0} AND a.r + {0} AND n.c BETWEEN a.c - {0} AND a.c + {0}".format

@@ -106,6 +106,17 @@ WHERE ABS(t) < half""",
     "model_cell": """
 SELECT CAST(FLOOR(l_partkey % 1000 / 100) AS BIGINT) AS r, CAST(l_partkey % 100 AS BIGINT) AS c, CAST(l_quantity AS DOUBLE) / 12 AS edge,
        CAST(1000.0 AS DOUBLE) + CAST(l_partkey % 7 AS DOUBLE) + CASE WHEN l_partkey % 3 = 0 THEN CAST(l_discount AS DOUBLE) * 2 ELSE CAST(l_discount AS DOUBLE) / 2 END AS height FROM lineitem""",
+    "net_piece": """
+SELECT piece, CASE WHEN piece % 17 = 0 THEN NULL WHEN piece % 29 = 3 THEN 'L7' ELSE CONCAT('B', CAST(CAST(FLOOR(piece / 72) AS BIGINT) AS STRING)) END AS code,
+       CASE WHEN piece % 23 = 5 THEN 'bridge' WHEN piece % 4 = 1 THEN NULL ELSE 'road' END AS objekt, CASE WHEN piece % 31 = 8 THEN 'track' ELSE 'primary' END AS highway, CAST(10 + (piece * 37) % 41 AS DOUBLE) AS length
+FROM (SELECT CAST(c_custkey AS BIGINT) AS piece FROM customer) t""",
+    "net_node": """
+SELECT piece, seq, CAST(10 * (u + seq * du) AS DOUBLE) / 2 + CASE seq WHEN 1 THEN CAST((piece * 13) % 5 AS DOUBLE) / 4 ELSE CAST((piece * 11) % 7 AS DOUBLE) / 20 END AS x,
+       CAST(10 * (v + seq * dv) AS DOUBLE) / 2 + CASE seq WHEN 1 THEN CAST((piece * 17) % 7 AS DOUBLE) / 4 ELSE CAST((piece * 19) % 5 AS DOUBLE) / 20 END AS y
+FROM (SELECT CAST(c_custkey AS BIGINT) AS piece, CAST(q AS BIGINT) AS seq, 2 * (c_custkey % 12) + CASE WHEN c_custkey % 5 = 0 THEN 2 * (1 - CAST(c_custkey % 3 = 1 AS INT)) ELSE 0 END AS u,
+             2 * CAST(FLOOR(c_custkey / 12) AS BIGINT) + CASE WHEN c_custkey % 5 = 0 THEN 2 * CAST(c_custkey % 3 > 0 AS INT) ELSE 0 END AS v,
+             (CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE 1 END) * (1 - CAST(c_custkey % 3 = 1 AS INT)) AS du, (CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE 1 END) * CAST(c_custkey % 3 > 0 AS INT) AS dv
+      FROM customer CROSS JOIN (SELECT 0 AS q UNION ALL SELECT 1 UNION ALL SELECT 2) w) t""",
 }
 
 
