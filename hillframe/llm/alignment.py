@@ -1,7 +1,8 @@
 """Cross-tokenizer alignment: the groups in which a byte-level BPE and a sentencepiece model with byte fallback agree.
 
 Both sides tokenise a space and the text. The coarse cuts are the spans that the libraries report: character offsets of `tokenizers`,
-byte spans of sentencepiece's proto (the installed version gives the immutable proto's spans under `return_type="proto"`). Where a span isn't as
+byte spans of sentencepiece's proto (the installed version has given up the name `immutable_proto` and gives its spans as
+`offset_mapping`). Where a span isn't as
 long as its token's own bytes (parts of a multibyte character all get the whole character, byte-fallback pieces get nothing or the whole one), the
 end is refined with the decoded bytes of the tokens before it. Bytes at which tokens of both sides end cut the text into groups, and the
 two tokens that end there are linked.
@@ -24,6 +25,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,23 +56,22 @@ class ByteLevel:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.length = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
         data = json.loads(self.tokenizer.to_str())
         pre = data.get("pre_tokenizer") or {}
         self.cuts = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not data.get("normalizer") and not data.get("truncation") and not data.get("padding")
 
-    def spans(self, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens per unit, and id, begin and end (in bytes of the unit) of every token, by the library's offsets."""
-        encoded = self.tokenizer.encode_batch(units, add_special_tokens=False)
-        n = np.array([len(e.ids) for e in encoded], dtype=np.int64)
-        total = int(n.sum())
-        ids = np.fromiter((i for e in encoded for i in e.ids), np.int64, total)
-        chars = np.fromiter((x for e in encoded for o in e.offsets for x in o), np.int64, 2 * total).reshape(-1, 2)
+    def spans(self, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens per text, and id, begin and end (in bytes of all texts together) of every token, by the library's offsets."""
+        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        chars = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in encoded)), np.int64, 2 * int(n.sum())).reshape(-1, 2)
         data = np.frombuffer(b"".join(raw), np.uint8)
         starts = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # the byte at which every character begins
-        chars_before = np.cumsum([0, *map(len, units)])[:-1]
-        bytes_before = np.cumsum([0, *map(len, raw)])[:-1]
-        at = starts[np.minimum(chars + np.repeat(chars_before, n)[:, None], len(starts) - 1)] - np.repeat(bytes_before, n)[:, None]
-        return n, ids, at[:, 0], at[:, 1]
+        before = np.cumsum([0, *map(len, texts)])[:-1]
+        at = starts[np.minimum(chars + np.repeat(before, n)[:, None], len(starts) - 1)]
+        return n, np.fromiter(chain.from_iterable(ids), np.int64, len(at)), at[:, 0], at[:, 1]
 
 
 class Pieces:
@@ -82,15 +83,17 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.length = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def spans(self, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        protos = [p.pieces for p in self.model.encode([u[1:] for u in units], return_type="proto", num_threads=1)]
-        n = np.array([len(p) for p in protos], dtype=np.int64)
-        found = np.fromiter((x for p in protos for t in p for x in (t.id, t.begin, t.end)), np.int64, 3 * int(n.sum())).reshape(-1, 3)
-        begin = found[:, 1] + 1  # the space before
-        begin[(np.cumsum(n) - n)[n > 0]] = 0
-        return n, found[:, 0], begin, found[:, 2] + 1
+    def spans(self, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        found = self.model.encode([t[1:] for t in texts], return_type="offset_mapping", return_bytes=True, num_threads=1)
+        n = np.fromiter((len(f["ids"]) for f in found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(f["ids"] for f in found), np.int64, int(n.sum()))
+        at = np.fromiter(chain.from_iterable(chain.from_iterable(f["offsets"] for f in found)), np.int64, 2 * len(ids)).reshape(-1, 2) + 1  # the space before
+        at[(np.cumsum(n) - n)[n > 0], 0] = 0
+        at += np.repeat(np.cumsum([0, *map(len, raw)])[:-1], n)[:, None]
+        return n, ids, at[:, 0], at[:, 1]
 
 
 _SIDES: dict[tuple[str, str], tuple[ByteLevel, Pieces]] = {}
@@ -103,26 +106,27 @@ def sides(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
     return _SIDES[a_path, b_path]
 
 
-def token_ends(side: ByteLevel | Pieces, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens per unit, ids, byte ends in their unit, and whether each unit's tokens have exactly its bytes."""
-    n, ids, begin, end = side.spans(units, raw)
-    own = [side.bytes[i] for i in ids.tolist()]
-    length = np.fromiter(map(len, own), np.int64, len(own))
-    before = np.cumsum(n) - n
-    total = np.cumsum(length)
-    decoded = total - np.repeat(np.append(0, total)[before], n)
+def token_ends(side: ByteLevel | Pieces, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens per text, ids, ends in the bytes of all texts together, and whether each text's tokens have exactly its bytes."""
+    n, ids, begin, end = side.spans(texts, raw)
+    own, length = [side.bytes[i] for i in ids.tolist()], side.length[ids]
+    before, base = np.cumsum(n) - n, np.cumsum([0, *map(len, raw)])[:-1]
+    total = np.append(0, np.cumsum(length))
+    decoded = total[1:] + np.repeat(base - total[before], n)
     end = np.where(end - begin == length, end, decoded)  # a span of another length isn't the token's own
-    whole = np.fromiter((b"".join(own[i : i + k]) == r for i, k, r in zip(before.tolist(), n.tolist(), raw, strict=True)), bool, len(units))
+    if b"".join(own) == b"".join(raw) and (total[before + n] - total[before] == np.diff(np.append(base, total[-1]))).all():
+        return n, ids, end, np.ones(len(texts), dtype=bool)
+    whole = np.fromiter((b"".join(own[i : i + k]) == r for i, k, r in zip(before.tolist(), n.tolist(), raw, strict=True)), bool, len(texts))
     return n, ids, end, whole
 
 
 class Units:
     """The aligned units of one task: groups as text, tokens of both sides, links, whether both sides give the unit back."""
 
-    def __init__(self, a: ByteLevel, b: Pieces, most_bytes: int = 32_000_000):
+    def __init__(self, a: ByteLevel, b: Pieces, most_bytes: int = 48_000_000):
         self.a, self.b, self.most = a, b, most_bytes
         self.cuts = a.cuts and b.cuts
-        self.strings = [[str(i) + mark for mark in (",", "|")] for i in range(len(a.bytes))], [[str(i) + mark for mark in (",", ";")] for i in range(len(b.bytes))]
+        self.strings = [[str(i) + mark for i in range(len(side.bytes)) for mark in marks] for side, marks in ((a, (",", "|")), (b, (",", ";")))]
         self.clear()
 
     def clear(self) -> None:
@@ -137,39 +141,89 @@ class Units:
     def full(self) -> bool:
         return self.size > self.most
 
+    def thin_out(self) -> None:
+        """Forget the units that documents had at most once; all of them, where the others still take half of the room."""
+        keep = np.flatnonzero(self.times > 1)
+        index, groups, n, whole, links = self.index, self.groups, self.n, self.whole, self.links
+        self.clear()
+        names = list(index)
+        size = sum(self.bytes_of(names[i]) for i in keep.tolist())
+        if 2 * size > self.most:
+            return
+        first = np.cumsum(n[:, 2]) - n[:, 2]
+        self.index = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.groups = [groups[i] for i in keep.tolist()]
+        self.size, self.n, self.whole, self.times = size, n[keep], whole[keep], np.zeros(len(keep), dtype=np.int64)
+        have = self.n[:, 2]
+        self.links = links[np.arange(int(have.sum())) - np.repeat(np.cumsum(have) - have - first[keep], have)]
+
+    @staticmethod
+    def bytes_of(unit: str) -> int:
+        return 8 * len(unit) + 100
+
     def numbers_of(self, units: list[str]) -> np.ndarray:
-        """The number of every unit; new ones are aligned."""
+        """The number of every unit; new ones are aligned, several together in one text."""
         new = [u for u in dict.fromkeys(units) if u not in self.index]
         if new:
-            self.add(new)
+            self.add(self.together(new) if self.cuts else [[u] for u in new])
         return np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
 
-    def add(self, units: list[str]) -> None:
-        raw = [u.encode() for u in units]
-        na, ia, ea, fine_a = token_ends(self.a, units, raw)
-        nb, ib, eb, fine_b = token_ends(self.b, units, raw)
+    @staticmethod
+    def together(units: list[str], most: int = 2000) -> list[list[str]]:
+        """Units for one text each: none but the last one ends in white space."""
+        out: list[list[str]] = []
+        size, begins = 0, True
+        for u in units:
+            if begins:
+                out.append([])
+                size = 0
+            out[-1].append(u)
+            size += len(u)
+            begins = size > most or u[-1].isspace()
+        return out
+
+    def add(self, sets: list[list[str]]) -> None:
+        texts = ["".join(x) for x in sets]
+        raw = [t.encode() for t in texts]
+        na, ia, ea, fine_a = token_ends(self.a, texts, raw)
+        nb, ib, eb, fine_b = token_ends(self.b, texts, raw)
         fine = fine_a & fine_b
-        base = np.cumsum([0, *map(len, raw)])[:-1]
         keep_a, keep_b = np.repeat(fine, na), np.repeat(fine, nb)
-        ia, ib = ia[keep_a], ib[keep_b]
-        ea, eb = (ea + np.repeat(base, na))[keep_a], (eb + np.repeat(base, nb))[keep_b]
+        ia, ea, ib, eb = ia[keep_a], ea[keep_a], ib[keep_b], eb[keep_b]
         ends, at_a, at_b = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
         links = (ia[at_a].astype(np.uint64) << np.uint64(SHIFT)) | ib[at_b].astype(np.uint64)
-        last_a, last_b = np.isin(ea, ends, assume_unique=True), np.isin(eb, ends, assume_unique=True)
+        last_a, last_b = np.zeros(len(ia), dtype=np.int64), np.zeros(len(ib), dtype=np.int64)
+        last_a[at_a] = last_b[at_b] = 1
         group = np.concatenate([np.searchsorted(ends, ea) * 2, np.searchsorted(ends, eb) * 2 + 1])
-        words = [self.strings[0][i][k] for i, k in zip(ia.tolist(), last_a.tolist(), strict=True)] + [self.strings[1][i][k] for i, k in zip(ib.tolist(), last_b.tolist(), strict=True)]
-        order = np.argsort(group, kind="stable").tolist()
-        words = [words[i] for i in order]
-        count = np.bincount(np.searchsorted(base, ends, side="left") - 1, minlength=len(units))  # a unit's groups end behind its first byte
-        n = np.stack([np.where(fine, na, 0), np.where(fine, nb, 0), count], axis=1)
-        at = np.cumsum([0, *(n[:, 0] + n[:, 1])]).tolist()
-        for i, u in enumerate(units):
+        strings_a, strings_b = self.strings
+        words = [strings_a[i] for i in (2 * ia + last_a).tolist()] + [strings_b[i] for i in (2 * ib + last_b).tolist()]
+        words = [words[i] for i in np.argsort(group, kind="stable").tolist()]
+        again: list[list[str]] = []
+        units, good, at, where = [], [], [], 0
+        for own, ok, r in zip(sets, fine.tolist(), raw, strict=True):
+            if ok or len(own) == 1:  # else one of them isn't given back: each by itself
+                for u in own:
+                    units.append(u)
+                    good.append(ok)
+                    where += len(u) if u.isascii() else len(u.encode())
+                    at.append(where)
+            else:
+                again += [[u] for u in own]
+                where += len(r)
+        edge, whole = np.array(at, dtype=np.int64), np.array(good, dtype=bool)
+        n = np.stack([np.bincount(np.searchsorted(edge, x), minlength=len(units)) for x in (ea, eb, ends)], axis=1) if units else np.zeros((0, 3), dtype=np.int64)
+        to = np.cumsum(n[:, 0] + n[:, 1]).tolist()
+        first = 0
+        for u, last in zip(units, to, strict=True):
             self.index[u] = len(self.groups)
-            self.groups.append("".join(words[at[i] : at[i + 1]])[:-1])
-            self.size += 8 * len(raw[i]) + 100
-        self.n, self.whole = np.concatenate([self.n, n]), np.concatenate([self.whole, fine])
+            self.groups.append("".join(words[first:last])[:-1])
+            self.size += self.bytes_of(u)
+            first = last
+        self.n, self.whole = np.concatenate([self.n, n]), np.concatenate([self.whole, whole])
         self.links = np.concatenate([self.links, links])
         self.times = np.concatenate([self.times, np.zeros(len(units), dtype=np.int64)])
+        if again:
+            self.add(again)
 
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """The linked pairs of the documents so far, and how many links have each."""
@@ -225,7 +279,7 @@ def align(df: DataFrame, a_path: str, b_path: str, digest: bool, slice_chars: in
                     b += 1
                 if units.full():
                     yield counts()
-                    units.clear()
+                    units.thin_out()
                 yield documents(ids[a:b], texts[a:b])
                 row += b - a
                 a = b

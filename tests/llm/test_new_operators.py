@@ -97,8 +97,21 @@ def test_alignment_memory_is_bounded():
     units = alignment.Units(*alignment.sides(A, B), most_bytes=1000)
     units.numbers_of([f" w{i}" for i in range(50)])
     assert units.full()
-    units.clear()
-    assert not units.full() and not len(units.pair_counts()[0])
+    units.times += 1
+    units.thin_out()
+    assert not units.full() and not units.index and not len(units.pair_counts()[0])
+
+
+def test_alignment_keeps_frequent_units():
+    units = alignment.Units(*alignment.sides(A, B), most_bytes=3000)
+    names = [f" word{i}é" for i in range(30)]
+    of = units.numbers_of(names)
+    units.times[of[[3, 17]]] += 2
+    whole = [(units.groups[i], units.n[i].tolist()) for i in of[[3, 17]]]
+    units.thin_out()
+    assert list(units.index) == [names[3], names[17]]
+    assert [(units.groups[i], units.n[i].tolist()) for i in (0, 1)] == whole and len(units.links) == units.n[:, 2].sum()
+    assert units.numbers_of([names[17], names[0]]).tolist() == [1, 2]
 
 
 def plain_search(docs, items, top):
