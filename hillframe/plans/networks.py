@@ -11,7 +11,7 @@ QUERIES, ORACLES = R.queries, R.oracles
 c = F.col
 TOL = 1.0
 #: The trunk, the piece that it begins with, and successors that junctions are forced to.
-TRUNK, START, FORCED = "B0", 26, {2: 3, 14: 26, 40: 41, 75: 76}
+TRUNK, START, FORCED = "B0", 26, {25: 36, 13: 12, 40: 28, 75: 76}
 
 
 @R.add("g12_stitch", "net_piece net_node", f"""

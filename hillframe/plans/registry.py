@@ -19,8 +19,10 @@ class Registry:
         def wrap(f):
             self.queries[name] = lambda spark, sf_dir: f(*(fixture(spark, sf_dir, n) for n in used))
             if sql:
-                body = sql.strip()
-                self.oracles[name] = ctes(*used) + (",\n" + body[5:] if body.startswith("WITH ") else "\n" + body)
+                body, tables = sql.strip(), ctes(*used)
+                if body.startswith("WITH RECURSIVE "):
+                    body, tables = "WITH " + body[15:], tables.replace("WITH ", "WITH RECURSIVE ", 1)
+                self.oracles[name] = tables + (",\n" + body[5:] if body.startswith("WITH ") else "\n" + body)
             return f
 
         return wrap

@@ -117,6 +117,16 @@ FROM (SELECT CAST(c_custkey AS BIGINT) AS piece, CAST(q AS BIGINT) AS seq, 2 * (
              2 * CAST(FLOOR(c_custkey / 12) AS BIGINT) + CASE WHEN c_custkey % 5 = 0 THEN 2 * CAST(c_custkey % 3 > 0 AS INT) ELSE 0 END AS v,
              (CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE 1 END) * (1 - CAST(c_custkey % 3 = 1 AS INT)) AS du, (CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE 1 END) * CAST(c_custkey % 3 > 0 AS INT) AS dv
       FROM customer CROSS JOIN (SELECT 0 AS q UNION ALL SELECT 1 UNION ALL SELECT 2) w) t""",
+    "edge_point": """
+SELECT line, i, CAST(i AS DOUBLE) / 2 AS s, CAST(i AS DOUBLE) / 2 AS x, CASE line % 3 WHEN 0 THEN CAST(0.0 AS DOUBLE) WHEN 1 THEN CAST(i * i AS DOUBLE) * 0.0005 ELSE CAST(ABS(i % 30 - 15) AS DOUBLE) / 8 END AS y
+FROM (SELECT CAST(FLOOR(event_id / 100) AS BIGINT) AS line, CAST(event_id % 100 AS BIGINT) AS i FROM events) t""",
+    "edge_sample": """
+SELECT line, i, CAST(k AS DOUBLE) / 4 AS off, CASE WHEN (id * 7 + k * 13) % 37 = 0 THEN NULL ELSE CAST(1000.0 AS DOUBLE) + i * 0.02 + CAST(k AS DOUBLE) / 4 * (0.03 + line % 5 * 0.02) + CAST((id * 31 + k * 17) % 11 AS DOUBLE) * (0.0005 + (id * 3) % 8 * 0.001) END AS z,
+       CASE WHEN line % 4 = 1 AND i BETWEEN 20 AND 75 OR line % 4 = 2 AND i BETWEEN 40 AND 55 THEN CAST(0.05 AS DOUBLE) WHEN k < (id * 5) % 9 THEN CAST(0.03 AS DOUBLE) WHEN (id + k) % 41 = 0 THEN NULL ELSE CAST((id + k * 3) % 10 AS DOUBLE) / 1000 END AS rough,
+       k < 22 AS inside, line * 30 + k AS r, CAST(FLOOR(i / 2) AS BIGINT) AS c
+FROM (SELECT CAST(event_id AS BIGINT) AS id, CAST(FLOOR(event_id / 100) AS BIGINT) AS line, CAST(event_id % 100 AS BIGINT) AS i, CAST(q AS BIGINT) AS k FROM events CROSS JOIN (VALUES """+", ".join(f"({k})" for k in range(25))+""") w(q)) t""",
+    "post": """
+SELECT CAST(event_id AS BIGINT) AS id, event_type AS kind, CAST((event_id * 37 + user_id * 11) % 199 AS DOUBLE) / 20 AS x, CAST(FLOOR(event_id / 1000) AS DOUBLE) * 6 + CAST((event_id * 53 + user_id * 7) % 101 AS DOUBLE) / 20 AS y FROM events""",
 }
 
 
