@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .iterate import cut
+from .quantiles import percentiles
+
 
 def by_row():
     return Window.partitionBy("r").orderBy("c")
@@ -53,14 +56,20 @@ def roughness(cells: DataFrame, z: str, least: int = 6, cap: float | None = None
 
 
 def fill_from_neighbours(cells: DataFrame, z: str) -> DataFrame:
-    """Nulls take the 3x3 mean of valid neighbours (border cells repeat), else the median of all. Only nulls are joined."""
-    size = F.broadcast(cells.agg(F.max("r").alias("mr"), F.max("c").alias("mc"), F.median(z).alias("middle")))
+    """Nulls take the 3x3 mean of valid neighbours (border cells repeat), else the median of all. Only nulls are joined.
+
+    The median is taken only if some hole has no neighbour, and from counts, not from a buffer of all heights.
+    """
+    size = F.broadcast(cells.agg(F.max("r").alias("mr"), F.max("c").alias("mc")))
     steps = F.array(*(F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     clamp = lambda v, top: F.greatest(F.lit(0), F.least(v, top))
-    holes = cells.where(F.col(z).isNull()).join(size).select("r", "c", "mr", "mc", "middle", F.explode(steps).alias("d"))
-    holes = holes.select("r", "c", "middle", clamp(F.col("r") + F.col("d.dr"), F.col("mr")).alias("tr"), clamp(F.col("c") + F.col("d.dc"), F.col("mc")).alias("tc"))
+    holes = cells.where(F.col(z).isNull()).join(size).select("r", "c", "mr", "mc", F.explode(steps).alias("d"))
+    holes = holes.select("r", "c", clamp(F.col("r") + F.col("d.dr"), F.col("mr")).alias("tr"), clamp(F.col("c") + F.col("d.dc"), F.col("mc")).alias("tc"))
     taps = cells.select(F.col("r").alias("tr"), F.col("c").alias("tc"), F.col(z).alias("_v"))
-    found = holes.join(taps, ["tr", "tc"], "left").groupBy("r", "c").agg(F.coalesce(F.avg("_v"), F.first("middle")).alias("_fill"))
+    found = cut(holes.join(taps, ["tr", "tc"], "left").groupBy("r", "c").agg(F.avg("_v").alias("_fill")), "holes")
+    if found.where("_fill is null").limit(1).count():
+        middle = percentiles(cells, [], z, {"middle": 0.5})
+        found = found.join(F.broadcast(middle), how="left").select("r", "c", F.coalesce("_fill", "middle").alias("_fill"))  # one row
     return cells.join(found, ["r", "c"], "left").withColumn(z, F.coalesce(z, "_fill")).drop("_fill")
 
 
@@ -143,10 +152,11 @@ def cells_in_rings(rings: DataFrame, key: str = "poly_id") -> DataFrame:
     w = Window.partitionBy(key).orderBy("seq")
     nxt = lambda a: F.coalesce(F.lead(a).over(w), F.first(a).over(w))
     edges = rings.withColumns({"x1": nxt("x"), "y1": nxt("y")})
-    box = rings.groupBy(key).agg(F.min("x").alias("ax"), F.max("x").alias("bx"), F.min("y").alias("ay"), F.max("y").alias("by"))
-    rows = box.select(key, "ax", "bx", F.explode(F.sequence(F.floor(-F.col("by")), F.ceil(-F.col("ay")))).alias("r"))
+    # each edge meets only the rows that it spans
+    top, low = F.floor(-F.greatest("y", "y1") - 0.5), F.ceil(-F.least("y", "y1") - 0.5)
+    spanned = edges.where(F.col("y") != F.col("y1")).withColumn("r", F.explode(F.sequence(top, low)))
     cross_x = F.col("x") + (-(F.col("r") + 0.5) - F.col("y")) / (F.col("y1") - F.col("y")) * (F.col("x1") - F.col("x"))
-    hit = edges.join(rows.select(key, "r"), key).where((F.col("y") > -(F.col("r") + 0.5)) != (F.col("y1") > -(F.col("r") + 0.5)))
+    hit = spanned.where((F.col("y") > -(F.col("r") + 0.5)) != (F.col("y1") > -(F.col("r") + 0.5)))
     crossed = hit.select(key, "r", cross_x.alias("cx")).groupBy(key, "r").agg(F.array_sort(F.collect_list("cx")).alias("cx"))
     pairs = crossed.select(key, "r", F.explode(F.sequence(F.lit(0), F.size("cx") - 2, F.lit(2))).alias("i"), "cx").where("size(cx) > 1")
     spans = pairs.select(key, "r", F.ceil(F.element_at("cx", F.col("i") + 1) - 0.5).alias("c0"), (F.ceil(F.element_at("cx", F.col("i") + 2) - 0.5) - 1).alias("c1")).where("c1 >= c0")

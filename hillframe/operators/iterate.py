@@ -5,24 +5,29 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write to the folder named by spark.checkpoint.dir and read back: lineage ends there. Where it is unset, a local session gets a new folder."""
+    """Write to the folder named by spark.checkpoint.dir and read back: lineage ends there. Where it is unset, a local session gets a checkpoint folder."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.sparkContext.getCheckpointDir()
     path = f"{folder.rstrip('/')}/hillframe/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cell_id(r: Column, c: Column) -> Column:
+    """One long for a cell of a grid of fewer than 2^31 rows and columns: ids stand in row order, and different cells never share one."""
+    return F.shiftleft(r.cast("long"), 32) + c.cast("long")
+
+
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, component) for links (u, v): labels take the least label of the neighbours, then the label's own label, until nothing changes."""
     both = cut(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")

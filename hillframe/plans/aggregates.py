@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hillframe.operators import focal as Fo
+from hillframe.operators.quantiles import percentiles
 from hillframe.plans.grids import _ROUGH
 from hillframe.streaming import twins
 
@@ -16,18 +17,23 @@ c = F.col
 
 @R.add("d2_roughness_summary", "cells", f"WITH {_ROUGH} SELECT count(rough) AS n, count(*) FILTER (rough >= 1.5) AS hot, round(quantile_cont(rough, 0.5), 6) AS p50, round(quantile_cont(rough, 0.9), 6) AS p90, round(quantile_cont(rough, 0.99), 6) AS p99 FROM ro")
 def d2(cells):
-    t = Fo.roughness(cells, "z").agg(F.count("rough").alias("n"), F.count_if(c("rough") >= 1.5).alias("hot"), F.percentile("rough", F.array(*map(F.lit, (0.5, 0.9, 0.99)))).alias("p"))
-    return t.select("n", "hot", *(F.round(c("p")[i], 6).alias(k) for i, k in enumerate(("p50", "p90", "p99"))))
+    t = Fo.roughness(cells, "z")
+    p = percentiles(t, [], "rough", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    return t.agg(F.count("rough").alias("n"), F.count_if(c("rough") >= 1.5).alias("hot")).join(F.broadcast(p), how="left").select("n", "hot", *(F.round(k, 6).alias(k) for k in ("p50", "p90", "p99")))  # one row each
 
 
 @R.add("d3_distribution", "cells", "SELECT code, count(z) AS n, round(quantile_cont(z, 0.5), 6) AS p50, round(max(z), 6) AS worst, round(avg(CASE WHEN z >= 1020 THEN 1.0 ELSE 0.0 END), 6) AS share FROM cells WHERE z IS NOT NULL GROUP BY 1")
 def d3(cells):
-    return cells.where("z is not null").groupBy("code").agg(F.count("z").alias("n"), F.round(F.percentile("z", F.lit(0.5)), 6).alias("p50"), F.round(F.max("z"), 6).alias("worst"), F.round(F.avg((c("z") >= 1020).cast("double")), 6).alias("share"))
+    known = cells.where("z is not null")
+    t = known.groupBy("code").agg(F.count("z").alias("n"), F.round(F.max("z"), 6).alias("worst"), F.round(F.avg((c("z") >= 1020).cast("double")), 6).alias("share"))
+    return t.join(percentiles(known, ["code"], "z", {"p50": 0.5}), "code").withColumn("p50", F.round("p50", 6))
 
 
 @R.add("d5_summary", "cells", "SELECT round(min(z), 6) AS low, round(max(z), 6) AS high, round(quantile_cont(z, 0.5), 6) AS p50, round(quantile_cont(z, 0.95), 6) AS p95, round(avg(z), 6) AS mean FROM cells")
 def d5(cells):
-    return cells.agg(F.round(F.min("z"), 6).alias("low"), F.round(F.max("z"), 6).alias("high"), F.round(F.percentile("z", F.lit(0.5)), 6).alias("p50"), F.round(F.percentile("z", F.lit(0.95)), 6).alias("p95"), F.round(F.avg("z"), 6).alias("mean"))
+    p = percentiles(cells, [], "z", {"p50": 0.5, "p95": 0.95})
+    t = cells.agg(F.round(F.min("z"), 6).alias("low"), F.round(F.max("z"), 6).alias("high"), F.round(F.avg("z"), 6).alias("mean"))
+    return t.join(F.broadcast(p), how="left").select("low", "high", *(F.round(k, 6).alias(k) for k in ("p50", "p95")), "mean")  # one row each
 
 
 @R.add("d12_area", "ring", """

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hillframe.functions.scalars import r6
 from hillframe.operators import focal as Fo
 from hillframe.operators import iterate, surface
+from hillframe.operators.quantiles import percentiles
 
 from .registry import Registry
 
@@ -80,12 +81,12 @@ def f7(cells):
 def _accumulated(cells, size=1.0):
     t = Fo.d8(Fo.fill_from_neighbours(cells, "z"), "z", size)
     dr, dc = F.array(*(F.lit(i) for _, i, _ in Fo.NEIGHBOURS)), F.array(*(F.lit(j) for _, _, j in Fo.NEIGHBOURS))
-    to = F.when(c("to") >= 0, (c("r") + F.element_at(dr, c("to") + 1)) * 100_000 + c("c") + F.element_at(dc, c("to") + 1))
-    t = iterate.cut(t.select("r", "c", "drop", (c("r") * 100_000 + c("c")).alias("cell"), to.alias("to")), "receivers")
+    to = F.when(c("to") >= 0, iterate.cell_id(c("r") + F.element_at(dr, c("to") + 1), c("c") + F.element_at(dc, c("to") + 1)))
+    t = iterate.cut(t.select("r", "c", "drop", iterate.cell_id(c("r"), c("c")).alias("cell"), to.alias("to")), "receivers")
     return t.join(iterate.flow_accumulation(t.select("cell", "to")), "cell")
 
 
-_ACC = _D8.replace("WITH ", "") + """, w AS (SELECT r * 100000 + c AS src, r * 100000 + c AS pos FROM fz UNION ALL SELECT w.src, rc.tr * 100000 + rc.tc FROM w JOIN rc ON rc.r * 100000 + rc.c = w.pos WHERE rc.d > 0), ac AS (SELECT pos, count(*) AS acc FROM w GROUP BY 1)"""
+_ACC = _D8.replace("WITH ", "") + """, w AS (SELECT r * 4294967296 + c AS src, r * 4294967296 + c AS pos FROM fz UNION ALL SELECT w.src, rc.tr * 4294967296 + rc.tc FROM w JOIN rc ON rc.r * 4294967296 + rc.c = w.pos WHERE rc.d > 0), ac AS (SELECT pos, count(*) AS acc FROM w GROUP BY 1)"""
 
 
 @R.add("f8_flow_accumulation", "cells", None)
@@ -183,14 +184,14 @@ def d4(cells):
     return _biomes(cells).groupBy("biome", "material").agg(F.count(F.lit(1)).alias("cells")).join(total).select("biome", "material", "cells", F.round(100.0 * c("cells") / c("total"), 6).alias("percent"))
 
 
-_BLOB = """b AS (SELECT r * 100000 + c AS id, r, c FROM cells WHERE code = 1), l AS (SELECT x.id AS u, y.id AS v FROM b x JOIN b y ON (y.r = x.r AND y.c = x.c + 1) OR (y.c = x.c AND y.r = x.r + 1)),
+_BLOB = """b AS (SELECT r * 4294967296 + c AS id, r, c FROM cells WHERE code = 1), l AS (SELECT x.id AS u, y.id AS v FROM b x JOIN b y ON (y.r = x.r AND y.c = x.c + 1) OR (y.c = x.c AND y.r = x.r + 1)),
 e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l), w AS (SELECT id AS a, id AS z FROM b UNION SELECT w.a, e.v FROM w JOIN e ON e.u = w.z), cc AS (SELECT a AS id, min(z) AS component FROM w GROUP BY 1)"""
 
 
 def _blobs(cells):
-    b = cells.where("code = 1").select("r", "c", (c("r") * 100_000 + c("c")).alias("id"))
-    right = b.select((c("r") * 100_000 + c("c") + 1).alias("v"), c("id").alias("u"))
-    down = b.select(((c("r") + 1) * 100_000 + c("c")).alias("v"), c("id").alias("u"))
+    b = cells.where("code = 1").select("r", "c", iterate.cell_id(c("r"), c("c")).alias("id"))
+    right = b.select(iterate.cell_id(c("r"), c("c") + 1).alias("v"), c("id").alias("u"))
+    down = b.select(iterate.cell_id(c("r") + 1, c("c")).alias("v"), c("id").alias("u"))
     links = right.unionByName(down).join(b.select(c("id").alias("v")), "v", "left_semi").select("u", "v")
     label = iterate.components(links)
     return b.join(label, c("id") == c("node"), "left").select("r", "c", F.coalesce("component", "id").alias("component"))
@@ -207,8 +208,8 @@ def f23(cells):
     return b.join(b.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n >= 4"), "component").select("r", "c", "component", "n")
 
 
-for _k, _v in (("f8_flow_accumulation", f"{_ACC} SELECT r, c, acc FROM fz JOIN ac ON pos = r * 100000 + c"),
-               ("f9_twi", f"{_ACC} SELECT fz.r, fz.c, round(ln(acc * 10.0 / greatest(greatest(d / 10, 0), 1e-3)), 6) + 0.0 AS twi FROM fz JOIN ac ON pos = fz.r * 100000 + fz.c JOIN rc ON rc.r = fz.r AND rc.c = fz.c"),
+for _k, _v in (("f8_flow_accumulation", f"{_ACC} SELECT r, c, acc FROM fz JOIN ac ON pos = r * 4294967296 + c"),
+               ("f9_twi", f"{_ACC} SELECT fz.r, fz.c, round(ln(acc * 10.0 / greatest(greatest(d / 10, 0), 1e-3)), 6) + 0.0 AS twi FROM fz JOIN ac ON pos = fz.r * 4294967296 + fz.c JOIN rc ON rc.r = fz.r AND rc.c = fz.c"),
                ("f22_components", f"{_BLOB} SELECT b.r, b.c, component FROM b JOIN cc USING (id)"),
                ("f23_small_components", f"{_BLOB}, s AS (SELECT component, count(*) AS n FROM cc GROUP BY 1 HAVING count(*) >= 4) SELECT b.r, b.c, component, n FROM b JOIN cc USING (id) JOIN s USING (component)")):
     from hillframe.sources.fixtures import ctes as _ctes
@@ -268,8 +269,9 @@ def f37(cells):
 SELECT code, count(*) AS n, count(*) FILTER (abs(dom - z) > 0.0) AS changed, round(quantile_cont(abs(dom - z), 0.5), 6) AS p50, round(quantile_cont(abs(dom - z), 0.9), 6) AS p90, round(max(abs(dom - z)), 6) AS worst FROM cells WHERE dom IS NOT NULL AND z IS NOT NULL GROUP BY 1""")
 def f38(cells):
     t = cells.where("dom is not null and z is not null").withColumn("d", F.abs(c("dom") - c("z")))
-    p = F.percentile("d", F.array(F.lit(0.5), F.lit(0.9)))
-    return t.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count_if(c("d") > 0).alias("changed"), p.alias("p"), F.max("d").alias("m")).select("code", "n", "changed", F.round(c("p")[0], 6).alias("p50"), F.round(c("p")[1], 6).alias("p90"), F.round("m", 6).alias("worst"))
+    n = t.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count_if(c("d") > 0).alias("changed"), F.round(F.max("d"), 6).alias("worst"))
+    p = percentiles(t, ["code"], "d", {"p50": 0.5, "p90": 0.9})
+    return n.join(p, "code").select("code", "n", "changed", *(F.round(k, 6).alias(k) for k in ("p50", "p90")), "worst")
 
 
 @R.add("c1_nearest", "cells", """
@@ -312,7 +314,8 @@ def c5(cells, ring):
 @R.add("d1_zonal", "cells ring", f"WITH {_IN} SELECT poly_id, count(z) AS n, round(avg(z) + 1e-9, 6) AS mean, round(quantile_cont(z, 0.9), 6) AS p90, round(avg(CASE WHEN z >= 1030 THEN 1.0 ELSE 0.0 END), 6) AS share FROM ins JOIN cells USING (r, c) WHERE z IS NOT NULL GROUP BY 1")
 def d1(cells, ring):
     t = Fo.cells_in_rings(ring).join(cells.where("z is not null").select("r", "c", "z"), ["r", "c"])
-    return t.groupBy("poly_id").agg(F.count("z").alias("n"), F.round(F.avg("z") + 1e-9, 6).alias("mean"), F.round(F.percentile("z", F.lit(0.9)), 6).alias("p90"), F.round(F.avg((c("z") >= 1030).cast("double")), 6).alias("share"))
+    n = t.groupBy("poly_id").agg(F.count("z").alias("n"), F.round(F.avg("z") + 1e-9, 6).alias("mean"), F.round(F.avg((c("z") >= 1030).cast("double")), 6).alias("share"))
+    return n.join(percentiles(t, ["poly_id"], "z", {"p90": 0.9}), "poly_id").withColumn("p90", F.round("p90", 6))
 
 
 @R.add("c31_ceiling", "cells", "SELECT r, c, round(least(z, 1000 + 0.5 * r + 0.3 * c), 6) AS z FROM cells WHERE z IS NOT NULL")

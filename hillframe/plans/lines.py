@@ -134,7 +134,11 @@ def e28(n):
     return t.select("road_id", "seq", r6(c("z") + w0 * 2.0 + w1 * -1.5).alias("z"))
 
 
-@R.add("e10_slew_limit", "road_node", None)
+@R.add("e10_slew_limit", "road_node", f"""
+WITH RECURSIVE {_ST}, p AS (SELECT road_id, row_number() OVER (PARTITION BY road_id ORDER BY s) AS k, s, CASE WHEN seq % 9 <> 4 THEN z END AS v FROM st),
+f AS (SELECT road_id, k, s, v FROM p WHERE k = 1 UNION ALL SELECT p.road_id, p.k, p.s, CASE WHEN p.v IS NULL OR f.v IS NULL THEN p.v ELSE greatest(f.v - 0.4 * abs(p.s - f.s), least(f.v + 0.4 * abs(p.s - f.s), p.v)) END FROM f JOIN p ON p.road_id = f.road_id AND p.k = f.k + 1),
+b AS (SELECT road_id, k, s, v FROM f WHERE (road_id, k) IN (SELECT road_id, max(k) FROM p GROUP BY 1) UNION ALL SELECT f.road_id, f.k, f.s, CASE WHEN f.v IS NULL OR b.v IS NULL THEN f.v ELSE greatest(b.v - 0.4 * abs(f.s - b.s), least(b.v + 0.4 * abs(f.s - b.s), f.v)) END FROM b JOIN f ON f.road_id = b.road_id AND f.k = b.k - 1)
+SELECT road_id, round(s, 6) + 0.0 AS s, round(v, 6) + 0.0 AS v FROM b""")
 def e10(n):
     t = L.stations(n).select("road_id", "s", F.when(c("seq") % 9 != 4, c("z")).alias("v"))
     return L.slew_limit(t, "road_id", "s", "v", 0.4).select("road_id", r6(c("s")).alias("s"), r6(c("v")).alias("v"))
