@@ -1,6 +1,7 @@
 """The training-data operators on a small table of odd rows, against brute force, round trips and held-out labels."""
 
 import re
+import time
 import zlib
 
 import numpy as np
@@ -423,3 +424,17 @@ def test_pipeline_keeps_clean_documents(spark, sf_dir):
     assert 0.5 * docs.count() < step.count() <= docs.count()
     packed = corpus_pipeline.run(spark, sf_dir).toPandas()
     assert (packed.groupby("sequence_id")["length"].sum() <= 1024).all()
+
+
+def test_html_comments_go_and_deep_pages_are_read_in_time(spark):
+    assert html_text.main_text("<p>Story.</p><div class='comments'><p>c c c c c c c c c c</p></div>") == "Story."
+    assert html_text.main_text("<p>Story.</p><section id='comment-list'><p>c c c c c c c c c c</p></section>") == "Story."
+    began = time.thread_time()
+    assert len(html_text.main_text("<div>x" * 100_000)) == 199_999
+    assert html_text.main_text("<b>" * 30_000 + "<div>a</div></i>" * 30_000).count("a") == 30_000
+    assert html_text.main_text("<div class='comments'><p>x" * 30_000) == ""
+    assert time.thread_time() - began < 20
+    page = "<article><p>Twice.</p></article>"
+    data = [(1, "http://h/1", page, 0), (1, "http://h/1", page, 0), (2, None, "<p>" + "long " * 300_000, 0), (3, "", None, 0)]
+    got = html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string, text int")).collect()
+    assert sorted((r["page_id"], r["n_chars"]) for r in got) == [(1, 6), (1, 6), (2, 1_499_999), (3, 0)]
