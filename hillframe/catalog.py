@@ -1,8 +1,8 @@
 """Every registered query of the terrain and road operators, and its DuckDB twin."""
 
-from .plans import aggregates, attributes, features, grids, lines, models, networks, profiles, shapes, sources, spatial, tables
+from .plans import aggregates, attributes, features, grids, lines, models, networks, profiles, shapes, sources, spans, spatial, tables
 
-MODULES = (sources, tables, attributes, features, grids, lines, profiles, shapes, aggregates, models, networks, spatial)
+MODULES = (sources, tables, attributes, features, grids, lines, profiles, shapes, aggregates, models, networks, spatial, spans)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
 FLAGSHIP = "d4_biome_share"

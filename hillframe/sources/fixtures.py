@@ -127,6 +127,15 @@ SELECT line, i, CAST(k AS DOUBLE) / 4 AS off, CASE WHEN (id * 7 + k * 13) % 37 =
 FROM (SELECT CAST(event_id AS BIGINT) AS id, CAST(FLOOR(event_id / 100) AS BIGINT) AS line, CAST(event_id % 100 AS BIGINT) AS i, CAST(q AS BIGINT) AS k FROM events CROSS JOIN (VALUES """+", ".join(f"({k})" for k in range(25))+""") w(q)) t""",
     "post": """
 SELECT CAST(event_id AS BIGINT) AS id, event_type AS kind, CAST((event_id * 37 + user_id * 11) % 199 AS DOUBLE) / 20 AS x, CAST(FLOOR(event_id / 1000) AS DOUBLE) * 6 + CAST((event_id * 53 + user_id * 7) % 101 AS DOUBLE) / 20 AS y FROM events""",
+    "span_line": """
+SELECT CAST(FLOOR(event_id / 100) AS BIGINT) AS span, CAST(event_id % 5 AS BIGINT) AS line, CAST(FLOOR(event_id % 100 / 5) AS BIGINT) AS j, CAST(FLOOR(event_id % 100 / 5) AS DOUBLE) AS s,
+       CAST(1000.0 AS DOUBLE) + value / 2000 - CASE WHEN FLOOR(event_id / 100) % 4 < 3 AND FLOOR(event_id % 100 / 5) BETWEEN 7 + event_id % 3 AND 11 + event_id % 4 THEN CAST(event_id % 7 AS DOUBLE) / 5 ELSE CAST(0.0 AS DOUBLE) END AS z FROM events""",
+    "span_end": """
+SELECT span, CAST(13.0 AS DOUBLE) AS g0, CAST(6.0 AS DOUBLE) AS g1, CASE WHEN span % 7 = 3 THEN CAST(12.5 AS DOUBLE) ELSE NULL END AS o0, CASE WHEN span % 7 = 3 THEN CAST(5.0 AS DOUBLE) ELSE NULL END AS o1
+FROM (SELECT DISTINCT CAST(FLOOR(event_id / 100) AS BIGINT) AS span FROM events) t""",
+    "span_station": """
+SELECT CAST(FLOOR(event_id / 100) AS BIGINT) AS span, CAST(event_id % 100 AS DOUBLE) / 5 AS s, CAST(6 + event_id % 3 AS DOUBLE) AS width,
+       """ + ", ".join(f"CAST(1000.0 AS DOUBLE) + CAST(event_id % 100 AS DOUBLE) / 40 + CAST((event_id * {7 * k + 3} + user_id * {k + 1}) % 41 AS DOUBLE) / 60 + {k} * (event_id % 5) * CAST(0.04 AS DOUBLE) AS z{k}" for k in range(7)) + """ FROM events""",
 }
 
 
