@@ -51,7 +51,7 @@ def box_sums(cells: DataFrame, value: str, reach: int) -> DataFrame:
 def roughness(cells: DataFrame, z: str, least: int = 6, cap: float | None = None) -> DataFrame:
     """Adds rough: distance from the 3x3 mean of valid cells, where at least `least` of the nine are valid."""
     d = F.abs(F.col(z) - F.col("box_sum") / F.col("box_count"))
-    d = F.least(d, F.lit(cap)) if cap else d
+    d = F.when(d > cap, F.lit(cap)).otherwise(d) if cap else d  # a null cell stays null
     return box_sums(cells, z, 1).withColumn("rough", F.when(F.col("box_count") >= least, d)).drop("box_sum", "box_count")
 
 

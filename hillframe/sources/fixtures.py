@@ -125,6 +125,14 @@ SELECT line, i, CAST(k AS DOUBLE) / 4 AS off, CASE WHEN (id * 7 + k * 13) % 37 =
        CASE WHEN line % 4 = 1 AND i BETWEEN 20 AND 75 OR line % 4 = 2 AND i BETWEEN 40 AND 55 THEN CAST(0.05 AS DOUBLE) WHEN k < (id * 5) % 9 THEN CAST(0.03 AS DOUBLE) WHEN (id + k) % 41 = 0 THEN NULL ELSE CAST((id + k * 3) % 10 AS DOUBLE) / 1000 END AS rough,
        k < 22 AS inside, line * 30 + k AS r, CAST(FLOOR(i / 2) AS BIGINT) AS c
 FROM (SELECT CAST(event_id AS BIGINT) AS id, CAST(FLOOR(event_id / 100) AS BIGINT) AS line, CAST(event_id % 100 AS BIGINT) AS i, CAST(q AS BIGINT) AS k FROM events CROSS JOIN (VALUES """+", ".join(f"({k})" for k in range(25))+""") w(q)) t""",
+    "fine_cell": """
+SELECT CAST(FLOOR(event_id / 100) AS BIGINT) AS r, CAST(event_id % 100 AS BIGINT) AS c,
+       CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(1000.0 AS DOUBLE) + CAST(0.02 AS DOUBLE) * (event_id % 100) + CAST(0.01 AS DOUBLE) * CAST(FLOOR(event_id / 100) AS BIGINT)
+            + CAST((event_id * 31 + user_id * 17) % 41 AS DOUBLE) / CASE WHEN FLOOR(event_id / 100) % 6 < 3 THEN 1600 ELSE 700 END END AS z FROM events""",
+    "axis_node": """
+SELECT road_id, seq, CAST(road_id % 2 * 44 + 2 AS DOUBLE) + seq * CAST(2.25 AS DOUBLE) + CAST(road_id % 5 AS DOUBLE) / 5 AS x,
+       -CAST(FLOOR(road_id / 2) * 2 + 1 AS DOUBLE) - CAST(ABS(seq % 16 - 8) AS DOUBLE) / 8 - CAST(road_id * 7 % 5 AS DOUBLE) / 4 - CAST(jitter AS DOUBLE) / 20 AS y, CAST(1000.0 AS DOUBLE) AS z, CAST(3 + road_id % 4 AS DOUBLE) / 1.25 AS w
+FROM (SELECT CAST(FLOOR(event_id / 100) AS BIGINT) AS road_id, CAST(FLOOR(event_id % 100 / 5) AS BIGINT) AS seq, MAX(user_id) % 5 AS jitter FROM events GROUP BY 1, 2) t""",
     "post": """
 SELECT CAST(event_id AS BIGINT) AS id, event_type AS kind, CAST((event_id * 37 + user_id * 11) % 199 AS DOUBLE) / 20 AS x, CAST(FLOOR(event_id / 1000) AS DOUBLE) * 6 + CAST((event_id * 53 + user_id * 7) % 101 AS DOUBLE) / 20 AS y FROM events""",
     "span_line": """
