@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hillframe.functions.scalars import r6
 from hillframe.operators import focal as Fo
 from hillframe.operators import iterate, surface
+from hillframe.operators.iterate import cut
 from hillframe.operators.quantiles import percentiles
 
 from .registry import Registry
@@ -308,12 +309,13 @@ ins AS (SELECT poly_id, r, c FROM pc JOIN ed USING (poly_id) WHERE (y > -(r + 0.
 
 @R.add("c5_point_in_polygon", "cells ring", f"WITH {_IN} SELECT poly_id, r, c FROM ins")
 def c5(cells, ring):
-    return Fo.cells_in_rings(ring).join(cells.select("r", "c"), ["r", "c"], "left_semi").select("poly_id", "r", "c")
+    return Fo.cells_in_rings(ring).join(cells.select("r", "c").hint("merge"), ["r", "c"], "left_semi").select("poly_id", "r", "c")
 
 
 @R.add("d1_zonal", "cells ring", f"WITH {_IN} SELECT poly_id, count(z) AS n, round(avg(z) + 1e-9, 6) AS mean, round(quantile_cont(z, 0.9), 6) AS p90, round(avg(CASE WHEN z >= 1030 THEN 1.0 ELSE 0.0 END), 6) AS share FROM ins JOIN cells USING (r, c) WHERE z IS NOT NULL GROUP BY 1")
 def d1(cells, ring):
-    t = Fo.cells_in_rings(ring).join(cells.where("z is not null").select("r", "c", "z"), ["r", "c"])
+    # a small file may hold many cells: they are never broadcast; what lies inside is read several times
+    t = cut(Fo.cells_in_rings(ring).join(cells.where("z is not null").select("r", "c", "z").hint("merge"), ["r", "c"]).select("poly_id", "z"), "zones")
     n = t.groupBy("poly_id").agg(F.count("z").alias("n"), F.round(F.avg("z") + 1e-9, 6).alias("mean"), F.round(F.avg((c("z") >= 1030).cast("double")), 6).alias("share"))
     return n.join(percentiles(t, ["poly_id"], "z", {"p90": 0.9}), "poly_id").withColumn("p90", F.round("p90", 6))
 

@@ -76,7 +76,7 @@ SELECT r, c, objekt, poly_id FROM ins JOIN k USING (poly_id) WHERE o IS NOT NULL
 def c6(cells, ring):
     order = F.create_map(*(F.lit(x) for kv in PAINT.items() for x in kv))
     kinds = ring.select("poly_id", "objekt", F.try_element_at(order, c("objekt")).alias("o")).where("o is not null").distinct()
-    t = Fo.cells_in_rings(ring).join(cells.select("r", "c"), ["r", "c"], "left_semi").join(kinds, "poly_id")
+    t = Fo.cells_in_rings(ring).join(cells.select("r", "c").hint("merge"), ["r", "c"], "left_semi").join(kinds, "poly_id")
     return t.groupBy("r", "c").agg(F.max(F.struct("o", "poly_id", "objekt")).alias("m")).select("r", "c", "m.objekt", "m.poly_id")
 
 
@@ -109,7 +109,7 @@ _COVER = _IN + ", k AS (SELECT DISTINCT poly_id, objekt FROM ring), u AS (SELECT
 def covered(cells, ring):
     """(objekt, r, c) of the grid's cells inside a polygon of that kind."""
     kinds = ring.select("poly_id", "objekt").distinct()
-    return Fo.cells_in_rings(ring).join(cells.select("r", "c"), ["r", "c"], "left_semi").join(kinds, "poly_id").select("objekt", "r", "c").distinct()
+    return Fo.cells_in_rings(ring).join(cells.select("r", "c").hint("merge"), ["r", "c"], "left_semi").join(kinds, "poly_id").select("objekt", "r", "c").distinct()
 
 
 @R.add("c28_coverage", "cells ring", f"""

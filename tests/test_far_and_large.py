@@ -3,6 +3,7 @@
 import duckdb
 import pandas as pd
 
+from hillframe import catalog
 from hillframe.plans import profiles
 
 
@@ -14,3 +15,8 @@ def test_road_extent_of_far_rows_equals_sql(spark):
     want = con.execute("WITH " + sql[sql.index("p AS (SELECT CAST(floor(r / 2)") :]).fetchall()
     got = profiles.d28(spark.createDataFrame(table)).select("bin", "lft", "edge").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_cells_inside_rings_broadcast_no_cells(spark, sf_dir):
+    plan = catalog.QUERIES["c5_point_in_polygon"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
