@@ -123,17 +123,25 @@ def d8(cells: DataFrame, z: str, size: float = 1.0) -> DataFrame:
 
 
 def bilinear(cells: DataFrame, points: DataFrame, z: str, key: list[str], row: str = "row", col: str = "col", renormalise: bool = False) -> DataFrame:
-    """Adds the bilinear sample at fractional (row, col) to the points' keys: null where a tap is missing, unless weights are renormalised."""
-    taps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
-    p = points.withColumns({"_r": F.floor(row), "_c": F.floor(col)}).withColumn("_t", F.explode(taps))
-    fr, fc = F.col(row) - F.col("_r"), F.col(col) - F.col("_c")
-    wr, wc = F.when(F.col("_t.i") == 1, fr).otherwise(1 - fr), F.when(F.col("_t.j") == 1, fc).otherwise(1 - fc)
-    p = p.select(*key, (wr * wc).alias("_w"), (F.col("_r") + F.col("_t.i")).alias("r"), (F.col("_c") + F.col("_t.j")).alias("c")).where("_w > 0")
-    j = p.join(cells.select("r", "c", z), ["r", "c"], "left").groupBy(*key)
-    known = F.sum(F.when(F.col(z).isNotNull(), F.col("_w")))
-    total = F.sum(F.col("_w") * F.col(z))
-    value = total / known if renormalise else F.when(known >= 1 - 1e-9, total)
-    return j.agg(value.alias("sample"))
+    """Adds the bilinear sample at fractional (row, col) to the points' keys: null where a tap is missing, unless weights are renormalised.
+
+    The four taps are gathered by cell first, so that a point is dealt once, with its keys, and never grouped.
+    """
+    taps = [(i, j) for i in (0, 1) for j in (0, 1)]
+    corner = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in taps)))
+    own = cells.where(F.col(z).isNotNull()).select("r", "c", F.col(z).alias("_z"), corner.alias("_t")).select((F.col("r") - F.col("_t.i")).alias("_r"), (F.col("c") - F.col("_t.j")).alias("_c"), "_z", "_t")
+    at = {(i, j): F.when((F.col("_t.i") == i) & (F.col("_t.j") == j), F.col("_z")) for i, j in taps}
+    quads = own.groupBy("_r", "_c").agg(*(f(x).alias(f"_{n}{i}{j}") for (i, j), x in at.items() for n, f in (("s", F.sum), ("n", F.count))))
+    p = points.select(*key, F.col(row).alias("_row"), F.col(col).alias("_col")).where("_row is not null and _col is not null").withColumns({"_r": F.floor("_row"), "_c": F.floor("_col")})
+    t = p.join(quads.hint("merge"), ["_r", "_c"], "left")
+    fr, fc = F.col("_row") - F.col("_r"), F.col("_col") - F.col("_c")
+    known = total = F.lit(0.0)
+    for i, j in taps:
+        w = (fr if i else 1 - fr) * (fc if j else 1 - fc)
+        known = known + F.when((w > 0) & (F.col(f"_n{i}{j}") > 0), w * F.col(f"_n{i}{j}")).otherwise(0.0)
+        total = total + F.when((w > 0) & (F.col(f"_n{i}{j}") > 0), w * F.col(f"_s{i}{j}")).otherwise(0.0)
+    value = F.when(known > 0, total / known) if renormalise else F.when(known >= 1 - 1e-9, total)
+    return t.select(*key, value.alias("sample"))
 
 
 def nearest_fill(cells: DataFrame, z: str, reach: float) -> DataFrame:
