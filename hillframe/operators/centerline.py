@@ -56,7 +56,8 @@ def lateral_scores(segs: DataFrame, rough: DataFrame, size: float = 1.0, reach:
     """Band statistics per piece, offset (tenths) and level (tenths by which the band is narrower): n, um (sum) and hot (cells at the cap).
 
     A band is the piece moved along its chord's normal and widened by half its width to both sides, flat at the ends, mitred at bends.
-    Each cell is joined once per segment; per offset the least half width that covers it tells all levels it counts for, so that levels never multiply cells.
+    Each cell goes to a piece once, by rows of the piece's box, and all else happens where the piece is, so that offsets and segments never multiply what is dealt; per offset
+    the least half width that covers a cell tells all levels it counts for.
     Bands under a metre wide aren't tried; a band without a valid cell has no row.
     """
     w = Window.partitionBy(*PIECE).orderBy("a")
@@ -66,9 +67,11 @@ def lateral_scores(segs: DataFrame, rough: DataFrame, size: float = 1.0, reach:
     t = t.join(pieces(segs).where("ux is not null").select(*PIECE, "ux", "uy"), PIECE)
     pad = c("w") / 2 * MITRE + reach / 10
     low, high = (lambda p: F.least(f"{p}a", f"{p}b") - pad), (lambda p: F.greatest(f"{p}a", f"{p}b") + pad)
-    t = t.withColumn("c", F.explode(F.sequence(F.floor(low("x") / size), F.floor(high("x") / size))))
-    t = t.withColumn("r", F.explode(F.sequence(F.floor(-high("y") / size), F.floor(-low("y") / size))))
-    t = t.join(rough, ["r", "c"]).withColumn("off", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+    t = t.withColumns({"c0": F.floor(low("x") / size), "c1": F.floor(high("x") / size), "r0": F.floor(-high("y") / size), "r1": F.floor(-low("y") / size)})
+    rows = t.select(*PIECE, "c0", "c1", F.explode(F.sequence("r0", "r1")).alias("r")).groupBy(*PIECE, "r").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
+    met = rows.select(*PIECE, "r", F.explode(F.sequence("c0", "c1")).alias("c")).join(rough.hint("merge"), ["r", "c"])
+    t = met.join(t.hint("merge"), PIECE).where(c("r").between(c("r0"), c("r1")) & c("c").between(c("c0"), c("c1")))
+    t = t.withColumn("off", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
     t = t.withColumns({"px": (c("c") + 0.5) * size + c("off") / 10 * c("uy") - c("xa"), "py": -(c("r") + 0.5) * size - c("off") / 10 * c("ux") - c("ya")})
     t = t.withColumns({"along": c("px") * c("tx") + c("py") * c("ty"), "lat": F.abs(c("px") * c("ty") - c("py") * c("tx")), "qx": c("px") - (c("xb") - c("xa")), "qy": c("py") - (c("yb") - c("ya"))})
     beside = F.when((c("along") >= 0) & (c("along") <= c("len")), c("lat"))
