@@ -45,6 +45,6 @@ def percentiles(df: DataFrame, keys: list[str], value: str | Column, fractions:
     def found(name: str) -> Column:
         low, high = (F.max(F.when((c("q_name") == name) & (c("q_up") == up), c("q_v"))) for up in (False, True))
         part = F.max(F.when(c("q_name") == name, c("q_part")))
-        return (low * (1 - part) + high * part).alias(name)
+        return F.when(low == high, low).otherwise(low * (1 - part) + high * part).alias(name)  # equal ones stay as they are, to the last bit
 
     return hit.groupBy(*keys).agg(*(found(name) for name in fractions), F.count(F.lit(1)).alias("q_found")).where("q_found > 0").drop("q_found")
