@@ -1,8 +1,7 @@
 """Main text of web pages by a site style tree.
 
 The pages of a host are merged into one tree: a node is a path of element styles (tag and class). What is counted of a node over
-the host's pages are its presentation styles (sequences of child styles) and, where it holds text, its content (words; of each page the
-`sketch` words of least hash, a choice that is the same on all pages). The importance of a style node is the entropy of its
+the host's pages are its presentation styles (sequences of child styles) and, where it holds text, its content (all different words of each page). The importance of a style node is the entropy of its
 presentation, mixed with its children's; that of a content node is one minus the mean entropy, over its pages' words, of a word over the pages, so
 text whose words come back on every page weighs little, also where no two pages have the same. A presentation prior gives
 menus, headers, footers, sidebars, notices, adverts, forms, comments and the like no weight, and an article or main element
@@ -20,7 +19,6 @@ are closed as browsers do; repeated rows are pages of their own; an empty table
 
 from __future__ import annotations
 
-import heapq
 import html
 import re
 import zlib
@@ -259,7 +257,7 @@ def host_of(url: str = "url") -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def style_counts(pages: DataFrame, sketch: int = 12) -> DataFrame:
+def style_counts(pages: DataFrame) -> DataFrame:
     """(host, node, parent, kind, value, pages): pages of a host whose node has a presentation style (kind 0) or a word (1)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +278,7 @@ def style_counts(pages: DataFrame, sketch: int = 12) -> DataFrame:
                             parents[node] = walked.parent[node]
                             node = parents[node]
                 for node, found in words.items():
-                    own.update((node, 1, word) for word in heapq.nsmallest(sketch, found))
+                    own.update((node, 1, word) for word in found)
                 for node, parent in parents.items():
                     own.add((node, 0, zlib.crc32("\n".join(walked.children.get(node, ())).encode())))
                 for node, kind, value in own:

@@ -193,6 +193,16 @@ def test_html_tree_alone_decides(spark):
     assert all(html_text.main_text(h) != story[i] for i, _, h in data)  # the names say nothing
 
 
+def test_html_every_word_of_a_node_counts(spark):
+    words = sorted((f"v{i}" for i in range(20_000)), key=lambda w: zlib.crc32(w.encode()))
+    common, own = words[:12], words[12:]  # those of least hash come back on every page
+    first = [" ".join(common + own[i * 60 : i * 60 + 60]) for i in range(20)]
+    second = [" ".join(own[5000 + i * 60 : 5060 + i * 60]) for i in range(20)]
+    data = [(i, f"http://h/{i}", f"<body><div class='x1'><p>{first[i]}</p></div><div class='y1'><p>{second[i]}</p></div></body>") for i in range(20)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()} == {i: f"{first[i]} {second[i]}" for i in range(20)}
+
+
 def test_html_words_inside_an_article_stay():
     page = "<article><h2 id='side-effects'>Side effects</h2><p class='side-note-text'>Text <math><mi>x</mi></math> on <object>fallback</object> end.</p><div class='share-buttons'>Share</div><div class='ad'>Buy</div><div class='cookie-notice'>We</div></article>"
     assert html_text.main_text(page) == "Side effects Text x on fallback end."
