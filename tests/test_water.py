@@ -93,3 +93,22 @@ def test_adaptive_tiles_equal_recursion(spark, sf_dir):
     assert all(abs(a - b) < 1e-9 for r in got for a, b in zip([r[x] for x in ("x0", "y0", "x1", "y1", "level", "depth")], want[r["poly_id"], r["box"]], strict=True))
     assert {b[-1] for b in want.values()} >= {0, 1, 2}
     assert water.fitted_tiles(tiles.limit(0), cells, 6.0, 5.0, 2.0, 0.3, 0.4, 0.5).count() == 0
+
+
+def test_boxes_of_all_sizes_meet_the_terrain_once(spark, sf_dir, monkeypatch):
+    cells = fixture(spark, sf_dir, "cells").unionByName(fixture(spark, sf_dir, "cells").where("r = 3").selectExpr("r - 40 as r", "c - 9 as c", "z", "dom", "code", "twi", "rock", "asphalt"))
+    boxes = [(1, f"b{i}", i * 7.3 % 90 - 5, -(i * 3.7 % 12) - 3.0 + i % 4 * 12, i * 7.3 % 90 - 5 + 0.6 + i * 1.9 % 7, -(i * 3.7 % 12) + i * 0.31 % 4 + i % 4 * 12, 1001.0 + i % 23) for i in range(150)]
+    boxes += [(2, f"w{i}", 3.0 + i * 9, -9.5, 3.0 + i * 9 + w, -0.25, 1002.0 + 2 * i) for i, w in enumerate((8.0, 8.99, 9.5, 30.0, 60.0))]
+    table = spark.createDataFrame(boxes, "poly_id long, box string, x0 double, y0 double, x1 double, y1 double, level double").cache()
+    height = {(r["r"], r["c"]): r["z"] for r in cells.collect()}
+    written = []
+    plain_cut = water.cut
+    monkeypatch.setattr(water, "cut", lambda t, name: written.append(name) or plain_cut(t, name))
+    small = water.fitted_tiles(table.where("poly_id = 1"), cells, 6.0, 5.0, 2.0, 0.3, 0.4, 0.5).collect()
+    assert written == ["boxes"]  # no level is written
+    large = water.fitted_tiles(table.where("poly_id = 2"), cells, 6.0, 5.0, 2.0, 0.3, 0.4, 0.5).collect()
+    got = {r["box"]: tuple(r[x] for x in ("x0", "y0", "x1", "y1", "level", "depth")) for r in small + large}
+    want = {b[0]: b[1:] for t in boxes for b in plain_fit(t[1:], height, 6.0, 5.0, 2.0, 0.3, 0.4, 0.5)}
+    assert len(got) == len(small) + len(large) and set(got) == set(want)
+    assert all(abs(a - b) < 1e-9 for k in got for a, b in zip(got[k], want[k], strict=True))
+    assert {v[-1] for v in want.values()} == {0, 1, 2, 3}
