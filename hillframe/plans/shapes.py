@@ -134,8 +134,17 @@ b AS (SELECT *, unnest(generate_series(CAST(floor((y - w / 2 - 2) / 2) AS BIGINT
 d AS (SELECT *, round(sqrt(pow((c + 0.5::DOUBLE) * 2 - x, 2) + pow((r + 0.5::DOUBLE) * 2 - y, 2)), 9) AS d FROM b)"""
 
 
+NODES = 50_000  # of a task
+
+
 def disks(n):
-    """The 2 m cells around every node, up to 2 m beyond its half width, with the distance d of their centres."""
+    """The 2 m cells around every node, up to 2 m beyond its half width, with the distance d of their centres.
+
+    A node makes some twenty rows, so the number of tasks goes by the count of nodes: by their bytes one task would get millions, and group or sort all their cells
+    at once. Runs of a road stay together.
+    """
+    parts = max(n.sparkSession.sparkContext.defaultParallelism, n.count() // NODES + 1)
+    n = n.repartition(parts, "road_id", F.floor(c("seq") / 64))
     reach = c("w") / 2 + 2
     span = lambda a: whole(F.floor((c(a) - reach) / 2), F.floor((c(a) + reach) / 2))
     t = n.withColumn("c", span("x")).withColumn("r", span("y"))

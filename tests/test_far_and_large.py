@@ -4,7 +4,8 @@ import duckdb
 import pandas as pd
 
 from hillframe import catalog
-from hillframe.plans import profiles
+from hillframe.plans import profiles, shapes
+from hillframe.sources.fixtures import fixture
 
 
 def test_road_extent_of_far_rows_equals_sql(spark):
@@ -20,3 +21,11 @@ def test_road_extent_of_far_rows_equals_sql(spark):
 def test_cells_inside_rings_broadcast_no_cells(spark, sf_dir):
     plan = catalog.QUERIES["c5_point_in_polygon"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_disks_are_made_in_tasks_of_bounded_numbers_of_nodes(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(shapes, "NODES", 20)
+    nodes = fixture(spark, sf_dir, "road_node")
+    least = nodes.count() // 20
+    assert shapes.disks(nodes).rdd.getNumPartitions() > least
+    assert catalog.QUERIES["c33_soft_stamp"](spark, sf_dir).count() == shapes.disks(nodes).select("r", "c").distinct().count()
