@@ -23,6 +23,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_dealt(df: DataFrame, name: str) -> DataFrame:
+    """cut for tables that are joined round after round: such joins deal out both sides. Even small tables, broadcast in every round, add up at the driver."""
+    return cut(df, name).hint("merge")
+
+
 def cell_id(r: Column, c: Column) -> Column:
     """One long for a cell of a grid of fewer than 2^31 rows and columns: ids stand in row order, and different cells never share one."""
     return F.shiftleft(r.cast("long"), 32) + c.cast("long")
@@ -30,16 +35,16 @@ def cell_id(r: Column, c: Column) -> Column:
 
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, component) for links (u, v): labels take the least label of the neighbours, then the label's own label, until nothing changes."""
-    both = cut(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    label = cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    both = cut_dealt(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    label = cut_dealt(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
     for _ in range(most_rounds):
-        near = both.join(label, both["v"] == label["node"]).groupBy("u").agg(F.min("label").alias("near"))
+        near = both.join(label, both["v"] == label["node"]).groupBy("u").agg(F.min("label").alias("near")).hint("merge")
         hooked = label.join(near, label["node"] == near["u"]).select("node", "label", F.least("label", "near").alias("new"))
         # a root whose members saw a smaller label takes it too, so that whole trees hook at once
-        root = hooked.groupBy("label").agg(F.min("new").alias("down"))
+        root = hooked.groupBy("label").agg(F.min("new").alias("down")).hint("merge")
         hooked = hooked.select("node", "label", "new").join(root.withColumnRenamed("label", "l"), F.col("label") == F.col("l")).select("node", "label", F.least("new", "down").alias("new"))
-        jump = hooked.select(F.col("node").alias("n"), F.col("new").alias("jump"))
-        nxt = cut(hooked.join(jump, F.col("new") == F.col("n"), "left").select("node", F.col("label").alias("old"), F.least("new", F.coalesce("jump", "new")).alias("label")), "labels")
+        jump = hooked.select(F.col("node").alias("n"), F.col("new").alias("jump")).hint("merge")
+        nxt = cut_dealt(hooked.join(jump, F.col("new") == F.col("n"), "left").select("node", F.col("label").alias("old"), F.least("new", F.coalesce("jump", "new")).alias("label")), "labels")
         changed = nxt.where("old <> label").limit(1).count()
         label = nxt.select("node", "label")
         if not changed:

@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-from hillframe.operators import networks
+from hillframe.operators import iterate, networks
+from hillframe.sources.fixtures import fixture
 
 NODES = "piece long, seq long, x double, y double"
 PIECES = "piece long, code string, objekt string, highway string, length double"
@@ -135,3 +136,20 @@ def test_a_long_list_is_ranked_in_few_rounds(spark):
     assert all(r["last"] == n and r["hops"] == n - r["state"] for r in got) and len(got) == n + 1
     with pytest.raises(RuntimeError):
         networks.ranked_to_end(spark.createDataFrame([(1, 2), (2, 1)], "state long, to long"), most_rounds=3)
+
+
+def test_rounds_broadcast_nothing(spark, sf_dir, monkeypatch):
+    plans, plain_cut = {}, iterate.cut
+
+    def watched(t, name):
+        plans.setdefault(name, []).append("BroadcastHashJoin" in t._jdf.queryExecution().executedPlan().toString())
+        return plain_cut(t, name)
+
+    monkeypatch.setattr(iterate, "cut", watched)
+    pieces, nodes = fixture(spark, sf_dir, "net_piece"), fixture(spark, sf_dir, "net_node")
+    links = nodes.where("seq < 2").selectExpr("piece as u", "piece + 1 as v")
+    iterate.components(links)
+    networks.stitched(pieces, nodes, 1.0)
+    networks.corridors(pieces, nodes, 1.0)
+    for name in ("labels", "list-step", "way", "leap", "unused"):
+        assert plans[name] and not any(plans[name]), name
