@@ -5,24 +5,38 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write to the folder named by spark.checkpoint.dir and read back: lineage ends there. Where it is unset, a local session gets a checkpoint folder."""
-    spark = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local session gets a checkpoint folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/hillframe/{name}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/hillframe"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write to the folder named by spark.checkpoint.dir and read back: lineage ends there."""
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """cut for a table that is met by `keys` again and again: a bucketed table with one file a bucket, so joins and groups by these keys leave its rows where they lie."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"hillframe_{name}_{uuid.uuid4().hex}"
+    df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).option("path", f"{_folder(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
 def cut_dealt(df: DataFrame, name: str) -> DataFrame:
     """cut for tables that are joined round after round: such joins deal out both sides. Even small tables, broadcast in every round, add up at the driver."""
     return cut(df, name).hint("merge")

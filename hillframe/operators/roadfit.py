@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .iterate import cut
+from .iterate import cut, cut_bucketed
 from .quantiles import percentiles
 
 # fixed values of the model
@@ -37,32 +37,44 @@ def penalty(cutoff: float) -> float:
     return (cutoff / STATION / (2 * math.pi)) ** 4
 
 
-def located(pixels: DataFrame, roads: DataFrame, key: str = "road_id") -> DataFrame:
-    """Pixels of fittable roads with their place between stations (i, f), offsets by side and whether they bear the fit.
+def located(pixels: DataFrame, roads: DataFrame, key: str = "road_id", core: int = CORE) -> tuple[DataFrame, DataFrame]:
+    """Pixels of roads of a metre and more with their place u among the stations, dealt once by road and window; and the fittable roads.
 
     pixels: key, pixel, s, t, e (metres past an end of the axis), z, edge (metres from the own polygon's edge); roads: key, length.
     A road of under 12 pixels within 8 m, or of under a metre, has no model. Where less than 0.3 of the pixels are a metre and more from
-    the edge, all of them bear the fit.
+    the edge, all of them bear the fit: such a road's bearing edge is null.
     """
     near = pixels.where(F.col("z").isNotNull() & (F.abs("t") <= HALF_MAX)).join(roads.where(F.col("length") >= 2 * STATION).select(key, "length"), key)
-    share = near.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("edge") >= SUPPORT_EDGE).cast("double")).alias("share")).where("n >= 12")
-    t = near.join(share, key).withColumn("stations", F.greatest(F.lit(4), F.ceil(F.col("length") / STATION) + 1).cast("long"))
-    t = t.withColumn("u", F.greatest(F.lit(0.0), F.least(F.col("s") / STATION, F.col("stations") - 1 - 1e-9))).withColumn("i", F.floor("u"))
-    bears = (F.col("share") < SUPPORT_SHARE) | (F.col("edge") >= SUPPORT_EDGE)
-    return t.select(
-        key, "pixel", "t", "e", "z", "edge", "stations", "n", "u", "i", (F.col("u") - F.col("i")).alias("f"), F.greatest("t", F.lit(0.0)).alias("p"), F.least("t", F.lit(0.0)).alias("m"), bears.alias("bears"),
-        F.when(F.col("share") < SUPPORT_SHARE, 1.0).otherwise(F.col("share")).alias("support_share"),
-    )
+    t = near.withColumn("stations", F.greatest(F.lit(4), F.ceil(F.col("length") / STATION) + 1).cast("long"))
+    t = t.withColumn("u", F.greatest(F.lit(0.0), F.least(F.col("s") / STATION, F.col("stations") - 1 - 1e-9))).withColumn("window", F.floor(F.floor("u") / core))
+    t = cut_bucketed(t.select(key, "window", "pixel", "u", "t", "e", "z", "edge", "stations"), "pixels", [key, "window"])
+    inner = (F.col("edge") >= SUPPORT_EDGE).cast("double")
+    held = t.groupBy(key, "window").agg(F.first("stations").alias("stations"), F.count(F.lit(1)).alias("n"), F.sum(inner).alias("inner"), F.count(inner).alias("told"))
+    held = held.groupBy(key).agg(F.first("stations").alias("stations"), F.sum("n").alias("n"), (F.sum("inner") / F.sum("told")).alias("share")).where("n >= 12")
+    all_bear = F.col("share") < SUPPORT_SHARE
+    fittable = held.select(key, "stations", "n", F.when(all_bear, 1.0).otherwise(F.col("share")).alias("support_share"), F.when(~all_bear, SUPPORT_EDGE).alias("bearing_edge"))
+    return t, cut(fittable, "fittable")
+
+
+def by_window(roads: DataFrame, core: int) -> DataFrame:
+    """A row for every window of a road."""
+    return roads.withColumn("window", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("stations") - 1) / core))))
+
+
+def bearing(pixels: DataFrame, roads: DataFrame, key: str = "road_id", core: int = CORE) -> DataFrame:
+    """Pixels of the given roads with those roads' columns, station i, the share f of the next one, offsets by side p and m, and whether they bear the fit. No pixel moves."""
+    t = pixels.join(by_window(roads, core).drop("stations").hint("shuffle_hash"), [key, "window"])
+    return t.withColumns({"i": F.floor("u"), "f": F.col("u") - F.floor("u"), "p": F.greatest("t", F.lit(0.0)), "m": F.least("t", F.lit(0.0)), "bears": F.coalesce(F.col("bearing_edge").isNull() | (F.col("edge") >= F.col("bearing_edge")), F.lit(False))})
 
 
 def normal_equations(pixels: DataFrame, key: str = "road_id") -> DataFrame:
-    """Sums of weighted products by road and lower station: left sides {part}_{moment}, right sides of both stations."""
+    """Sums of weighted products by road, window and lower station: left sides {part}_{moment}, right sides of both stations."""
     f, w, z = F.col("f"), F.col("w"), F.col("z")
     shares = dict(zip(PARTS, ((1 - f) * (1 - f), f * (1 - f), f * f), strict=True))
     by = {"1": F.lit(1.0), "p": F.col("p"), "m": F.col("m"), "pp": F.col("p") * F.col("p"), "mm": F.col("m") * F.col("m")}
     left = [F.sum(w * share * moment).alias(f"{part}_{name}") for part, share in shares.items() for name, moment in by.items()]
     right = [F.sum(w * share * by[name] * z).alias(f"z{at}_{name}") for at, share in (("0", 1 - f), ("1", f)) for name in MOMENTS[:3]]
-    return pixels.where("w > 0").groupBy(key, "i").agg(*left, *right)
+    return pixels.where("w > 0").groupBy(key, "window", "i").agg(*left, *right)
 
 
 def solve_window(left: np.ndarray, right: np.ndarray, lam: tuple[float, float, float]) -> np.ndarray:
@@ -112,55 +124,66 @@ def solve_window(left: np.ndarray, right: np.ndarray, lam: tuple[float, float, f
     return value.reshape(pairs, 3)[:n]
 
 
-def _windows(table: DataFrame, core: int, halo: int) -> DataFrame:
-    """Every station's row in each window that holds it, by itself or in its halo."""
+def _lent(table: DataFrame, core: int, halo: int) -> DataFrame:
+    """Every station's row in each other window that has it in its halo."""
     first, last = F.greatest(F.lit(0), F.floor((F.col("i") - halo) / core)), F.floor((F.col("i") + halo) / core)
-    return table.withColumn("window", F.explode(F.sequence(first.cast("long"), last.cast("long")))).where(F.col("window") * core < F.col("stations"))
+    return table.withColumn("to", F.explode(F.sequence(first.cast("long"), last.cast("long")))).where("to <> window").withColumn("window", F.col("to")).drop("to")
 
 
-def solved(sums: DataFrame, roads: DataFrame, key: str = "road_id", core: int = CORE, halo: int = HALO) -> DataFrame:
-    """a, left and right at every station i and at the next one, in windows of `core` stations and `halo` on either side.
+def solved(pixels: DataFrame, roads: DataFrame, key: str = "road_id", core: int = CORE, halo: int = HALO) -> DataFrame:
+    """A row per window: its first station and the lists a, left and right of its stations and the next one, solved with `halo` stations on either side.
 
-    sums: normal equations with the road's columns; roads: key, stations, scale (pixels a station) and spread_p, spread_m (mean squared offsets).
-    Stations without pixels follow from the penalty alone.
+    pixels: weighted ones, as dealt; roads: key, stations, scale (pixels a station) and spread_p, spread_m (mean squared offsets). A window sums its own normal
+    equations where its pixels lie; only the sums that other windows have in their halos move. Stations without pixels follow from the penalty alone.
     """
     lists = [f"{part}_{name}" for part in PARTS for name in MOMENTS]
     goals = [f"z{at}_{name}" for at in "01" for name in MOMENTS[:3]]
-    per_window = roads.withColumn("window", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("stations") - 1) / core))))
-    rows = _windows(sums.join(roads.select(key, "stations"), key), core, halo).drop("stations")
-    rows = per_window.join(rows, [key, "window"], "left")
+    told = by_window(roads.select(key, "stations", "scale", "spread_p", "spread_m"), core)
+    lent = _lent(normal_equations(pixels.where(F.col("stations") > core), key), core, halo)
+    given = told.unionByName(lent, allowMissingColumns=True)
 
-    def solve(keys: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def solve(keys: tuple, summed: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         road, window = keys
-        one = part.iloc[0]
+        facts = given[given["stations"].notna()]
+        if facts.empty:  # lent beyond the road's last window
+            return pd.DataFrame(columns=[key, "window", "stations", "first", "a", "left", "right"])
+        one = facts.iloc[0]
         stations = int(one["stations"])
         low, high = max(0, window * core - halo), min(stations, (window + 1) * core + halo)
         left, right = np.zeros((high - low, 15)), np.zeros((high - low, 6))
-        held = part[part["i"].notna()]
-        at = held["i"].to_numpy().astype(int) - low
-        inside = (at >= 0) & (at < high - low - 1)  # the last station's pixels lie beyond the window
-        left[at[inside]], right[at[inside]] = held[lists].to_numpy()[inside], held[goals].to_numpy()[inside]
+        for held in (summed, given[given["i"].notna()]):
+            at = held["i"].to_numpy().astype(int) - low
+            inside = (at >= 0) & (at < high - low - 1)  # the last station's pixels lie beyond the window
+            left[at[inside]], right[at[inside]] = held[lists].to_numpy()[inside], held[goals].to_numpy()[inside]
         lam = penalty(AXIS_CUTOFF), penalty(SLOPE_CUTOFF) * one["spread_p"], penalty(SLOPE_CUTOFF) * one["spread_m"]
         found = solve_window(left.reshape(-1, 3, 5) / one["scale"], right.reshape(-1, 2, 3) / one["scale"], lam)
-        own = np.arange(window * core, min(stations, (window + 1) * core))
-        after = np.minimum(own + 1, stations - 1)
-        columns = np.column_stack([found[own - low], found[after - low]])
-        return pd.DataFrame(columns, columns=["a", "left", "right", "a1", "left1", "right1"]).assign(i=own, **{key: road})[[key, "i", "a", "left", "right", "a1", "left1", "right1"]]
+        own = np.arange(window * core, min(stations, (window + 1) * core) + 1)
+        lists_of = found[np.minimum(own, stations - 1) - low].T
+        return pd.DataFrame({key: [road], "window": window, "stations": stations, "first": window * core, "a": [lists_of[0]], "left": [lists_of[1]], "right": [lists_of[2]]})
 
     kind = roads.schema[key].dataType.simpleString()
-    return rows.groupBy(key, "window").applyInPandas(solve, f"{key} {kind}, i long, a double, left double, right double, a1 double, left1 double, right1 double")
+    schema = f"{key} {kind}, window long, stations long, first long, a array<double>, left array<double>, right array<double>"
+    return normal_equations(pixels, key).groupBy(key, "window").cogroup(given.groupBy(key, "window")).applyInPandas(solve, schema)
+
+
+def end_grades(stations: DataFrame, key: str = "road_id") -> DataFrame:
+    """grade0 and grade1: the rise of an axis in its first and in its last half metre."""
+    rise = lambda at: (F.element_at("a", at + 1) - F.element_at("a", at)) / STATION
+    last = (F.col("stations") - 1 - F.col("first")).cast("int")  # before the last station, from 1
+    begins, ends = F.col("first") == 0, (last >= 1) & (last < F.size("a"))
+    return stations.groupBy(key).agg(F.max(F.when(begins, rise(F.lit(1)))).alias("grade0"), F.max(F.when(ends, rise(last))).alias("grade1"))
 
 
 def modelled(pixels: DataFrame, stations: DataFrame, key: str = "road_id", limit: float | None = None) -> DataFrame:
-    """Adds model and r, the height that it leaves; past the ends of an axis the end grade goes on. limit clamps the crossfalls."""
-    side = (lambda x: F.greatest(F.lit(-limit), F.least(F.lit(limit), F.col(x)))) if limit else F.col
-    f = F.col("f")
-    between = lambda x, y: x * (1 - f) + y * f
-    z = between(F.col("a"), F.col("a1")) + between(side("left"), side("left1")) * F.col("p") + between(side("right"), side("right1")) * F.col("m")
-    rise = (F.col("a1") - F.col("a")) / STATION
-    pairs = stations.join(pixels.groupBy(key).agg(F.first("stations").alias("stations")), key)
-    ends = pairs.groupBy(key).agg(F.max(F.when(F.col("i") == 0, rise)).alias("grade0"), F.max(F.when(F.col("i") == F.col("stations") - 2, rise)).alias("grade1"))
-    t = pixels.join(stations, [key, "i"]).join(ends, key)
+    """Adds model and r, the height that it leaves; past the ends of an axis the end grade goes on. limit clamps the crossfalls.
+
+    pixels: as by `bearing`, with the end grades. They and the windows' lists lie in the same buckets.
+    """
+    side = (lambda x: F.greatest(F.lit(-limit), F.least(F.lit(limit), x))) if limit else (lambda x: x)
+    at, f = (F.col("i") - F.col("first")).cast("int"), F.col("f")
+    between = lambda x, bound: bound(F.element_at(x, at + 1)) * (1 - f) + bound(F.element_at(x, at + 2)) * f
+    z = between("a", lambda x: x) + between("left", side) * F.col("p") + between("right", side) * F.col("m")
+    t = pixels.join(stations.drop("stations").hint("shuffle_hash"), [key, "window"])
     model = z + F.col("e") * F.when(F.col("u") < 0.5 * (F.col("stations") - 1), F.col("grade0")).otherwise(F.col("grade1"))
     return t.withColumn("model", model).withColumn("r", F.col("z") - F.col("model")).select(*pixels.columns, "model", "r")
 
@@ -170,23 +193,31 @@ def biweight(r: Column, scale: Column) -> Column:
     return F.when(v < 1, F.pow(1 - v * v, F.lit(2))).otherwise(0.0)
 
 
-def robust_fit(pixels: DataFrame, key: str = "road_id", rounds: int = ROUNDS, core: int = CORE, halo: int = HALO) -> tuple[DataFrame, DataFrame]:
-    """Pixels with model, r and w, and the stations' unclamped parameters: `rounds` fits, each reweighted by the last one's remainders.
+def reweighted(pixels: DataFrame, roads: DataFrame, stations: DataFrame, key: str = "road_id", core: int = CORE) -> DataFrame:
+    """Bearing pixels' weights w by what the stations' model leaves of them, on the scale of their road's sigma."""
+    t = modelled(bearing(pixels, roads, key, core), stations, key)
+    return t.withColumn("w", F.when(F.col("bears"), biweight(F.col("r"), TUKEY * F.col("sigma"))).otherwise(0.0))
+
+
+def robust_fit(pixels: DataFrame, roads: DataFrame, key: str = "road_id", rounds: int = ROUNDS, core: int = CORE, halo: int = HALO) -> tuple[DataFrame, DataFrame]:
+    """Roads with sigma, grade0 and grade1, and the stations' unclamped parameters: `rounds` fits, each reweighted by the last one's remainders.
 
-    Pixels come with i, f, p, m, bears. The scale of a round is 1.4826 times the road's median remainder, within 1 and 5 cm.
+    pixels, roads: as by `located`. The scale of a round is 1.4826 times the road's median remainder, within 1 and 5 cm. A round writes parameters of stations and of
+    roads; the weights follow from them where the pixels lie, so these are neither dealt nor written again.
     """
-    t = pixels.withColumn("w", F.col("bears").cast("double"))
-    for _ in range(rounds):
-        road = t.groupBy(key).agg(F.first("stations").alias("stations"), F.count(F.lit(1)).alias("n"), F.sum(F.col("w") * F.col("p") * F.col("p")).alias("pp"), F.sum(F.col("w") * F.col("m") * F.col("m")).alias("mm"))
+    told, stations = roads, None
+    for turn in range(rounds):
+        t = reweighted(pixels, told, stations, key, core) if turn else bearing(pixels, told, key, core).withColumn("w", F.col("bears").cast("double"))
+        spread = t.groupBy(key, "window").agg(*(F.sum(F.col("w") * F.col(x) * F.col(x)).alias(x + x) for x in ("p", "m"))).groupBy(key).agg(F.sum("pp").alias("pp"), F.sum("mm").alias("mm"))
         scale = F.greatest(F.lit(1.0), F.col("n") / F.col("stations"))
-        road = road.select(key, "stations", scale.alias("scale"), *(F.greatest(F.col(x) / scale / F.col("stations"), F.lit(0.1)).alias(y) for x, y in (("pp", "spread_p"), ("mm", "spread_m"))))
-        stations = cut(solved(normal_equations(t, key), road, key, core, halo), "stations")
-        fitted = cut(modelled(t.drop("w", "sigma"), stations, key), "fitted")
-        middle = percentiles(fitted.where("bears"), [key], F.abs("r"), {"middle": 0.5})
+        road = told.join(spread, key).select(key, "stations", scale.alias("scale"), *(F.greatest(F.col(x) / scale / F.col("stations"), F.lit(0.1)).alias(y) for x, y in (("pp", "spread_p"), ("mm", "spread_m"))))
+        stations = cut_bucketed(solved(t, cut(road, "spreads"), key, core, halo), "stations", [key, "window"])
+        graded = cut(told.drop("grade0", "grade1", "sigma").join(end_grades(stations, key), key), "graded")
+        fitted = modelled(bearing(pixels, graded, key, core), stations, key).where("bears")
+        middle = percentiles(fitted, [key], F.abs("r"), {"middle": 0.5}, bins=256, dealt_by=[key, "window"])
         sigma = middle.select(key, F.greatest(F.lit(SIGMA_LOW), F.least(F.lit(SIGMA_HIGH), 1.4826 * F.col("middle"))).alias("sigma"))
-        weighed = fitted.join(sigma, key).withColumn("w", F.when(F.col("bears"), biweight(F.col("r"), TUKEY * F.col("sigma"))).otherwise(0.0))
-        t = cut(weighed.drop("model", "r"), "weighed")
-    return t, stations
+        told = cut(graded.join(sigma, key), "scales")
+    return told, stations
 
 
 def gauss(sigma: float) -> np.ndarray:
@@ -199,7 +230,7 @@ def gauss(sigma: float) -> np.ndarray:
 def kept_remainder(pixels: DataFrame, key: str = "road_id", core: int = CORE) -> DataFrame:
     """Adds kept: the low-pass of the remainders (2 m along, 1 m across), weighted by how near they are to the model.
 
-    Remainders are summed by station and half-metre offset; the grid's windows are smoothed apart, with as much around them as a weight reaches.
+    Remainders are summed by station and half-metre offset where the pixels lie; the grid's windows are smoothed apart, with as much around them as a weight reaches.
     """
     across = int(round(2 * HALF_MAX / OFFSET)) + 1
     along, over = gauss(ALONG / STATION), gauss(ACROSS / OFFSET)
@@ -207,31 +238,35 @@ def kept_remainder(pixels: DataFrame, key: str = "road_id", core: int = CORE) ->
     w = biweight(F.col("r"), F.lit(KEEP))
     place = (F.col("t") + HALF_MAX) / OFFSET
     near = lambda x, top: F.greatest(F.lit(0), F.least(F.rint(x).cast("long"), top))
-    grid = pixels.select(key, "stations", near(F.col("u"), F.col("stations") - 1).alias("i"), near(place, F.lit(across - 1)).cast("int").alias("j"), w.alias("w"), (w * F.col("r")).alias("wr"))
-    grid = grid.groupBy(key, "i", "j").agg(F.first("stations").alias("stations"), F.sum("w").alias("w"), F.sum("wr").alias("wr"))
+    grid = pixels.select(key, "window", "stations", near(F.col("u"), F.col("stations") - 1).alias("i"), near(place, F.lit(across - 1)).cast("int").alias("j"), w.alias("w"), (w * F.col("r")).alias("wr"))
+    grid = grid.groupBy(key, "window", "i", "j").agg(F.first("stations").alias("stations"), F.sum("w").alias("w"), F.sum("wr").alias("wr"))
 
-    def smooth(keys: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def smooth(keys: tuple, summed: pd.DataFrame, lent: pd.DataFrame) -> pd.DataFrame:
         road, window = keys
-        stations = int(part["stations"].iloc[0])
+        if summed.empty:  # no pixel asks
+            return pd.DataFrame(columns=[key, "window", "low_pass"])
+        stations = int(summed["stations"].iloc[0])
         low, size = window * core - halo, core + 2 * halo
         sums = np.zeros((2, size, across))
-        at = part["i"].to_numpy() - low
         for k, x in enumerate(("wr", "w")):
-            sums[k, at, part["j"].to_numpy()] = part[x].to_numpy()
+            for part in (summed, lent):  # pixels of two windows may be nearest to one station
+                np.add.at(sums[k], (part["i"].to_numpy(dtype=int) - low, part["j"].to_numpy(dtype=int)), part[x].to_numpy(dtype=float))
             sums[k] = np.apply_along_axis(np.convolve, 1, sums[k], over, "same")
             sums[k] = np.apply_along_axis(np.convolve, 0, sums[k], along, "same")
         low_pass = np.where(sums[1] > 0.05, sums[0] / np.maximum(sums[1], 1e-12), 0.0)
-        own = np.arange(window * core, min(stations, (window + 1) * core))
-        after = np.minimum(own + 1, stations - 1)
-        return pd.DataFrame({key: road, "i": own, "here": list(low_pass[own - low]), "ahead": list(low_pass[after - low])})
+        own = np.minimum(np.arange(window * core, min(stations, (window + 1) * core) + 1), stations - 1)
+        return pd.DataFrame({key: [road], "window": window, "low_pass": [low_pass[own - low].ravel()]})
 
     kind = pixels.schema[key].dataType.simpleString()
-    rows = _windows(grid, core, halo).groupBy(key, "window").applyInPandas(smooth, f"{key} {kind}, i long, here array<double>, ahead array<double>")
+    lent = _lent(grid.where(F.col("stations") > core), core, halo)
+    lent = lent.select(*(F.col(x).alias(x) for x in lent.columns))  # columns of its own beside those of the grid
+    rows = grid.groupBy(key, "window").cogroup(lent.groupBy(key, "window")).applyInPandas(smooth, f"{key} {kind}, window long, low_pass array<double>")
     j = F.greatest(F.lit(0), F.least(F.floor(place), F.lit(across - 2))).cast("int")
     g = place - j
-    row = lambda x: F.element_at(x, j + 1) * (1 - g) + F.element_at(x, j + 2) * g
-    kept = row("here") * (1 - F.col("f")) + row("ahead") * F.col("f")
-    return pixels.join(rows, [key, "i"]).withColumn("kept", kept).select(*pixels.columns, "kept")
+    cell = ((F.col("i") - F.col("window") * core) * across).cast("int") + j
+    row = lambda at: F.element_at("low_pass", at + 1) * (1 - g) + F.element_at("low_pass", at + 2) * g
+    kept = row(cell) * (1 - F.col("f")) + row(cell + across) * F.col("f")
+    return pixels.join(rows.hint("shuffle_hash"), [key, "window"]).withColumn("kept", kept).select(*pixels.columns, "kept")
 
 
 def surface_model(pixels: DataFrame, roads: DataFrame, key: str = "road_id", core: int = CORE, halo: int = HALO) -> tuple[DataFrame, DataFrame]:
@@ -240,19 +275,20 @@ def surface_model(pixels: DataFrame, roads: DataFrame, key: str = "road_id", cor
     Report: pixels, stations, sigma, support_share, fit_share (bearing pixels that keep weight), clamped (crossfalls beyond 0.15, of both sides), unfit
     (fit_share under 0.35: such a road gives no pixels), outliers (pixels 8 cm and more from the model). A road of too few pixels has neither.
     """
-    bearing = cut(located(pixels, roads, key), "pixels")
-    fitted, stations = robust_fit(bearing, key, ROUNDS, core, halo)
-    share = fitted.groupBy(key).agg(
-        F.count(F.lit(1)).alias("pixels"), F.first("stations").alias("stations"), F.first("sigma").alias("sigma"), F.first("support_share").alias("support_share"), F.avg(F.when(F.col("bears"), (F.col("w") > 0).cast("double"))).alias("fit_share")
-    )
-    beyond = stations.groupBy(key).agg(F.sum(sum((F.abs(x) > CROSSFALL).cast("long") for x in ("left", "right"))).alias("clamped"))
-    report = cut(share.join(beyond, key).withColumn("unfit", F.col("fit_share") < FIT_SHARE), "roads")
-    good = modelled(fitted.join(report.where("not unfit").select(key), key, "left_semi").drop("w", "sigma"), stations, key, CROSSFALL)
-    good = cut(good, "clamped")
+    placed, fittable = located(pixels, roads, key, core)
+    told, stations = robust_fit(placed, fittable, key, ROUNDS, core, halo)
+    weighed = reweighted(placed, told, stations, key, core).where("bears")
+    share = weighed.groupBy(key, "window").agg(F.sum((F.col("w") > 0).cast("double")).alias("held"), F.count("w").alias("of")).groupBy(key).agg((F.sum("held") / F.sum("of")).alias("fit_share"))
+    steep = lambda x: F.size(F.filter(F.slice(x, 1, F.size(x) - 1), lambda v: F.abs(v) > CROSSFALL))  # noqa: E731 - without the next window's first station
+    beyond = stations.groupBy(key).agg(F.sum((steep("left") + steep("right")).cast("long")).alias("clamped"))
+    facts = told.join(share, key).join(beyond, key).withColumn("unfit", F.col("fit_share") < FIT_SHARE)
+    facts = cut(facts.withColumnRenamed("n", "pixels"), "roads")
+    good = bearing(placed, facts.where("not unfit").select(key, "stations", "bearing_edge", "grade0", "grade1"), key, core)
+    good = modelled(good, stations, key, CROSSFALL)
     out = kept_remainder(good, key, core).withColumn("w", biweight(F.col("r"), F.lit(KEEP)))
-    out = cut(out.select(key, "pixel", "edge", "model", "kept", (F.col("model") + F.col("kept")).alias("height"), "w"), "surface")
-    outliers = out.groupBy(key).agg(F.sum((F.col("w") <= 0).cast("long")).alias("outliers"))
-    return out, report.join(outliers, key, "left")
+    out = out.select(key, "pixel", "edge", "model", "kept", (F.col("model") + F.col("kept")).alias("height"), "w")
+    outliers = good.groupBy(key, "window").agg(F.sum((biweight(F.col("r"), F.lit(KEEP)) <= 0).cast("long")).alias("outliers")).groupBy(key).agg(F.sum("outliers").alias("outliers"))
+    return out, facts.select(key, "pixels", "stations", "sigma", "support_share", "fit_share", "clamped", "unfit").join(outliers, key, "left")
 
 
 def overlap_blend(models: DataFrame, cells: DataFrame, key: list[str], height: str = "height", edge: str = "edge", z: str = "z") -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from hillframe.operators import quantiles, roadfit
+from hillframe.operators import iterate, quantiles, roadfit
 from hillframe.sources.fixtures import fixture
 
 
@@ -104,6 +104,53 @@ def test_windows_of_a_long_road_equal_one_solution(spark):
     assert len(whole) == n and np.abs(whole.height - cut.height).max() < 1e-5
 
 
+def test_rounds_neither_write_nor_deal_pixels(spark, road_tables, monkeypatch):
+    pixels, roads = road_tables
+    written, plain_cut = {}, roadfit.cut
+
+    def counted(t, name):
+        out = plain_cut(t, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(roadfit, "cut", counted)
+    monkeypatch.setattr(quantiles, "cut", counted)
+    roadfit.surface_model(pixels, roads)
+    assert written and max(written.values()) < pixels.count() / 100
+    placed, fittable = roadfit.located(pixels, roads)
+    told, stations = roadfit.robust_fit(placed, fittable, rounds=1)
+    sums = roadfit.normal_equations(roadfit.reweighted(placed, told, stations))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and plan.count("Exchange ") == 1  # the road's columns go to its windows
+
+
+def test_windows_share_stations_and_lend_sums(spark):
+    make = np.random.default_rng(6)
+    n = 900
+    s, t = np.sort(make.random(n) * 60), make.random(n) * 14 - 7
+    z = 900 + np.sin(s / 9) + np.where(t > 0, 0.05, -0.02) * t + make.normal(0, 0.01, n)
+    edge, e = 7 - np.abs(t), np.where(s > 59, 0.25, 0.0)
+    data = [(1, k, *map(float, row)) for k, row in enumerate(zip(s, t, e, z, edge, strict=True))]
+    pixels = spark.createDataFrame(data, "road_id long, pixel long, s double, t double, e double, z double, edge double")
+    roads = spark.createDataFrame([(1, 60.0)], "road_id long, length double")
+    whole, told = (x.toPandas() for x in roadfit.surface_model(pixels, roads))
+    # the halo holds the whole road, so that windows of 40 stations give the same
+    cut, cut_told = (x.toPandas() for x in roadfit.surface_model(pixels, roads, core=40))
+    whole, cut = whole.set_index("pixel"), cut.set_index("pixel").reindex(range(n))
+    assert len(whole) == n and all(np.abs(whole[x] - cut[x]).max() < 1e-8 for x in ("model", "kept", "height", "w"))
+    assert told[["pixels", "stations", "clamped", "outliers"]].equals(cut_told[["pixels", "stations", "clamped", "outliers"]])
+
+
+def test_percentiles_of_dealt_rows_equal_others(spark):
+    make = np.random.default_rng(3)
+    data = [(int(k), int(w), float(v)) for k, w, v in zip(make.integers(0, 3, 4000), make.integers(0, 5, 4000), make.normal(0, 1, 4000), strict=True)] + [(7, 0, 2.5), (8, 1, None)]
+    t = spark.createDataFrame(data, "k long, part long, v double")
+    dealt = iterate.cut_bucketed(t, "values", ["k", "part"])
+    want = {r["k"]: (r["half"], r["most"]) for r in quantiles.percentiles(t, ["k"], "v", {"half": 0.5, "most": 0.99}).collect()}
+    got = {r["k"]: (r["half"], r["most"]) for r in quantiles.percentiles(dealt, ["k"], "v", {"half": 0.5, "most": 0.99}, bins=20, dealt_by=["k", "part"]).collect()}
+    assert got == want and set(got) == {0, 1, 2, 7}
+
+
 def test_too_few_pixels_and_empty_tables(spark, road_tables):
     pixels, roads = road_tables
     few = pixels.where("road_id = 0").limit(11)
