@@ -16,22 +16,23 @@ c = F.col
 
 def piece_ends(nodes: DataFrame) -> DataFrame:
     """piece, end, x, y and the unit direction (ox, oy) that leaves the piece there. Pieces of one node have no ends."""
-    points = F.struct("seq", "x", "y")
-    out = []
-    for end, best in (("s", F.min), ("e", F.max)):
-        w = Window.partitionBy("piece").orderBy(c("seq") if end == "s" else F.desc("seq"))
-        two = nodes.withColumn("k", F.row_number().over(w)).where("k <= 2").groupBy("piece").agg(best(points).alias("p"), (F.max if end == "s" else F.min)(points).alias("q"), F.count(F.lit(1)).alias("n")).where("n = 2")
-        dx, dy = c("p.x") - c("q.x"), c("p.y") - c("q.y")
-        length = F.sqrt(dx * dx + dy * dy)
-        out.append(two.select("piece", F.lit(end).alias("end"), c("p.x").alias("x"), c("p.y").alias("y"), F.when(length > 0, dx / length).otherwise(0.0).alias("ox"), F.when(length > 0, dy / length).otherwise(0.0).alias("oy")))
-    return out[0].unionByName(out[1])
+    w = Window.partitionBy("piece").orderBy("seq", "x", "y")
+    beside = nodes.select("piece", "x", "y", F.lag(F.struct("x", "y")).over(w).alias("before"), F.lead(F.struct("x", "y")).over(w).alias("after"))
+    outer = beside.where(c("before").isNull() != c("after").isNull()).select("piece", F.when(c("before").isNull(), "s").otherwise("e").alias("end"), "x", "y", F.coalesce("before", "after").alias("q"))
+    dx, dy = c("x") - c("q.x"), c("y") - c("q.y")
+    length = F.sqrt(dx * dx + dy * dy)
+    return outer.select("piece", "end", "x", "y", F.when(length > 0, dx / length).otherwise(0.0).alias("ox"), F.when(length > 0, dy / length).otherwise(0.0).alias("oy"))
 
 
 def near_ends(ends: DataFrame, tol: float) -> DataFrame:
-    """Ends of different pieces at most tol apart: piece, end, piece2, end2, d2 and align (1: straight on). Ends meet in grid cells of tol."""
-    step = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    own = ends.withColumns({"cx": F.floor(c("x") / tol), "cy": F.floor(c("y") / tol)})
-    around = own.withColumn("cx", F.explode(F.transform(step, lambda i: c("cx") + i))).withColumn("cy", F.explode(F.transform(step, lambda i: c("cy") + i)))
+    """Ends of different pieces at most tol apart: piece, end, piece2, end2, d2 and align (1: straight on).
+
+    Ends meet in grid cells of twice tol: one of a pair stands in its own cell, the other in the two by two cells that its reach touches.
+    """
+    size, reach = 2 * tol, tol * (1 + 1e-6)  # a little more than tol, for rounding
+    touched = lambda x: F.explode(F.sequence(F.floor((c(x) - reach) / size), F.floor((c(x) + reach) / size)))
+    own = ends.withColumns({"cx": F.floor(c("x") / size), "cy": F.floor(c("y") / size)})
+    around = ends.withColumn("cx", touched("x")).withColumn("cy", touched("y"))
     other = own.select("cx", "cy", *(c(x).alias(f"{x}2") for x in ends.columns))
     d2 = F.pow(c("x") - c("x2"), F.lit(2)) + F.pow(c("y") - c("y2"), F.lit(2))
     met = around.join(other, ["cx", "cy"]).withColumn("d2", d2).where((c("piece") != c("piece2")) & (c("d2") <= tol * tol))
@@ -76,7 +77,7 @@ def stitched(pieces: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
     facts = pieces.select("piece", "code", "objekt", F.lower("highway").alias("highway"))
     met = near_ends(piece_ends(nodes.join(facts.select("piece"), "piece", "left_semi")), tol)
     two = facts.select(*(c(x).alias(f"{x}2") for x in facts.columns))
-    met = met.join(facts, "piece").join(two, "piece2").where(_compatible("code", "code2") & _compatible("objekt", "objekt2"))
+    met = met.join(two, "piece2").join(facts, "piece").where(_compatible("code", "code2") & _compatible("objekt", "objekt2"))
     one = met.groupBy("piece", "end").agg(F.count_distinct("piece2").alias("degree"), F.max(F.struct("piece2", "end2", F.col("highway").eqNullSafe(c("highway2")).alias("same"))).alias("p"))
     one = cut_dealt(one.where("degree = 1 and p.same").select("piece", "end", c("p.piece2").alias("piece2"), c("p.end2").alias("end2")), "partners")
     back = one.select(c("piece").alias("piece2"), c("end").alias("end2"), c("piece2").alias("piece"), c("end2").alias("end"))

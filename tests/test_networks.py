@@ -129,6 +129,25 @@ def test_stitch_of_a_ring_and_a_turned_piece(spark):
     assert sorted(map(tuple, got)) == [(1, 0, 1, False), (1, 1, 2, False), (1, 2, 3, True), (1, 3, 4, False)]
 
 
+def test_ends_meet_in_few_cells_and_miss_none(spark):
+    pick = random.Random(5)
+    nodes = [(k, i, pick.choice([-2.0, -1.0, 0.0, 0.1, 1.0, 1.9, 2.0, pick.uniform(-3, 3)]), pick.choice([-1.0, 0.0, 0.9, 1.0, pick.uniform(-2, 2)])) for k in range(60) for i in range(pick.choice([1, 2, 3, 5]))]
+    ends = networks.piece_ends(spark.createDataFrame(nodes, NODES))
+    assert ends._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # both ends from one sort of the nodes
+    want = ends_of_any(nodes)
+    got = {(r["piece"], r["end"]): (r["x"], r["y"]) for r in ends.collect()}
+    assert got == want
+    met = {(r["piece"], r["end"], r["piece2"], r["end2"]) for r in networks.near_ends(ends, 1.0).collect()}
+    assert met == {(*a, *b) for a, p in want.items() for b, q in want.items() if a[0] != b[0] and (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= 1.0}
+
+
+def ends_of_any(nodes):
+    by = {}
+    for k, i, x, y in sorted(nodes):
+        by.setdefault(k, []).append((x, y))
+    return {(k, end): p[at] for k, p in by.items() if len(p) > 1 for end, at in (("s", 0), ("e", -1))}
+
+
 def test_a_long_list_is_ranked_in_few_rounds(spark):
     n = 3000
     links = spark.createDataFrame([(k, k + 1 if k < n else None) for k in range(n + 1)], "state long, to long")
