@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from .common import Words, columns_of, cut, map_batches, maybe_broadcast, mix, named, numbers, order_by, planes, shingles, signed, slices, small, text_bytes, unused
 
 SEEDS = "share int, keys binary, docs binary, counts binary, places binary, salts binary"
-#: Bytes of a seed's hash that are dealt: two seeds that agree in these and in their share alone give a false anchor, which alignment drops.
+#: Bytes of a seed's hash that are dealt: two seeds of one length that agree in these and in their share alone give a false anchor, which
+#: alignment drops. Seeds of k and of `long` words never meet: `long` words from the other's place might run beyond its text.
 KEY_BYTES = 5
 ANCHORS = "key long, salt int, doc long, pos int, lead long, lead_pos int"
 CHAINS = "x long, y long, x0 int, x1 int, y0 int, y1 int, anchors array<int>"
@@ -145,7 +146,7 @@ def led_places(seeds: DataFrame, shares: int, apart: int) -> DataFrame:
     """Every place of a seed with the first place (smallest document) of its list; lists in one text alone are left out.
 
     The key is given for salted lists, whose leaders are linked later, and is 0 elsewhere. A long seed gives two anchors, `apart`
-    words from one another: its first and its last k words.
+    words from one another: its first and its last k words. Seeds of both lengths have lists of their own.
     """
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,11 +168,11 @@ def led_places(seeds: DataFrame, shares: int, apart: int) -> DataFrame:
         same = key[order[1:]] == key[order[:-1]]
         order = order[np.append(same, False) | np.append(False, same)]  # most seeds stand at one place alone
         key, doc, pos, salt = key[order], doc[order], pos[order], salt[order]
-        order = np.lexsort((pos, doc, salt, key))
+        order = np.lexsort((pos, doc, 2 * salt + (pos & 1), key))
         key, doc, pos, salt = key[order], doc[order], pos[order], salt[order]
         del order
         begin = np.ones(len(key), dtype=bool)
-        begin[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
+        begin[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | ((pos[1:] & 1) != (pos[:-1] & 1))
         first = np.flatnonzero(begin)[np.cumsum(begin) - 1]
         # the leader's own row is given for salted lists alone: there it stands for its part
         give = np.flatnonzero((doc != doc[first]) | ((salt > 0) & begin))
@@ -181,7 +182,8 @@ def led_places(seeds: DataFrame, shares: int, apart: int) -> DataFrame:
             at, late = np.repeat(at, 1 + both), np.repeat(np.arange(len(at)), 1 + both)
             late = np.append(False, late[1:] == late[:-1]).astype(np.int32) * apart
             led = first[at]
-            own = np.where(salt[at] > 0, mix(key[at] + late.astype(np.uint64)), np.uint64(0)).view(np.int64)
+            part = (late + (pos[at] & 1)).astype(np.uint64) << np.uint64(8 * KEY_BYTES)  # of a short seed, a long one's first or last words
+            own = np.where(salt[at] > 0, mix(key[at] + part), np.uint64(0)).view(np.int64)
             rows = [own, salt[at], doc[at], (pos[at] >> 1) + late, doc[led], (pos[led] >> 1) + late]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows], names=["key", "salt", "doc", "pos", "lead", "lead_pos"])
 

@@ -399,6 +399,36 @@ def test_a_passage_whose_parts_others_hold_is_found(spark):
     assert found == {(7, 40, 100), (8, 40, 100)}
 
 
+def test_short_and_long_seeds_of_one_key_have_lists_of_their_own(spark):
+    def led(*seeds):
+        data = []
+        for doc, place, salt in seeds:
+            parts = [np.array([v], kind) for v, kind in ((77, np.uint64), (doc, np.int64), (1, np.uint32), (place, np.int32), (salt, np.int32))]
+            key, *rest = (bytearray(chains.planes(v)) for v in parts)
+            data.append((0, key[: chains.KEY_BYTES], *rest))
+        return chains.led_places(spark.createDataFrame(data, chains.SEEDS), 1, 7).collect()
+
+    plain = lambda found: sorted((r["doc"], r["pos"], r["lead"], r["lead_pos"]) for r in found)
+    # a place is twice the word's, and one more for a seed of 12 words: a text of 163 words may have a short one at 155, but no long one
+    assert led((1, 2 * 155, 0), (2, 2 * 143 + 1, 0)) == []
+    found = led((1, 2 * 155, 0), (2, 2 * 143 + 1, 0), (3, 2 * 9 + 1, 0), (4, 2 * 5, 0))
+    assert plain(found) == [(3, 9, 2, 143), (3, 16, 2, 150), (4, 5, 1, 155)]
+    found = led((1, 2 * 155, 1), (2, 2 * 143 + 1, 1))
+    assert plain(found) == [(1, 155, 1, 155), (2, 143, 2, 143), (2, 150, 2, 150)]
+    assert len({r["key"] for r in found}) == 3
+
+
+def test_passages_are_found_where_seeds_agree_by_chance(spark, monkeypatch):
+    monkeypatch.setattr(chains, "KEY_BYTES", 2)  # as often as five bytes do in many more texts
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 40)) for _ in range(200)]
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts[30], texts[150] = f"{texts[30]} {shared}", f"{shared} {texts[150]}"
+    spans, copies = chains.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = {(r["doc_id"], r["from_word"], r["to_word"], r["source_id"], r["is_source"]) for r in chains.passages(spans, copies).collect()}
+    assert found == {(30, 40, 100, 30, True), (150, 0, 60, 30, False)}
+
+
 STAGE_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, spans string, pieces string, own_id long, span_doc long, keep_0 int, sig long, grp int"
 
 
