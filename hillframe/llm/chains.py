@@ -297,7 +297,9 @@ def chain_pairs(anchors: DataFrame, k: int, reach: int, least: int) -> DataFrame
         def pairs(x: list[np.ndarray]):
             edge = np.flatnonzero(np.concatenate([[True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]), [True]]))
             rows = []
-            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            span = np.maximum(*(np.maximum.reduceat(v, edge[:-1]) - np.minimum.reduceat(v, edge[:-1]) for v in x[2:])) + k
+            wide = np.flatnonzero(span >= least)  # most pairs share a few places by chance: no chain spans more than all of them do
+            for a, b in zip(edge[wide].tolist(), edge[wide + 1].tolist(), strict=True):
                 for own in chain(diagonal_runs(x[2][a:b], x[3][a:b], k, reach)):
                     x0, x1 = own[0][0], max(r[0] + r[2] for r in own)
                     y0, y1 = own[0][1], max(r[1] + r[2] for r in own)
@@ -328,16 +330,16 @@ def chain_pairs(anchors: DataFrame, k: int, reach: int, least: int) -> DataFrame
 def _extend(a: np.ndarray, b: np.ndarray, drop: int = 4) -> tuple[int, int]:
     """Words to go on, and matches among them, while a match gives 1, a mismatch takes 1 and the sum stays near its best."""
     n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    total = np.cumsum(np.where(a[:n] == b[:n], 1, -1))
-    best = np.maximum.accumulate(np.maximum(total, 0))
-    low = np.flatnonzero(best - total > drop)
-    end = int(low[0]) if len(low) else n
-    if not end:
-        return 0, 0
-    at = int(np.argmax(total[:end]))
-    return (at + 1, int((a[: at + 1] == b[: at + 1]).sum())) if total[at] > 0 else (0, 0)
+    total = best = same = 0
+    out = 0, 0
+    for i, hit in enumerate((a[:n] == b[:n]).tolist()):  # a few words: a loop that ends early takes less time than whole arrays
+        total += 1 if hit else -1
+        same += hit
+        if total > best:
+            best, out = total, (i + 1, same)
+        elif best - total > drop:
+            break
+    return out
 
 
 def _gap(a: np.ndarray, b: np.ndarray) -> int:
